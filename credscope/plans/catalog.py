@@ -115,3 +115,118 @@ def _profile_query(dim: str) -> Query:
 
 for _dim, _qname in _PROFILE_QUERY_NAMES.items():
     register(_qname, loan_rates_sql({_dim: _key_sql(_dim)}, PROFILE_MIN_LOANS.get(_dim, 0)))(_profile_query(_dim))
+
+
+# ------------------------------------------------------------- A3: quarter
+
+@register(
+    "rate_by_quarter",
+    loan_rates_sql({"issue_quarter": _key_sql("issue_quarter")}, where="WHERE issue_quarter IS NOT NULL"),
+)
+def rate_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rates.rate_by_quarter(fixtures.loans(spark, sf_dir))
+
+
+# ------------------------------------------------------------- shared scan
+
+def _profile_all_sql() -> str:
+    parts = []
+    for dim in rates.DIMENSIONS:
+        body = rates_sql({"label": _key_sql(dim)}, PROFILE_MIN_LOANS.get(dim, 0))
+        parts.append(f"SELECT {O.q(dim)} AS dimension, label, loan_count, default_count, default_rate FROM ({body}) t")
+    return O.with_views("\nUNION ALL\n".join(parts), "loans", extra=[("final_loans", FINAL_LOANS_SQL)])
+
+
+@register("rate_profile_all", _profile_all_sql())
+def rate_profile_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All fourteen single-key tables from one scan of the loans (long form)."""
+    return rates.rate_profile(fixtures.loans(spark, sf_dir), min_loans=PROFILE_MIN_LOANS)
+
+
+# ------------------------------------------------------------- A2: segments
+
+# Published threshold (1000) except state x grade: 200 groups of ~190 loans
+# at sf0.01 would leave that table empty, so it uses 150.
+SEGMENT_MIN_LOANS = {
+    "grade_term": V.DEFAULT_MIN_LOANS,
+    "grade_purpose": V.DEFAULT_MIN_LOANS,
+    "interest_fico": V.DEFAULT_MIN_LOANS,
+    "state_grade": 150,
+    "home_term": V.DEFAULT_MIN_LOANS,
+}
+
+
+def _segment_query(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return rates.segment(fixtures.loans(spark, sf_dir), name, SEGMENT_MIN_LOANS[name])
+    run.__name__ = f"segment_{name}"
+    return run
+
+
+for _seg, (_k1, _k2) in rates.SEGMENTS.items():
+    register(
+        f"segment_{_seg}",
+        loan_rates_sql({_k1: _key_sql(_k1), _k2: _key_sql(_k2)}, SEGMENT_MIN_LOANS[_seg]),
+    )(_segment_query(_seg))
+
+
+# ------------------------------------------------------------- A4-A7: profiles
+
+from ..operators import profile  # noqa: E402
+
+SOURCE_NAME = "lineitem.parquet"
+
+
+@register(
+    "status_distribution",
+    O.with_views(
+        "SELECT COALESCE(loan_status, '') AS loan_status, CAST(count(*) AS BIGINT) AS count FROM loans GROUP BY 1",
+        "loans",
+    ),
+)
+def status_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.status_distribution(fixtures.loans(spark, sf_dir))
+
+
+def _overview_sql() -> str:
+    flag = O.outcome_flag("loan_status")
+    rate = f"CASE WHEN usable > 0 THEN CAST({O.r4(O.ratio('defaults', 'usable'))} AS VARCHAR) ELSE '0' END"
+    n_cols = len(fixtures.LOAN_COLUMNS)
+    body = f"""
+SELECT m.metric, m.value FROM (
+  SELECT count(*) AS all_rows, count({flag}) AS usable, sum({flag}) AS defaults FROM loans
+) a, LATERAL (VALUES
+  ('source_file', {O.q(SOURCE_NAME)}),
+  ('all_rows', CAST(a.all_rows AS VARCHAR)),
+  ('usable_finalized_rows', CAST(a.usable AS VARCHAR)),
+  ('skipped_non_final_rows', CAST(a.all_rows - a.usable AS VARCHAR)),
+  ('columns', '{n_cols}'),
+  ('overall_default_rate', {rate})
+) m(metric, value)"""
+    return O.with_views(body, "loans")
+
+
+@register("overview_metrics", _overview_sql())
+def overview_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.overview(fixtures.loans(spark, sf_dir), SOURCE_NAME)
+
+
+def _missing_sql() -> str:
+    parts = [
+        f"SELECT {i} AS ordinal, {O.q(c)} AS \"column\", "
+        f"CAST(sum(CASE WHEN {c} IS NULL OR {c} = '' THEN 1 ELSE 0 END) AS BIGINT) AS missing_count, "
+        f"count(*) AS all_rows FROM loans"
+        for i, c in enumerate(fixtures.LOAN_COLUMNS)
+    ]
+    body = f"""
+SELECT "column", {O.r4(O.ratio('missing_count', 'all_rows'))} AS missing_rate, missing_count
+FROM ({' UNION ALL '.join(parts)}) t
+WHERE missing_count > 0
+ORDER BY missing_count DESC, ordinal
+LIMIT {V.MISSING_TOP}"""
+    return O.with_views(body, "loans")
+
+
+@register("missing_profile_top", _missing_sql())
+def missing_profile_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.missing_profile(fixtures.loans(spark, sf_dir), V.MISSING_TOP)
