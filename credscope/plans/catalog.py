@@ -230,3 +230,128 @@ LIMIT {V.MISSING_TOP}"""
 @register("missing_profile_top", _missing_sql())
 def missing_profile_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.missing_profile(fixtures.loans(spark, sf_dir), V.MISSING_TOP)
+
+
+# ------------------------------------------------------------- A10/A11, J1/J2, A16
+
+from ..operators import fusion, macro  # noqa: E402
+
+_MACRO_SERIES = (("FEDFUNDS", "avg_fed_funds_rate"), ("UNRATE", "avg_unemployment_rate"), ("CPIAUCSL", "avg_cpi"))
+
+
+def _obs_quarter_sql(c: str) -> str:
+    m = f"TRY_CAST(split_part({c}, '-', 2) AS INTEGER)"
+    ok = f"(len(string_split({c}, '-')) = 3 AND {m} BETWEEN 1 AND 12)"
+    return f"(CASE WHEN {ok} THEN split_part({c}, '-', 1) || '-Q' || CAST(({m} - 1) // 3 + 1 AS VARCHAR) END)"
+
+
+def _macro_body(period_sql: str, period: str, inflation: str) -> str:
+    parsed = ", ".join(f"{O.plain_float(s)} AS {s}" for s, _ in _MACRO_SERIES)
+    means = ", ".join(f"{O.exact_mean(s)} AS {o}, count({s}) AS n_{s}" for s, o in _MACRO_SERIES)
+    kept = " AND ".join(f"n_{s} > 0" for s, _ in _MACRO_SERIES)
+    outs = ", ".join(f"{O.r4(o)} AS {o}" for _, o in _MACRO_SERIES)
+    infl = "CASE WHEN prev IS NOT NULL AND prev <> 0 THEN (avg_cpi / prev - 1) * 100 END"
+    return f"""
+SELECT {period}, {outs}, {O.r4(infl)} AS {inflation}
+FROM (
+  SELECT *, lag(avg_cpi) OVER (ORDER BY {period}) AS prev
+  FROM (
+    SELECT {period}, {means}
+    FROM (SELECT {period_sql} AS {period}, {parsed} FROM macro_monthly) p
+    WHERE {period} IS NOT NULL
+    GROUP BY {period}
+  ) a WHERE {kept}
+) l"""
+
+
+ANNUAL_MACRO_SQL = _macro_body("substr(observation_date, 1, 4)", "issue_year", "cpi_inflation_rate")
+QUARTERLY_MACRO_SQL = _macro_body(_obs_quarter_sql("observation_date"), "issue_quarter", "quarterly_cpi_inflation_rate")
+
+
+@register("macro_annual", O.with_views(ANNUAL_MACRO_SQL, "macro_monthly"))
+def macro_annual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return macro.annual_macro(fixtures.macro_monthly(spark, sf_dir))
+
+
+@register("macro_quarterly", O.with_views(QUARTERLY_MACRO_SQL, "macro_monthly"))
+def macro_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return macro.quarterly_macro(fixtures.macro_monthly(spark, sf_dir))
+
+
+YEAR_RATES_SQL = rates_sql({"issue_year": _key_sql("issue_year")})
+QUARTER_RATES_SQL = rates_sql({"issue_quarter": _key_sql("issue_quarter")}, where="WHERE issue_quarter IS NOT NULL")
+
+
+def _macro_ctes(kind: str) -> list[tuple[str, str]]:
+    ctes = [("final_loans", FINAL_LOANS_SQL)]
+    if kind == "year":
+        ctes += [("lc_rates", YEAR_RATES_SQL), ("period_macro", ANNUAL_MACRO_SQL)]
+    else:
+        ctes += [("lc_rates", QUARTER_RATES_SQL), ("period_macro", QUARTERLY_MACRO_SQL)]
+    ctes.append((
+        "merged",
+        "SELECT * FROM lc_rates JOIN period_macro USING ({k}) WHERE {k} <> 'Unknown'".format(
+            k="issue_year" if kind == "year" else "issue_quarter"
+        ),
+    ))
+    return ctes
+
+
+def year_macro_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loans = fixtures.loans(spark, sf_dir)
+    return fusion.rate_with_period_macro(
+        rates.rate_by(loans, "issue_year", 0), macro.annual_macro(fixtures.macro_monthly(spark, sf_dir)), "issue_year"
+    )
+
+
+def quarter_macro_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loans = fixtures.loans(spark, sf_dir)
+    return fusion.rate_with_period_macro(
+        rates.rate_by_quarter(loans), macro.quarterly_macro(fixtures.macro_monthly(spark, sf_dir)), "issue_quarter"
+    )
+
+
+@register("rate_macro_year", O.with_views("SELECT * FROM merged", "loans", "macro_monthly", extra=_macro_ctes("year")))
+def rate_macro_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return year_macro_df(spark, sf_dir)
+
+
+@register("rate_macro_quarter", O.with_views("SELECT * FROM merged", "loans", "macro_monthly", extra=_macro_ctes("quarter")))
+def rate_macro_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quarter_macro_df(spark, sf_dir)
+
+
+YEAR_CORR_FEATURES = ("avg_fed_funds_rate", "avg_unemployment_rate", "cpi_inflation_rate")
+QUARTER_CORR_FEATURES = ("avg_fed_funds_rate", "avg_unemployment_rate", "quarterly_cpi_inflation_rate")
+
+
+def corr_sql(features, target: str, label: str, value: str, source: str = "merged") -> str:
+    parts = [
+        f"SELECT {i} AS ord, {O.q(f)} AS {label}, {O.r4(O.pearson(f, target))} AS {value} FROM {source}"
+        for i, f in enumerate(features)
+    ]
+    return f"SELECT {label}, {value} FROM ({' UNION ALL '.join(parts)}) c"
+
+
+@register(
+    "corr_macro_year",
+    O.with_views(corr_sql(YEAR_CORR_FEATURES, "default_rate", "macro_variable", "correlation_with_default_rate"),
+                 "loans", "macro_monthly", extra=_macro_ctes("year")),
+)
+def corr_macro_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fusion.correlation_table(
+        year_macro_df(spark, sf_dir), YEAR_CORR_FEATURES, "default_rate",
+        "macro_variable", "correlation_with_default_rate",
+    )
+
+
+@register(
+    "corr_macro_quarter",
+    O.with_views(corr_sql(QUARTER_CORR_FEATURES, "default_rate", "macro_variable", "correlation_with_quarterly_default_rate"),
+                 "loans", "macro_monthly", extra=_macro_ctes("quarter")),
+)
+def corr_macro_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fusion.correlation_table(
+        quarter_macro_df(spark, sf_dir), QUARTER_CORR_FEATURES, "default_rate",
+        "macro_variable", "correlation_with_quarterly_default_rate",
+    )
