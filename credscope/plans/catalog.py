@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import oracle as O
 from ..functions import values as V
@@ -355,3 +356,146 @@ def corr_macro_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
         quarter_macro_df(spark, sf_dir), QUARTER_CORR_FEATURES, "default_rate",
         "macro_variable", "correlation_with_quarterly_default_rate",
     )
+
+
+# ------------------------------------------------------------- A9/J4, J3, A17, A8/J5/A13/A15/J6, A18
+
+from ..operators import states  # noqa: E402
+
+CONTROL_MIN_LOANS = STATE_MIN_LOANS
+
+
+def _state_fips_sql(c: str) -> str:
+    padded = f"lpad({c}, CAST(greatest(length({c}), 5) AS INTEGER), '0')"
+    return f"(suffix({padded}, '000') AND {padded} <> '00000')"
+
+
+def _last_sql(attr: str) -> str:
+    return (f"arg_max_null(CASE WHEN attribute = {O.q(attr)} THEN value END, "
+            f"CASE WHEN attribute = {O.q(attr)} THEN pos END)")
+
+
+def _econ_sql() -> str:
+    u_cols = ", ".join(f"{_last_sql(a)} AS {o}" for a, o in V.UNEMPLOYMENT_ATTRIBUTES)
+    p_cols = ", ".join(f"{_last_sql(a)} AS {o}" for a, o in V.POVERTY_ATTRIBUTES)
+    u_out = ", ".join(f"ua.{o}" for _, o in V.UNEMPLOYMENT_ATTRIBUTES)
+    p_out = ", ".join(f"pa.{o}" for _, o in V.POVERTY_ATTRIBUTES)
+    return f"""
+SELECT COALESCE(ua.state, pa.state) AS state, COALESCE(pa.area, ua.area) AS state_name, {u_out}, {p_out}
+FROM (
+  SELECT state, arg_max_null(area, pos) AS area, {u_cols}
+  FROM (SELECT State AS state, Area_Name AS area, Attribute AS attribute, {O.thousands_float('Value')} AS value, pos
+        FROM state_unemployment WHERE {_state_fips_sql('FIPS_Code')}) u
+  GROUP BY state
+) ua FULL OUTER JOIN (
+  SELECT state, arg_max_null(area, pos) AS area, {p_cols}
+  FROM (SELECT Stabr AS state, Area_Name AS area, Attribute AS attribute, {O.thousands_float('Value')} AS value, pos
+        FROM state_poverty WHERE {_state_fips_sql('FIPS_Code')}) p
+  GROUP BY state
+) pa ON ua.state = pa.state"""
+
+
+ECON_SQL = _econ_sql()
+STATE_VIEWS = ("loans", "state_unemployment", "state_poverty")
+
+
+def economics_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return states.state_economics(fixtures.state_unemployment(spark, sf_dir), fixtures.state_poverty(spark, sf_dir))
+
+
+@register("state_economics", O.with_views(ECON_SQL, "state_unemployment", "state_poverty"))
+def state_economics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return economics_df(spark, sf_dir)
+
+
+STATE_RATES_SQL = rates_sql({"state": _key_sql("state")}, STATE_MIN_LOANS)
+
+
+def _state_rate_ctes() -> list[tuple[str, str]]:
+    return [("final_loans", FINAL_LOANS_SQL), ("econ", ECON_SQL), ("lc_state", STATE_RATES_SQL),
+            ("merged", "SELECT * FROM lc_state JOIN econ USING (state)")]
+
+
+def state_rate_economics_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state_rates = rates.rate_by(fixtures.loans(spark, sf_dir), "state", STATE_MIN_LOANS)
+    return fusion.attach(state_rates, economics_df(spark, sf_dir), "state").orderBy(
+        F.desc("default_rate"), F.desc("loan_count"), "state"
+    )
+
+
+@register("state_rate_economics", O.with_views("SELECT * FROM merged", *STATE_VIEWS, extra=_state_rate_ctes()))
+def state_rate_economics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state_rate_economics_df(spark, sf_dir)
+
+
+STATE_CORR_FEATURES = ("ers_unemployment_rate_2023", "ers_median_household_income_2022", "ers_poverty_rate_2023")
+
+
+@register(
+    "corr_state_economics",
+    O.with_views(corr_sql(STATE_CORR_FEATURES, "default_rate", "state_feature", "correlation_with_state_default_rate"),
+                 *STATE_VIEWS, extra=_state_rate_ctes()),
+)
+def corr_state_economics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fusion.correlation_table(
+        state_rate_economics_df(spark, sf_dir), STATE_CORR_FEATURES, "default_rate",
+        "state_feature", "correlation_with_state_default_rate",
+    )
+
+
+def _control_sql() -> str:
+    grade_counts = ", ".join(f"count(CASE WHEN grade = {O.q(g)} THEN 1 END) AS n_grade_{g}" for g in V.GRADES)
+    shares = ", ".join(f"{O.r4(O.ratio(f'n_grade_{g}', 'loan_count'))} AS share_grade_{g}" for g in V.GRADES)
+    econ_cols = ", ".join(["e.state_name"] + [f"e.{c}" for c in states.ECONOMIC_COLUMNS])
+    fico = f"(({O.percent_float('fico_range_low')} + {O.percent_float('fico_range_high')}) / 2.0)"
+    feat = f"""
+SELECT state, count(*) AS loan_count, sum(default_flag) AS default_count,
+       {O.exact_mean('interest')} AS ai, {O.exact_mean('fico')} AS af, {grade_counts}
+FROM (SELECT {O.unknown_if_blank('addr_state')} AS state, default_flag, {O.percent_float('int_rate')} AS interest,
+             {fico} AS fico, {O.unknown_if_blank('grade')} AS grade FROM final_loans) b
+GROUP BY state"""
+    ctrl = f"""
+SELECT f.state, f.loan_count, {O.r4(O.ratio('default_count', 'loan_count'))} AS default_rate,
+       {O.r4('ai')} AS avg_interest_rate, {O.r4('af')} AS avg_fico, {shares}, {econ_cols}
+FROM feat f JOIN econ e ON f.state = e.state
+WHERE f.loan_count >= {CONTROL_MIN_LOANS}"""
+    fits = []
+    for i, (_, x) in enumerate(states.CONTROLS):
+        n = f"regr_count(default_rate, {x})"
+        fits.append(f"CASE WHEN {n} < 2 THEN 0.0 ELSE COALESCE(regr_intercept(default_rate, {x}), regr_avgy(default_rate, {x})) END AS a{i}")
+        fits.append(f"CASE WHEN {n} < 2 THEN 0.0 ELSE COALESCE(regr_slope(default_rate, {x}), 0.0) END AS b{i}")
+    coef = f"SELECT {', '.join(fits)} FROM ctrl"
+    resid = ", ".join(
+        f"{O.r4(f'CASE WHEN {x} IS NOT NULL AND default_rate IS NOT NULL THEN default_rate - (a{i} + b{i} * {x}) END')} AS {name}"
+        for i, (name, x) in enumerate(states.CONTROLS)
+    )
+    body = f"SELECT ctrl.*, {resid} FROM ctrl, coef"
+    return [("final_loans", FINAL_LOANS_SQL), ("econ", ECON_SQL), ("feat", feat), ("ctrl", ctrl),
+            ("coef", coef), ("control", body)]
+
+
+CONTROL_CTES = _control_sql()
+
+
+def control_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return states.state_control(fixtures.loans(spark, sf_dir), economics_df(spark, sf_dir), CONTROL_MIN_LOANS)
+
+
+@register("state_control_features", O.with_views("SELECT * FROM control", *STATE_VIEWS, extra=CONTROL_CTES))
+def state_control_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return control_df(spark, sf_dir)
+
+
+def _matrix_sql() -> str:
+    parts = []
+    i = 0
+    for t in V.CONTROL_TARGETS:
+        for f in V.CONTROL_FEATURES:
+            parts.append(f"SELECT {i} AS ord, {O.q(t)} AS target, {O.q(f)} AS feature, {O.r4(O.pearson(f, t))} AS correlation FROM control")
+            i += 1
+    return f"SELECT target, feature, correlation FROM ({' UNION ALL '.join(parts)}) m"
+
+
+@register("corr_state_control", O.with_views(_matrix_sql(), *STATE_VIEWS, extra=CONTROL_CTES))
+def corr_state_control(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fusion.correlation_matrix(control_df(spark, sf_dir), V.CONTROL_TARGETS, V.CONTROL_FEATURES)
