@@ -29,8 +29,18 @@ def _c(col: Column | str) -> Column:
 
 
 def round_exact(col: Column | str, digits: int = 4) -> Column:
-    """Python ``round(x, digits)`` for doubles; ``-0.0`` is normalised to 0.0."""
-    x = _c(col).cast("double")
+    """Python ``round(x, digits)`` for doubles; ``-0.0`` is normalised to 0.0.
+
+    The input is bound once through a lambda (``transform(array(x), v -> ...)``)
+    because the formula reads it about fifteen times: inlining it would make
+    nested roundings grow exponentially in plan and generated-code size.  It
+    is applied to aggregated results only, never to per-row hot paths.
+    """
+    bound = F.transform(F.array(_c(col).cast("double")), lambda v: _round_bound(v, digits))
+    return F.get(bound, 0)
+
+
+def _round_bound(x: Column, digits: int) -> Column:
     scale = F.lit(float(10**digits))
     c = x * F.lit(_SPLITTER)
     hi = c - (c - x)

@@ -499,3 +499,134 @@ def _matrix_sql() -> str:
 @register("corr_state_control", O.with_views(_matrix_sql(), *STATE_VIEWS, extra=CONTROL_CTES))
 def corr_state_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fusion.correlation_matrix(control_df(spark, sf_dir), V.CONTROL_TARGETS, V.CONTROL_FEATURES)
+
+
+# ------------------------------------------------------------- C1-C5
+
+from ..operators import charts  # noqa: E402
+
+
+def _pct_sql(v: str) -> str:
+    return f"(printf('%.1f', {O.r4(f'{O.dbl(v)} * 100.0', 1)}) || '%')"
+
+
+def _value_text_sql(v: str) -> str:
+    return f"(CASE WHEN {v} <= 1 THEN {_pct_sql(v)} ELSE printf('%.0f', {O.r4(v, 0)}) END)"
+
+
+def _scaled_sql(v: str, lo: str, hi: str) -> str:
+    return O.r4(f"({v} - {lo}) / greatest({hi} - {lo}, {V.SCALE_SPAN_FLOOR})")
+
+
+def _tick_sql(pos: str, n: str) -> str:
+    return f"({pos} % greatest(floor({n} / {V.TICK_TARGET}), 1) = 0)"
+
+
+GRADE_RATES_SQL = rates_sql({"grade": _key_sql("grade")})
+
+
+@register(
+    "chart_bar",
+    O.with_views(
+        f"""
+SELECT grade AS label, substr(grade, 1, {V.BAR_LABEL_WIDTH}) AS label_text, default_rate AS value,
+       {O.r4('CASE WHEN vmax <> 0 THEN default_rate / vmax ELSE 0.0 END')} AS scaled,
+       {_value_text_sql('default_rate')} AS value_label
+FROM t, (SELECT max(default_rate) AS vmax FROM t) s""",
+        "loans", extra=[("final_loans", FINAL_LOANS_SQL), ("t", GRADE_RATES_SQL)],
+    ),
+)
+def chart_bar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 over the grade table."""
+    return charts.bar_dataset(rates.rate_by(fixtures.loans(spark, sf_dir), "grade"), "grade")
+
+
+@register(
+    "chart_line",
+    O.with_views(
+        f"""
+SELECT CAST(row_number() OVER (ORDER BY issue_year) - 1 AS BIGINT) AS position, issue_year AS label,
+       default_rate AS value, {_scaled_sql('default_rate', 'lo', 'hi')} AS scaled,
+       {_tick_sql('(row_number() OVER (ORDER BY issue_year) - 1)', 'n')} AS tick
+FROM t, (SELECT min(default_rate) AS lo, max(default_rate) AS hi, count(*) AS n FROM t) s""",
+        "loans",
+        extra=[("final_loans", FINAL_LOANS_SQL),
+               ("t", f"SELECT * FROM ({YEAR_RATES_SQL}) y WHERE issue_year <> 'Unknown'")],
+    ),
+)
+def chart_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 over the yearly rates (``Unknown`` excluded)."""
+    return charts.line_dataset(rates.rate_by(fixtures.loans(spark, sf_dir), "issue_year"), "issue_year")
+
+
+def _overlay_sql() -> str:
+    long = " UNION ALL ".join(
+        f"SELECT issue_year AS label, {O.q(name)} AS series, {O.dbl(c)} * {m} AS value FROM merged"
+        for name, c, m in charts.OVERLAY_SERIES
+    )
+    return f"""
+SELECT p.position, l.label, l.series, {O.r4('l.value')} AS value, {_scaled_sql('l.value', 's.lo', 's.hi')} AS scaled,
+       {_tick_sql('p.position', 'p.n')} AS tick
+FROM ({long}) l
+JOIN (SELECT issue_year AS label, CAST(row_number() OVER (ORDER BY issue_year) - 1 AS BIGINT) AS position,
+             count(*) OVER () AS n FROM merged) p ON l.label = p.label,
+     (SELECT min(value) AS lo, max(value) AS hi FROM ({long}) a) s"""
+
+
+@register("chart_overlay", O.with_views(_overlay_sql(), "loans", "macro_monthly", extra=_macro_ctes("year")))
+def chart_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C3 over the yearly rate x macro rows."""
+    return charts.overlay_dataset(year_macro_df(spark, sf_dir), "issue_year")
+
+
+def _scatter_sql(source: str, x: str, y: str, ties: bool) -> str:
+    rank = "rank() OVER (ORDER BY y DESC)" if ties else "row_number() OVER (ORDER BY y DESC, label)"
+    return f"""
+SELECT label, x, y, {_scaled_sql('x', 'x_lo', 'x_hi')} AS x_scaled, {_scaled_sql('y', 'y_lo', 'y_hi')} AS y_scaled,
+       ({rank} <= {V.TOP_SCATTER_LABELS}) AS labelled
+FROM (SELECT state AS label, {x} AS x, {y} AS y FROM {source} WHERE {x} IS NOT NULL AND {y} IS NOT NULL) p,
+     (SELECT min({x}) AS x_lo, max({x}) AS x_hi, min({y}) AS y_lo, max({y}) AS y_hi
+      FROM {source} WHERE {x} IS NOT NULL AND {y} IS NOT NULL) s"""
+
+
+@register(
+    "chart_scatter_top5",
+    O.with_views(_scatter_sql("control", "ers_poverty_rate_2023", "default_residual_after_avg_interest", False),
+                 *STATE_VIEWS, extra=CONTROL_CTES),
+)
+def chart_scatter_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4 + W2: residual after interest vs poverty, top 5 by position."""
+    return charts.scatter_dataset(control_df(spark, sf_dir), "ers_poverty_rate_2023", "default_residual_after_avg_interest")
+
+
+@register(
+    "chart_scatter_ties",
+    O.with_views(_scatter_sql("merged", "ers_poverty_rate_2023", "default_rate", True),
+                 *STATE_VIEWS, extra=_state_rate_ctes()),
+)
+def chart_scatter_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4 + W3: state default rate vs poverty, top 5 with ties."""
+    return charts.scatter_dataset(state_rate_economics_df(spark, sf_dir), "ers_poverty_rate_2023", "default_rate", ties=True)
+
+
+def _segment_bars_sql(name: str) -> str:
+    k1, k2 = rates.SEGMENTS[name]
+    order = f"default_rate DESC, loan_count DESC, {k1}, {k2}"
+    seg = rates_sql({k1: _key_sql(k1), k2: _key_sql(k2)}, SEGMENT_MIN_LOANS[name])
+    body = f"""
+SELECT CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS rank,
+       substr({k1} || ' / ' || {k2}, 1, {V.SEGMENT_LABEL_WIDTH}) AS label, default_rate, loan_count,
+       {O.r4('CASE WHEN vmax <> 0 THEN default_rate / vmax ELSE 0.0 END')} AS scaled,
+       {_pct_sql('default_rate')} || ' (' || CAST(loan_count AS VARCHAR) || ')' AS value_label
+FROM head, (SELECT max(default_rate) AS vmax FROM head) s"""
+    return O.with_views(body, "loans", extra=[
+        ("final_loans", FINAL_LOANS_SQL), ("seg", seg),
+        ("head", f"SELECT * FROM seg ORDER BY {order} LIMIT {V.TOP_SEGMENTS}"),
+    ])
+
+
+@register("segment_top12", _segment_bars_sql("state_grade"))
+def segment_top12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C5 + O9 + P23: the 12 riskiest state x grade segments."""
+    seg = rates.segment(fixtures.loans(spark, sf_dir), "state_grade", SEGMENT_MIN_LOANS["state_grade"])
+    return charts.segment_bars(seg, rates.SEGMENTS["state_grade"])
