@@ -34,25 +34,32 @@ def py_strip(col: Column | str) -> Column:
 def lenient_float(col: Column | str) -> Column:
     """``float(text)`` that yields NULL instead of raising (P5).
 
-    Spark's string-to-double cast already accepts what Python accepts
-    (sign, exponent, ``nan``, ``inf``), with two differences handled here:
-    Spark also takes a trailing ``d``/``f`` type suffix (Python rejects it),
-    and Python takes ``_`` between digits (Spark rejects it).  Only values
-    that contain ``_`` are checked with a regex.
+    Common path (one cast, one ``translate``): Spark's cast already trims
+    ASCII whitespace and reads signs, exponents, ``nan`` and ``inf`` like
+    Python; a parsed value is accepted when the text holds nothing but digits,
+    signs, ``.``, ``e``/``E`` and blanks (or parsed to NaN/infinity).  This
+    rejects what only Java accepts (``1.5d``, ``2f``, hex floats).  The rare
+    rest -- Python-only forms such as ``1_000`` or Unicode blanks -- goes
+    through a strip and a strict regex of Python's float grammar.
     """
-    s = py_strip(col)
-    lowered = F.lower(s)
-    typed_suffix = F.substring(lowered, -1, 1).isin("d", "f") & ~lowered.endswith("inf")
-    text = F.when(
-        s.contains("_"),
-        F.when(s.rlike(_PY_UNDERSCORE_DECIMAL), F.regexp_replace(s, "_", "")),
-    ).otherwise(s)
-    return F.when(~typed_suffix, text.try_cast("double"))
+    raw = _c(col)
+    v = raw.try_cast("double")
+    plain = F.translate(raw, " \t\n\r\x0b\x0c0123456789+-.eE", "") == F.lit("")
+    special = F.isnan(v) | (F.abs(v) == F.lit(float("inf")))
+    s = py_strip(raw)
+    fallback = F.when(
+        s.rlike(_PY_UNDERSCORE_DECIMAL), F.regexp_replace(s, "_", "").try_cast("double")
+    )
+    return F.when(v.isNotNull() & (plain | special), v).otherwise(fallback)
 
 
 def percent_float(col: Column | str) -> Column:
-    """Strip, drop every ``%``, parse; ``''``, ``.`` and junk become NULL."""
-    return lenient_float(F.replace(py_strip(col), F.lit("%"), F.lit("")))
+    """Strip, drop every ``%``, parse; ``''``, ``.`` and junk become NULL.
+
+    Stripping commutes with dropping ``%`` here (the parse strips again), so
+    the strip is left to :func:`lenient_float`.
+    """
+    return lenient_float(F.replace(_c(col), F.lit("%"), F.lit("")))
 
 
 def thousands_float(col: Column | str) -> Column:

@@ -1,15 +1,22 @@
 """Default-rate aggregation (A1-A3) with HAVING (P18), rate (P19), ordering.
 
 Every rate table has the schema ``<keys...>, loan_count, default_count,
-default_rate``.  Aggregation is algebraic (count, sum), so Spark combines
-partial aggregates map-side before the shuffle: a hot key that holds a third
-of all loans costs one partial row per task, not a third of the data in one
-task.
+default_rate``.
+
+Plan shape (two-level aggregation).  A key is a pure function of one or two
+raw text columns (``int_rate`` -> interest bin, ``issue_d`` -> month, ...).
+So the loans are first counted per *raw source value*, and the parsing,
+binning and date handling run on those distinct values only; a second, tiny
+aggregate then sums the counts per derived label.  Counts and sums are
+additive, so the result is identical to labelling every row, but the per-row
+work is one hash of a few short strings.  Both aggregates are combined
+map-side before their shuffle, so a hot value (a third of all loans in one
+grade) costs one partial row per task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -34,6 +41,7 @@ from ..functions.values import (
     INCOME,
     INTEREST,
     LOAN_AMOUNT,
+    BinSpec,
 )
 
 Order = str | Sequence[str]  # "key" | "rate_desc" | "count_desc" | explicit labels
@@ -50,47 +58,85 @@ def finalized(loans: DataFrame, status: str = "loan_status") -> DataFrame:
     return loans.filter(is_finalized(status)).withColumn("default_flag", outcome_flag(status))
 
 
-def fico_midpoint() -> Column:
-    return midpoint(percent_float("fico_range_low"), percent_float("fico_range_high"))
+def fico_midpoint(low: Column | str = "fico_range_low", high: Column | str = "fico_range_high") -> Column:
+    return midpoint(percent_float(low), percent_float(high))
 
 
 @dataclass(frozen=True)
 class Dimension:
-    """One single-key rate table: output key name, key expression, HAVING, order."""
+    """A rate key derived from raw loan columns.
+
+    ``sources`` are the raw columns the key depends on.  Plain keys map them
+    with ``label``; binned keys parse them with ``value`` and cut the number
+    with ``bins`` (the number is bound in its own projection, because a bin
+    label reads it once per bound).
+    """
 
     name: str
-    expr: Callable[[], Column]
+    sources: tuple[str, ...]
+    label: Callable[..., Column] | None = None
+    value: Callable[..., Column] | None = None
+    bins: BinSpec | None = None
     min_loans: int = 0
     order: Order = "key"
 
+    def value_of(self, cols: Sequence[Column]) -> Column | None:
+        return self.value(*cols) if self.value is not None else None
+
+    def label_of(self, cols: Sequence[Column], value: Column | None) -> Column:
+        if self.bins is not None:
+            return bin_label(value, self.bins)
+        return self.label(*cols)
+
+
+def _plain(name: str, source: str, fn: Callable[[Column], Column], min_loans: int = 0, order: Order = "key") -> Dimension:
+    return Dimension(name, (source,), label=fn, min_loans=min_loans, order=order)
+
+
+def _binned(name: str, sources: tuple[str, ...], value: Callable[..., Column], spec: BinSpec) -> Dimension:
+    return Dimension(name, sources, value=value, bins=spec, order=spec.order)
+
 
 # The fourteen single-key tables of the loan profile (A1.1-A1.14).
 PROFILE_DIMENSIONS: tuple[Dimension, ...] = (
-    Dimension("grade", lambda: unknown_if_blank("grade")),
-    Dimension("issue_year", lambda: issue_year("issue_d")),
-    Dimension("issue_month", lambda: issue_month("issue_d")),
-    Dimension("state", lambda: unknown_if_blank("addr_state"), DEFAULT_MIN_LOANS, "rate_desc"),
-    Dimension("interest_bin", lambda: bin_label(percent_float("int_rate"), INTEREST), order=INTEREST.order),
-    Dimension("income_bin", lambda: bin_label(percent_float("annual_inc"), INCOME), order=INCOME.order),
-    Dimension("dti_bin", lambda: bin_label(percent_float("dti"), DTI), order=DTI.order),
-    Dimension("fico_bin", lambda: bin_label(fico_midpoint(), FICO), order=FICO.order),
-    Dimension("purpose", lambda: unknown_if_blank("purpose"), DEFAULT_MIN_LOANS, "rate_desc"),
-    Dimension("home_ownership", lambda: unknown_if_blank("home_ownership")),
-    Dimension("term", lambda: stripped_unknown("term")),
-    Dimension("verification_status", lambda: unknown_if_blank("verification_status")),
-    Dimension("emp_length", lambda: unknown_if_blank("emp_length"), order=EMP_LENGTH_ORDER),
-    Dimension("loan_amount_bin", lambda: bin_label(percent_float("loan_amnt"), LOAN_AMOUNT), order=LOAN_AMOUNT.order),
+    _plain("grade", "grade", unknown_if_blank),
+    _plain("issue_year", "issue_d", issue_year),
+    _plain("issue_month", "issue_d", issue_month),
+    _plain("state", "addr_state", unknown_if_blank, DEFAULT_MIN_LOANS, "rate_desc"),
+    _binned("interest_bin", ("int_rate",), percent_float, INTEREST),
+    _binned("income_bin", ("annual_inc",), percent_float, INCOME),
+    _binned("dti_bin", ("dti",), percent_float, DTI),
+    _binned("fico_bin", ("fico_range_low", "fico_range_high"), fico_midpoint, FICO),
+    _plain("purpose", "purpose", unknown_if_blank, DEFAULT_MIN_LOANS, "rate_desc"),
+    _plain("home_ownership", "home_ownership", unknown_if_blank),
+    _plain("term", "term", stripped_unknown),
+    _plain("verification_status", "verification_status", unknown_if_blank),
+    _plain("emp_length", "emp_length", unknown_if_blank, order=EMP_LENGTH_ORDER),
+    _binned("loan_amount_bin", ("loan_amnt",), percent_float, LOAN_AMOUNT),
 )
 DIMENSIONS = {d.name: d for d in PROFILE_DIMENSIONS}
+# Quarter: its own table (A3); loans without a derivable quarter are dropped.
+QUARTER = _plain("issue_quarter", "issue_d", issue_quarter)
+ALL_DIMENSIONS = {**DIMENSIONS, QUARTER.name: QUARTER}
 
 
 def dimension(name: str) -> Dimension:
-    return DIMENSIONS[name]
+    return ALL_DIMENSIONS[name]
 
 
-def with_keys(loans: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Add derived key columns; unused raw columns are pruned by Catalyst."""
-    return loans.withColumns({n: DIMENSIONS[n].expr() for n in names})
+def with_keys(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Add derived key columns computed from the raw source columns of ``df``
+    (parsed values first, in their own projection)."""
+    dims = [ALL_DIMENSIONS[n] for n in names]
+    values = {
+        f"{d.name}__value": d.value_of([F.col(s) for s in d.sources]) for d in dims if d.value is not None
+    }
+    out = df.withColumns(values) if values else df
+    out = out.withColumns({
+        d.name: d.label_of([F.col(s) for s in d.sources], F.col(f"{d.name}__value") if d.value else None)
+        for d in dims
+    })
+    return out.drop(*values) if values else out
 
 
 def rate_columns(default_count: Column, loan_count: Column) -> Column:
@@ -98,31 +144,63 @@ def rate_columns(default_count: Column, loan_count: Column) -> Column:
     return round_exact(ratio(default_count, loan_count), 4)
 
 
-def aggregate_rates(df: DataFrame, keys: Sequence[str], min_loans: int = 0) -> DataFrame:
-    """``GROUP BY keys`` -> counts, HAVING ``loan_count >= min_loans``, rate."""
-    agg = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("loan_count"),
-        F.sum("default_flag").cast("bigint").alias("default_count"),
-    )
-    if min_loans > 0:
-        agg = agg.filter(F.col("loan_count") >= F.lit(min_loans))
+def _count_cols(pre_counted: bool) -> list[Column]:
+    if pre_counted:
+        return [F.sum("loan_count").cast("bigint").alias("loan_count"),
+                F.sum("default_count").cast("bigint").alias("default_count")]
+    return [F.count(F.lit(1)).alias("loan_count"), F.sum("default_flag").cast("bigint").alias("default_count")]
+
+
+def _finish(agg: DataFrame, min_loans: int | Column = 0) -> DataFrame:
+    if isinstance(min_loans, Column) or min_loans > 0:
+        agg = agg.filter(F.col("loan_count") >= min_loans)
     return agg.withColumn("default_rate", rate_columns(F.col("default_count"), F.col("loan_count")))
 
 
-def order_rates(df: DataFrame, keys: Sequence[str], order: Order = "key") -> DataFrame:
-    """Apply one of the published orderings; every ordering ends in the keys."""
+def aggregate_rates(df: DataFrame, keys: Sequence[str], min_loans: int = 0) -> DataFrame:
+    """``GROUP BY keys`` over flagged rows -> counts, HAVING, rate."""
+    return _finish(df.groupBy(*keys).agg(*_count_cols(False)), min_loans)
+
+
+def source_counts(finalized_loans: DataFrame, sources: Sequence[str]) -> DataFrame:
+    """Level 1: loans and defaults per combination of raw source values."""
+    return finalized_loans.groupBy(*sources).agg(*_count_cols(False))
+
+
+def keyed_rates(finalized_loans: DataFrame, names: Sequence[str], min_loans: int = 0,
+                drop_null_keys: bool = False) -> DataFrame:
+    """Rate table keyed by derived dimensions, via the two-level aggregation."""
+    sources = list(dict.fromkeys(s for n in names for s in ALL_DIMENSIONS[n].sources))
+    keyed = with_keys(source_counts(finalized_loans, sources), names)
+    if drop_null_keys:
+        for n in names:
+            keyed = keyed.filter(F.col(n).isNotNull())
+    return _finish(keyed.groupBy(*names).agg(*_count_cols(True)), min_loans)
+
+
+def rate_ordering(keys: Sequence[str], order: Order = "key", reverse: bool = False) -> list[Column]:
+    """Sort columns of one of the published orderings; every ordering ends in
+    the keys, so it is total.  ``reverse`` flips every component."""
     key_cols = [F.col(k).cast("string") for k in keys]
     if isinstance(order, str):
         if order == "key":
-            return df.orderBy(*key_cols)
-        if order == "rate_desc":
-            return df.orderBy(F.desc("default_rate"), F.desc("loan_count"), *key_cols)
-        if order == "count_desc":
-            return df.orderBy(F.desc("loan_count"), *key_cols)
-        raise ValueError(f"unknown order {order!r}")
-    if len(keys) != 1:
-        raise ValueError("an explicit label order needs exactly one key")
-    return df.orderBy(order_rank(keys[0], order), *key_cols)
+            cols = [(c, True) for c in key_cols]
+        elif order == "rate_desc":
+            cols = [(F.col("default_rate"), False), (F.col("loan_count"), False)] + [(c, True) for c in key_cols]
+        elif order == "count_desc":
+            cols = [(F.col("loan_count"), False)] + [(c, True) for c in key_cols]
+        else:
+            raise ValueError(f"unknown order {order!r}")
+    else:
+        if len(keys) != 1:
+            raise ValueError("an explicit label order needs exactly one key")
+        cols = [(order_rank(keys[0], order), True)] + [(c, True) for c in key_cols]
+    return [c.asc() if asc != reverse else c.desc() for c, asc in cols]
+
+
+def order_rates(df: DataFrame, keys: Sequence[str], order: Order = "key") -> DataFrame:
+    """Apply one of the published orderings."""
+    return df.orderBy(*rate_ordering(keys, order))
 
 
 def default_rates(
@@ -132,7 +210,7 @@ def default_rates(
     order: Order = "key",
     limit: int | None = None,
 ) -> DataFrame:
-    """A1/A2: default-rate table over already derived key column(s)."""
+    """A1/A2 over key column(s) that already exist on the rows."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     out = order_rates(aggregate_rates(finalized_loans, keys, min_loans), keys, order)
     return out.limit(limit) if limit else out
@@ -141,14 +219,13 @@ def default_rates(
 def rate_by(loans: DataFrame, name: str, min_loans: int | None = None) -> DataFrame:
     """One of the fourteen profile tables from raw loans (A1.n)."""
     d = DIMENSIONS[name]
-    base = with_keys(finalized(loans), [name])
-    return default_rates(base, name, d.min_loans if min_loans is None else min_loans, d.order)
+    table = keyed_rates(finalized(loans), [name], d.min_loans if min_loans is None else min_loans)
+    return order_rates(table, [name], d.order)
 
 
 def rate_by_quarter(loans: DataFrame) -> DataFrame:
     """A3: quarterly rates; loans without a derivable quarter are dropped."""
-    base = finalized(loans).withColumn("issue_quarter", issue_quarter("issue_d"))
-    return default_rates(base.filter(F.col("issue_quarter").isNotNull()), "issue_quarter")
+    return order_rates(keyed_rates(finalized(loans), ["issue_quarter"], drop_null_keys=True), ["issue_quarter"])
 
 
 # Multi-key segment tables (A2.1-A2.5); all published with min 1000 loans.
@@ -164,33 +241,85 @@ SEGMENTS: dict[str, tuple[str, str]] = {
 def segment(loans: DataFrame, name: str, min_loans: int = DEFAULT_MIN_LOANS, limit: int | None = None) -> DataFrame:
     """A2: two-key risk segment, ordered by rounded rate desc, count desc, keys."""
     keys = SEGMENTS[name]
-    base = with_keys(finalized(loans), keys)
-    return default_rates(base, keys, min_loans, "rate_desc", limit)
-
+    out = order_rates(keyed_rates(finalized(loans), keys, min_loans), keys, "rate_desc")
+    return out.limit(limit) if limit else out
 
-def rate_profile(loans: DataFrame, names: Sequence[str] | None = None, min_loans: dict[str, int] | None = None) -> DataFrame:
-    """All single-key tables from ONE scan, in long form (shared scan).
 
-    Each finalized loan is expanded into one ``(dimension, label)`` row per
-    dimension (an ``Expand`` inside the scan's codegen stage); the partial
-    aggregate collapses them map-side, so the shuffle carries at most
-    ``#tasks x #labels`` rows however large the input is.  Output:
-    ``dimension, label, loan_count, default_count, default_rate``.
+def shared_rates(
+    finalized_loans: DataFrame,
+    groups: Mapping[str, Sequence[str]],
+    group_col: str,
+    key_cols: Sequence[str],
+    min_loans: Mapping[str, int],
+) -> DataFrame:
+    """Several rate tables from ONE scan, in long form.
+
+    ``groups`` maps a table name to its dimensions (one per ``key_cols``).
+    Each loan is expanded into one row per table holding that table's raw
+    source values in generic slots ``s0..sN`` (an ``Expand`` in the scan's
+    codegen stage, no parsing); level 1 counts per (table, slots), then the
+    keys are derived per table on the distinct slot values, and level 2 sums
+    per (table, keys).
     """
+    srcs = {g: [s for d in dims for s in ALL_DIMENSIONS[d].sources] for g, dims in groups.items()}
+    width = max(len(v) for v in srcs.values())
+    slots = [f"s{i}" for i in range(width)]
+    entries = F.array(*[
+        F.struct(
+            F.lit(g).alias(group_col),
+            *[(F.col(s).cast("string") if i < len(srcs[g]) else F.lit(None).cast("string")).alias(slots[i])
+              for i, s in enumerate(srcs[g] + [None] * (width - len(srcs[g])))],
+        )
+        for g in groups
+    ])
+    long = finalized_loans.select("default_flag", F.inline(entries))
+    pre = long.groupBy(group_col, *slots).agg(*_count_cols(False))
+
+    def per_group(build: Callable[[int, Dimension, list[Column]], Column | None]) -> list[Column]:
+        out = []
+        for k in range(len(key_cols)):
+            expr = None
+            for g, dims in groups.items():
+                offset = sum(len(ALL_DIMENSIONS[d].sources) for d in dims[:k])
+                d = ALL_DIMENSIONS[dims[k]]
+                cols = [F.col(slots[offset + j]) for j in range(len(d.sources))]
+                e = build(k, d, cols)
+                if e is None:
+                    continue
+                hit = F.col(group_col) == F.lit(g)
+                expr = F.when(hit, e) if expr is None else expr.when(hit, e)
+            out.append(expr)
+        return out
+
+    values = per_group(lambda k, d, cols: d.value_of(cols))
+    bound = pre.withColumns({f"v{k}": v for k, v in enumerate(values) if v is not None})
+    labels = per_group(lambda k, d, cols: d.label_of(cols, F.col(f"v{k}") if d.value else None))
+    keyed = bound.withColumns(dict(zip(key_cols, labels)))
+    agg = keyed.groupBy(group_col, *key_cols).agg(*_count_cols(True))
+    threshold = F.create_map(*[x for g in groups for x in (F.lit(g), F.lit(min_loans.get(g, 0)))])
+    return _finish(agg, threshold[F.col(group_col)])
+
+
+def rate_profile(loans: DataFrame, names: Sequence[str] | None = None, min_loans: Mapping[str, int] | None = None) -> DataFrame:
+    """All single-key tables from ONE scan, long form (shared scan):
+    ``dimension, label, loan_count, default_count, default_rate``."""
     names = list(names or DIMENSIONS)
     mins = {n: DIMENSIONS[n].min_loans for n in names}
     mins.update(min_loans or {})
-    keyed = with_keys(finalized(loans), names).select("default_flag", *names)
-    long = keyed.unpivot("default_flag", names, "dimension", "label")
-    agg = aggregate_rates(long, ["dimension", "label"])
-    threshold = F.create_map(*[x for n in names for x in (F.lit(n), F.lit(mins[n]))])
-    return agg.filter(F.col("loan_count") >= threshold[F.col("dimension")]).orderBy("dimension", "label")
+    out = shared_rates(finalized(loans), {n: (n,) for n in names}, "dimension", ["label"], mins)
+    return out.orderBy("dimension", "label")
 
 
 def profile_slice(profile: DataFrame, name: str) -> DataFrame:
     """One dimension of :func:`rate_profile` in the single-table shape and order."""
-    d = DIMENSIONS[name]
-    one = profile.filter(F.col("dimension") == name).select(
-        F.col("label").alias(name), *RATE_COLUMNS
-    )
-    return order_rates(one, [name], d.order)
+    one = profile.filter(F.col("dimension") == name).select(F.col("label").alias(name), *RATE_COLUMNS)
+    return order_rates(one, [name], DIMENSIONS[name].order)
+
+
+def segment_profile(loans: DataFrame, names: Sequence[str] | None = None, min_loans: Mapping[str, int] | None = None) -> DataFrame:
+    """Several two-key segments from ONE scan, long form:
+    ``segment, key1, key2, loan_count, default_count, default_rate``."""
+    names = list(names or SEGMENTS)
+    mins = {n: DEFAULT_MIN_LOANS for n in names}
+    mins.update(min_loans or {})
+    return shared_rates(finalized(loans), {n: SEGMENTS[n] for n in names}, "segment", ["key1", "key2"], mins)

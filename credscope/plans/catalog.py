@@ -630,3 +630,100 @@ def segment_top12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C5 + O9 + P23: the 12 riskiest state x grade segments."""
     seg = rates.segment(fixtures.loans(spark, sf_dir), "state_grade", SEGMENT_MIN_LOANS["state_grade"])
     return charts.segment_bars(seg, rates.SEGMENTS["state_grade"])
+
+
+# ------------------------------------------------------------- A14 / O10 / J7 / A20
+
+from ..operators import findings as FD  # noqa: E402
+
+FINDING_SEGMENTS = ("grade_term", "grade_purpose", "interest_fico", "state_grade")
+FINDING_LOOKUPS = (
+    ("corr_rate_vs_interest", "default_rate", "avg_interest_rate"),
+    ("corr_rate_vs_fico", "default_rate", "avg_fico"),
+    ("corr_rate_vs_poverty", "default_rate", "ers_poverty_rate_2023"),
+    ("corr_resid_interest_vs_poverty", "default_residual_after_avg_interest", "ers_poverty_rate_2023"),
+    ("corr_resid_fico_vs_poverty", "default_residual_after_avg_fico", "ers_poverty_rate_2023"),
+)
+# (finding, dimension, last row instead of first)
+FINDING_PICKS = (
+    ("grade_first", "grade", False),
+    ("grade_last", "grade", True),
+    ("interest_bin_first", "interest_bin", False),
+    ("interest_bin_last", "interest_bin", True),
+    ("state_top", "state", False),
+    ("purpose_top", "purpose", False),
+    ("loan_amount_bin_last", "loan_amount_bin", True),
+)
+
+
+@register("findings", None)
+def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loans = fixtures.loans(spark, sf_dir)
+    profile = rates.rate_profile(loans, min_loans=PROFILE_MIN_LOANS)
+    segs = rates.segment_profile(loans, FINDING_SEGMENTS, SEGMENT_MIN_LOANS)
+    control = control_df(spark, sf_dir)
+    matrix = fusion.correlation_matrix(control, V.CONTROL_TARGETS, V.CONTROL_FEATURES)
+    picks = [(f, d, "last" if last else "first") for f, d, last in FINDING_PICKS] + [("term_highest", "term", "highest")]
+    seg_names = [(f"segment_{s}_top", s) for s in FINDING_SEGMENTS]
+    counts = [
+        FD.row_count(year_macro_df(spark, sf_dir), "matched_years"),
+        FD.row_count(quarter_macro_df(spark, sf_dir), "matched_quarters"),
+        FD.row_count(state_rate_economics_df(spark, sf_dir), "matched_states"),
+        FD.row_count(control, "control_states"),
+    ]
+    order = [p[0] for p in picks] + [f for f, _ in seg_names] + [f for f, _, _ in FINDING_LOOKUPS] + [
+        "matched_years", "matched_quarters", "matched_states", "control_states"]
+    parts = [FD.profile_picks(profile, picks), FD.segment_tops(segs, seg_names), FD.lookups(matrix, FINDING_LOOKUPS)]
+    return FD.union_findings(parts + counts, order)
+
+
+def _findings_sql() -> str:
+    prof = []
+    for dim in rates.DIMENSIONS:
+        body = rates_sql({"label": _key_sql(dim)}, PROFILE_MIN_LOANS.get(dim, 0))
+        prof.append(f"SELECT {O.q(dim)} AS dimension, label, loan_count, default_count, default_rate FROM ({body}) t")
+    segs = []
+    for s in FINDING_SEGMENTS:
+        k1, k2 = rates.SEGMENTS[s]
+        body = rates_sql({"key1": _key_sql(k1), "key2": _key_sql(k2)}, SEGMENT_MIN_LOANS[s])
+        segs.append(f"SELECT {O.q(s)} AS segment, key1, key2, loan_count, default_count, default_rate FROM ({body}) t")
+    ctes = [("final_loans", FINAL_LOANS_SQL), ("profile", " UNION ALL ".join(prof)), ("segs", " UNION ALL ".join(segs))]
+    ctes += [c for c in CONTROL_CTES if c[0] != "final_loans"]
+    ctes.append(("matrix", _matrix_sql()))
+    ctes.append(("year_merged", f"SELECT * FROM ({YEAR_RATES_SQL}) r JOIN ({ANNUAL_MACRO_SQL}) m USING (issue_year) WHERE issue_year <> 'Unknown'"))
+    ctes.append(("quarter_merged", f"SELECT * FROM ({QUARTER_RATES_SQL}) r JOIN ({QUARTERLY_MACRO_SQL}) m USING (issue_quarter)"))
+    ctes.append(("state_merged", f"SELECT * FROM ({STATE_RATES_SQL}) r JOIN econ USING (state)"))
+
+    def sel(finding, label, value, n, src, order="", where=""):
+        return (f"SELECT {O.q(finding)} AS finding, CAST({label} AS VARCHAR) AS label, CAST({value} AS DOUBLE) AS value, "
+                f"CAST({n} AS BIGINT) AS n FROM {src} {where} {order}")
+
+    def order_sql(dim, last):
+        d = rates.DIMENSIONS[dim]
+        asc, desc = ("DESC", "ASC") if last else ("ASC", "DESC")
+        if d.order == "key":
+            return f"ORDER BY label {asc}"
+        if d.order == "rate_desc":
+            return f"ORDER BY default_rate {desc}, loan_count {desc}, label {asc}"
+        return f"ORDER BY {O.order_rank('label', d.order)} {asc}, label {asc}"
+
+    parts = []
+    for f, d, last in FINDING_PICKS:
+        parts.append(sel(f, "label", "default_rate", "loan_count", "profile", order_sql(d, last) + " LIMIT 1",
+                         f"WHERE dimension = {O.q(d)}"))
+    parts.append(sel("term_highest", "label", "default_rate", "loan_count", "profile",
+                     "ORDER BY default_rate DESC, label ASC LIMIT 1", "WHERE dimension = 'term'"))
+    for s in FINDING_SEGMENTS:
+        parts.append(sel(f"segment_{s}_top", "key1 || ' / ' || key2", "default_rate", "loan_count", "segs",
+                         "ORDER BY default_rate DESC, loan_count DESC, key1, key2 LIMIT 1", f"WHERE segment = {O.q(s)}"))
+    for f, t, x in FINDING_LOOKUPS:
+        parts.append(sel(f, "target || ' ~ ' || feature", "correlation", "NULL", "matrix", "",
+                         f"WHERE target = {O.q(t)} AND feature = {O.q(x)}"))
+    for f, src in (("matched_years", "year_merged"), ("matched_quarters", "quarter_merged"),
+                   ("matched_states", "state_merged"), ("control_states", "control")):
+        parts.append(sel(f, "NULL", "NULL", "count(*)", src))
+    body = " UNION ALL ".join(f"({p})" for p in parts)
+    return O.with_views(body, "loans", "macro_monthly", "state_unemployment", "state_poverty", extra=ctes)
+
+
+ORACLE["findings"] = _findings_sql()
