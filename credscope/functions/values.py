@@ -71,6 +71,11 @@ CONTROL_FEATURES = (
     "share_grade_G",
 )
 
+# Correlation tables: features correlated with the default rate.
+ANNUAL_MACRO_FEATURES = ("avg_fed_funds_rate", "avg_unemployment_rate", "cpi_inflation_rate")
+QUARTERLY_MACRO_FEATURES = ("avg_fed_funds_rate", "avg_unemployment_rate", "quarterly_cpi_inflation_rate")
+STATE_FEATURES = ("ers_unemployment_rate_2023", "ers_median_household_income_2022", "ers_poverty_rate_2023")
+
 # Minimum group size used by the published state / purpose / segment tables.
 DEFAULT_MIN_LOANS = 1000
 

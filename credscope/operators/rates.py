@@ -144,14 +144,14 @@ def rate_columns(default_count: Column, loan_count: Column) -> Column:
     return round_exact(ratio(default_count, loan_count), 4)
 
 
-def _count_cols(pre_counted: bool) -> list[Column]:
+def count_columns(pre_counted: bool) -> list[Column]:
     if pre_counted:
         return [F.sum("loan_count").cast("bigint").alias("loan_count"),
                 F.sum("default_count").cast("bigint").alias("default_count")]
     return [F.count(F.lit(1)).alias("loan_count"), F.sum("default_flag").cast("bigint").alias("default_count")]
 
 
-def _finish(agg: DataFrame, min_loans: int | Column = 0) -> DataFrame:
+def finish_rates(agg: DataFrame, min_loans: int | Column = 0) -> DataFrame:
     if isinstance(min_loans, Column) or min_loans > 0:
         agg = agg.filter(F.col("loan_count") >= min_loans)
     return agg.withColumn("default_rate", rate_columns(F.col("default_count"), F.col("loan_count")))
@@ -159,12 +159,12 @@ def _finish(agg: DataFrame, min_loans: int | Column = 0) -> DataFrame:
 
 def aggregate_rates(df: DataFrame, keys: Sequence[str], min_loans: int = 0) -> DataFrame:
     """``GROUP BY keys`` over flagged rows -> counts, HAVING, rate."""
-    return _finish(df.groupBy(*keys).agg(*_count_cols(False)), min_loans)
+    return finish_rates(df.groupBy(*keys).agg(*count_columns(False)), min_loans)
 
 
 def source_counts(finalized_loans: DataFrame, sources: Sequence[str]) -> DataFrame:
     """Level 1: loans and defaults per combination of raw source values."""
-    return finalized_loans.groupBy(*sources).agg(*_count_cols(False))
+    return finalized_loans.groupBy(*sources).agg(*count_columns(False))
 
 
 def keyed_rates(finalized_loans: DataFrame, names: Sequence[str], min_loans: int = 0,
@@ -175,7 +175,7 @@ def keyed_rates(finalized_loans: DataFrame, names: Sequence[str], min_loans: int
     if drop_null_keys:
         for n in names:
             keyed = keyed.filter(F.col(n).isNotNull())
-    return _finish(keyed.groupBy(*names).agg(*_count_cols(True)), min_loans)
+    return finish_rates(keyed.groupBy(*names).agg(*count_columns(True)), min_loans)
 
 
 def rate_ordering(keys: Sequence[str], order: Order = "key", reverse: bool = False) -> list[Column]:
@@ -254,7 +254,8 @@ def shared_rates(
 ) -> DataFrame:
     """Several rate tables from ONE scan, in long form.
 
-    ``groups`` maps a table name to its dimensions (one per ``key_cols``).
+    ``groups`` maps a table name to its dimensions (at most one per
+    ``key_cols``; missing trailing keys are NULL).
     Each loan is expanded into one row per table holding that table's raw
     source values in generic slots ``s0..sN`` (an ``Expand`` in the scan's
     codegen stage, no parsing); level 1 counts per (table, slots), then the
@@ -273,13 +274,15 @@ def shared_rates(
         for g in groups
     ])
     long = finalized_loans.select("default_flag", F.inline(entries))
-    pre = long.groupBy(group_col, *slots).agg(*_count_cols(False))
+    pre = long.groupBy(group_col, *slots).agg(*count_columns(False))
 
     def per_group(build: Callable[[int, Dimension, list[Column]], Column | None]) -> list[Column]:
         out = []
         for k in range(len(key_cols)):
             expr = None
             for g, dims in groups.items():
+                if k >= len(dims):
+                    continue  # a table with fewer keys leaves this key NULL
                 offset = sum(len(ALL_DIMENSIONS[d].sources) for d in dims[:k])
                 d = ALL_DIMENSIONS[dims[k]]
                 cols = [F.col(slots[offset + j]) for j in range(len(d.sources))]
@@ -295,9 +298,9 @@ def shared_rates(
     bound = pre.withColumns({f"v{k}": v for k, v in enumerate(values) if v is not None})
     labels = per_group(lambda k, d, cols: d.label_of(cols, F.col(f"v{k}") if d.value else None))
     keyed = bound.withColumns(dict(zip(key_cols, labels)))
-    agg = keyed.groupBy(group_col, *key_cols).agg(*_count_cols(True))
+    agg = keyed.groupBy(group_col, *key_cols).agg(*count_columns(True))
     threshold = F.create_map(*[x for g in groups for x in (F.lit(g), F.lit(min_loans.get(g, 0)))])
-    return _finish(agg, threshold[F.col(group_col)])
+    return finish_rates(agg, threshold[F.col(group_col)])
 
 
 def rate_profile(loans: DataFrame, names: Sequence[str] | None = None, min_loans: Mapping[str, int] | None = None) -> DataFrame:

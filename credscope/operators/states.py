@@ -35,7 +35,7 @@ def _state_rows(long: DataFrame, state_col: str, file_rank: int, fips: str, pos:
         F.col("Area_Name").alias("area"),
         F.col("Attribute").alias("attribute"),
         thousands_float("Value").alias("value"),
-        F.struct(F.lit(file_rank).alias("file"), F.col(pos).cast("bigint").alias("pos")).alias("ord"),
+        F.struct(F.lit(file_rank).alias("file"), F.col(pos).alias("pos")).alias("ord"),
     )
 
 

@@ -322,8 +322,8 @@ def rate_macro_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarter_macro_df(spark, sf_dir)
 
 
-YEAR_CORR_FEATURES = ("avg_fed_funds_rate", "avg_unemployment_rate", "cpi_inflation_rate")
-QUARTER_CORR_FEATURES = ("avg_fed_funds_rate", "avg_unemployment_rate", "quarterly_cpi_inflation_rate")
+YEAR_CORR_FEATURES = V.ANNUAL_MACRO_FEATURES
+QUARTER_CORR_FEATURES = V.QUARTERLY_MACRO_FEATURES
 
 
 def corr_sql(features, target: str, label: str, value: str, source: str = "merged") -> str:
@@ -428,7 +428,7 @@ def state_rate_economics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state_rate_economics_df(spark, sf_dir)
 
 
-STATE_CORR_FEATURES = ("ers_unemployment_rate_2023", "ers_median_household_income_2022", "ers_poverty_rate_2023")
+STATE_CORR_FEATURES = V.STATE_FEATURES
 
 
 @register(
@@ -658,23 +658,41 @@ FINDING_PICKS = (
 
 @register("findings", None)
 def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headline facts.  All loan rate tables it needs (14 profile tables,
+    quarters, 4 segments) come from ONE shared scan of the loans."""
     loans = fixtures.loans(spark, sf_dir)
-    profile = rates.rate_profile(loans, min_loans=PROFILE_MIN_LOANS)
-    segs = rates.segment_profile(loans, FINDING_SEGMENTS, SEGMENT_MIN_LOANS)
-    control = control_df(spark, sf_dir)
+    groups = {n: (n,) for n in rates.DIMENSIONS}
+    groups["issue_quarter"] = ("issue_quarter",)
+    groups.update({f"segment:{s}": rates.SEGMENTS[s] for s in FINDING_SEGMENTS})
+    mins = dict(PROFILE_MIN_LOANS)
+    mins.update({f"segment:{s}": SEGMENT_MIN_LOANS[s] for s in FINDING_SEGMENTS})
+    tables = rates.shared_rates(rates.finalized(loans), groups, "table", ["key1", "key2"], mins)
+    counts = [F.col(c) for c in rates.RATE_COLUMNS]
+    profile = tables.filter(F.col("table").isin(*rates.DIMENSIONS)).select(
+        F.col("table").alias("dimension"), F.col("key1").alias("label"), *counts)
+    segs = tables.filter(F.col("table").startswith("segment:")).select(
+        F.substring("table", len("segment:") + 1, 100).alias("segment"), "key1", "key2", *counts)
+    quarters = tables.filter((F.col("table") == "issue_quarter") & F.col("key1").isNotNull()).select(
+        F.col("key1").alias("issue_quarter"), *counts)
+    years = profile.filter(F.col("dimension") == "issue_year").select(F.col("label").alias("issue_year"), *counts)
+    states_ = profile.filter(F.col("dimension") == "state").select(F.col("label").alias("state"), *counts)
+
+    monthly = fixtures.macro_monthly(spark, sf_dir)
+    econ = economics_df(spark, sf_dir)
+    control = states.state_control(loans, econ, CONTROL_MIN_LOANS)
     matrix = fusion.correlation_matrix(control, V.CONTROL_TARGETS, V.CONTROL_FEATURES)
     picks = [(f, d, "last" if last else "first") for f, d, last in FINDING_PICKS] + [("term_highest", "term", "highest")]
     seg_names = [(f"segment_{s}_top", s) for s in FINDING_SEGMENTS]
-    counts = [
-        FD.row_count(year_macro_df(spark, sf_dir), "matched_years"),
-        FD.row_count(quarter_macro_df(spark, sf_dir), "matched_quarters"),
-        FD.row_count(state_rate_economics_df(spark, sf_dir), "matched_states"),
+    counts_parts = [
+        FD.row_count(fusion.rate_with_period_macro(years, macro.annual_macro(monthly), "issue_year"), "matched_years"),
+        FD.row_count(fusion.rate_with_period_macro(quarters, macro.quarterly_macro(monthly), "issue_quarter"), "matched_quarters"),
+        FD.row_count(fusion.attach(states_, econ, "state"), "matched_states"),
         FD.row_count(control, "control_states"),
     ]
     order = [p[0] for p in picks] + [f for f, _ in seg_names] + [f for f, _, _ in FINDING_LOOKUPS] + [
         "matched_years", "matched_quarters", "matched_states", "control_states"]
     parts = [FD.profile_picks(profile, picks), FD.segment_tops(segs, seg_names), FD.lookups(matrix, FINDING_LOOKUPS)]
-    return FD.union_findings(parts + counts, order)
+    return FD.union_findings(parts + counts_parts, order)
 
 
 def _findings_sql() -> str:
