@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import pearson, round_exact
 from ..functions.values import UNKNOWN
+from . import rates
 
 
 def attach(left: DataFrame, features: DataFrame, key: str) -> DataFrame:
@@ -25,10 +26,18 @@ def attach(left: DataFrame, features: DataFrame, key: str) -> DataFrame:
     return left.join(features, on=key, how="inner")
 
 
-def rate_with_period_macro(rates: DataFrame, macro: DataFrame, key: str) -> DataFrame:
-    """Published period rates (``Unknown`` dropped) x period macro."""
-    known = rates.filter(F.col(key) != F.lit(UNKNOWN))
-    return attach(known, macro, key).orderBy(key)
+def rate_with_period_macro(rate_table: DataFrame, macro: DataFrame, key: str) -> DataFrame:
+    """Published period rates (``Unknown`` dropped) x period macro.
+
+    Both sides have one row per period and non-NULL keys (NULL periods are
+    dropped upstream, on aggregated rows).  The keys are also declared
+    non-nullable (``coalesce``): otherwise the optimizer infers an IS NOT NULL
+    filter for the join and pushes it below the aggregates, re-deriving the
+    period of every input row."""
+    known = rates.keep_groups(rate_table, F.col(key) != F.lit(UNKNOWN))
+    known = known.withColumn(key, F.coalesce(F.col(key), F.lit("")))
+    periods = macro.withColumn(key, F.coalesce(F.col(key), F.lit("")))
+    return attach(known, periods, key).orderBy(key)
 
 
 def correlation_table(

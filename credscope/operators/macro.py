@@ -40,13 +40,17 @@ def period_macro(
     parsed = monthly.select(
         period.alias(period_name),
         *[lenient_float(src).alias(src) for src, _ in MONTHLY_SERIES],
-    ).filter(F.col(period_name).isNotNull())
+    )
     agg = parsed.groupBy(period_name).agg(
         *[exact_mean(src).alias(out) for src, out in MONTHLY_SERIES],
         *[F.count(src).alias(f"n_{src}") for src, _ in MONTHLY_SERIES],
     )
-    # Complete-case rule, evaluated on the period aggregates before the lag.
-    kept = agg.filter(F.least(*[F.col(f"n_{src}") for src, _ in MONTHLY_SERIES]) > 0)
+    # Complete-case rule on the period aggregates, before the lag: a period is
+    # kept when it is defined (malformed dates give a NULL period) and every
+    # series has a value.  Written as one predicate over the aggregates so it
+    # runs on the period rows, not pushed below the grouping into every input row.
+    least_n = F.least(*[F.col(f"n_{src}") for src, _ in MONTHLY_SERIES])
+    kept = agg.filter(F.when(F.col(period_name).isNull(), F.lit(0)).otherwise(least_n) > 0)
     cpi_out = dict(MONTHLY_SERIES)[CPI_SERIES]
     # One row per calendar period: bounded, so an unpartitioned window is safe.
     prev = F.lag(cpi_out).over(Window.orderBy(period_name))

@@ -167,15 +167,29 @@ def source_counts(finalized_loans: DataFrame, sources: Sequence[str]) -> DataFra
     return finalized_loans.groupBy(*sources).agg(*count_columns(False))
 
 
+def keep_groups(table: DataFrame, condition: Column) -> DataFrame:
+    """Keep the rows of an aggregated rate table that satisfy ``condition``.
+
+    A plain filter on a derived key would be pushed by the optimizer below
+    both aggregation levels and re-derive the key for every input row; the
+    predicate is tied to ``loan_count`` (always >= 1 in a rate table) so it
+    is evaluated once per group instead.
+    """
+    return table.filter(F.when(condition, F.col("loan_count")).otherwise(F.lit(0)) > 0)
+
+
 def keyed_rates(finalized_loans: DataFrame, names: Sequence[str], min_loans: int = 0,
                 drop_null_keys: bool = False) -> DataFrame:
     """Rate table keyed by derived dimensions, via the two-level aggregation."""
     sources = list(dict.fromkeys(s for n in names for s in ALL_DIMENSIONS[n].sources))
     keyed = with_keys(source_counts(finalized_loans, sources), names)
+    table = keyed.groupBy(*names).agg(*count_columns(True))
     if drop_null_keys:
+        defined = F.lit(True)
         for n in names:
-            keyed = keyed.filter(F.col(n).isNotNull())
-    return finish_rates(keyed.groupBy(*names).agg(*count_columns(True)), min_loans)
+            defined = defined & F.col(n).isNotNull()
+        table = keep_groups(table, defined)
+    return finish_rates(table, min_loans)
 
 
 def rate_ordering(keys: Sequence[str], order: Order = "key", reverse: bool = False) -> list[Column]:
