@@ -70,6 +70,22 @@ def exact_sum(col: Column | str) -> Column:
     return F.sum(_c(col).try_cast(EXACT_DECIMAL))
 
 
+# Weighted exact sums (value x count): 12 integer + 8 fractional digits per
+# value and counts below 10**12 keep the product within decimal(38, 8).
+WEIGHTED_DECIMAL = "decimal(20,8)"
+COUNT_DECIMAL = "decimal(12,0)"
+
+
+def weighted_exact_sum(col: Column | str, weight: Column | str) -> Column:
+    """Exact ``sum(value * weight)`` for pre-counted rows (DECIMAL arithmetic)."""
+    return F.sum(_c(col).try_cast(WEIGHTED_DECIMAL) * _c(weight).cast(COUNT_DECIMAL))
+
+
+def weighted_count(col: Column | str, weight: Column | str) -> Column:
+    """Number of underlying rows with a non-NULL value."""
+    return F.sum(F.when(_c(col).isNotNull(), _c(weight)).otherwise(F.lit(0)))
+
+
 def exact_mean(col: Column | str) -> Column:
     """Mean of the non-NULL values, independent of partitioning/merge order."""
     c = _c(col)

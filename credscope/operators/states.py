@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_mean, ols, ratio, round_exact
+from ..functions.numeric import ols, ratio, round_exact, weighted_count, weighted_exact_sum
 from ..functions.parsing import is_state_fips, percent_float, thousands_float, unknown_if_blank
 from ..functions.values import (
     DEFAULT_MIN_LOANS,
@@ -82,27 +82,40 @@ def grade_share_columns(grades: Sequence[str] = GRADES) -> list[str]:
 def state_loan_features(loans: DataFrame, grades: Sequence[str] = GRADES) -> DataFrame:
     """Per-state count, rate, mean interest / FICO (non-NULL only) and
     grade shares over *all* loans of the state (unlisted grades stay in the
-    denominator).  Every value is rounded to 4 dp; means are exact."""
-    base = finalized(loans).select(
+    denominator).  Every value is rounded to 4 dp; means are exact.
+
+    Two-level plan, as for the rate tables: loans are counted per raw
+    (state, grade, int_rate, fico_low, fico_high) combination first, so the
+    text parsing runs once per distinct combination; the per-state sums are
+    then exact DECIMAL sums of value x count.
+    """
+    raw = ["addr_state", "grade", "int_rate", "fico_range_low", "fico_range_high"]
+    level1 = finalized(loans).groupBy(*raw).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("default_flag").alias("d")
+    )
+    parsed = level1.select(
         unknown_if_blank("addr_state").alias("state"),
-        "default_flag",
+        unknown_if_blank("grade").alias("grade"),
         percent_float("int_rate").alias("interest"),
         fico_midpoint().alias("fico"),
-        unknown_if_blank("grade").alias("grade"),
+        "n", "d",
     )
-    agg = base.groupBy("state").agg(
-        F.count(F.lit(1)).alias("loan_count"),
-        F.sum("default_flag").alias("default_count"),
-        exact_mean("interest").alias("avg_interest_rate"),
-        exact_mean("fico").alias("avg_fico"),
-        *[F.count(F.when(F.col("grade") == F.lit(g), 1)).alias(f"n_grade_{g}") for g in grades],
+    agg = parsed.groupBy("state").agg(
+        F.sum("n").alias("loan_count"),
+        F.sum("d").alias("default_count"),
+        weighted_exact_sum("interest", "n").alias("interest_sum"),
+        weighted_count("interest", "n").alias("interest_n"),
+        weighted_exact_sum("fico", "n").alias("fico_sum"),
+        weighted_count("fico", "n").alias("fico_n"),
+        *[F.sum(F.when(F.col("grade") == F.lit(g), F.col("n")).otherwise(F.lit(0))).alias(f"n_grade_{g}")
+          for g in grades],
     )
     return agg.select(
         "state",
-        "loan_count",
+        F.col("loan_count").cast("bigint").alias("loan_count"),
         round_exact(ratio("default_count", "loan_count"), 4).alias("default_rate"),
-        round_exact("avg_interest_rate", 4).alias("avg_interest_rate"),
-        round_exact("avg_fico", 4).alias("avg_fico"),
+        round_exact(ratio(F.col("interest_sum").cast("double"), "interest_n"), 4).alias("avg_interest_rate"),
+        round_exact(ratio(F.col("fico_sum").cast("double"), "fico_n"), 4).alias("avg_fico"),
         *[round_exact(ratio(f"n_grade_{g}", "loan_count"), 4).alias(f"share_grade_{g}") for g in grades],
     )
 
