@@ -687,7 +687,10 @@ def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
         FD.row_count(fusion.rate_with_period_macro(years, macro.annual_macro(monthly), "issue_year"), "matched_years"),
         FD.row_count(fusion.rate_with_period_macro(quarters, macro.quarterly_macro(monthly), "issue_quarter"), "matched_quarters"),
         FD.row_count(fusion.attach(states_, econ, "state"), "matched_states"),
-        FD.row_count(control, "control_states"),
+        # Rows of the control table = states with enough loans that have
+        # economics; counted from the shared scan instead of re-running it.
+        FD.row_count(fusion.attach(rates.keep_groups(states_, F.col("loan_count") >= CONTROL_MIN_LOANS),
+                                   econ.select("state"), "state"), "control_states"),
     ]
     order = [p[0] for p in picks] + [f for f, _ in seg_names] + [f for f, _, _ in FINDING_LOOKUPS] + [
         "matched_years", "matched_quarters", "matched_states", "control_states"]
