@@ -48,12 +48,21 @@ def _scaled(v: Column, lo: Column, hi: Column) -> Column:
     return (v - lo) / F.greatest(hi - lo, F.lit(SCALE_SPAN_FLOOR))
 
 
+def top_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
+    """The first ``n`` rows of a result table in its published order, with
+    their 1-based ``rank`` (a distributed top-k: ``orderBy().limit()``)."""
+    head = df.orderBy(*order).limit(n)
+    return head.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+
+
 def bar_dataset(df: DataFrame, label: str, value: str = "default_rate") -> DataFrame:
     """``label, label_text, value, scaled, value_label``; ``scaled`` is the
-    bar height ``value / max(value)`` (0 when the maximum is 0)."""
+    bar height ``value / max(value)`` (0 when the maximum is 0).  Extra columns
+    such as ``rank`` are kept."""
     s = with_stats(df, vmax=F.max(value))
     vmax = F.col("__s.vmax")
-    return s.select(
+    extra = [c for c in df.columns if c == "rank"]
+    return s.select(*extra, 
         F.col(label).cast("string").alias("label"),
         F.substring(F.col(label).cast("string"), 1, BAR_LABEL_WIDTH).alias("label_text"),
         F.col(value).alias("value"),

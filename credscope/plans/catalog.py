@@ -748,3 +748,27 @@ def _findings_sql() -> str:
 
 
 ORACLE["findings"] = _findings_sql()
+
+
+
+# ------------------------------------------------------------- O8: top-k bars
+
+@register(
+    "chart_top_states",
+    O.with_views(
+        f"""
+SELECT rank, state AS label, substr(state, 1, {V.BAR_LABEL_WIDTH}) AS label_text, default_rate AS value,
+       {O.r4('CASE WHEN vmax <> 0 THEN default_rate / vmax ELSE 0.0 END')} AS scaled,
+       {_value_text_sql('default_rate')} AS value_label
+FROM (SELECT CAST(row_number() OVER (ORDER BY default_rate DESC, loan_count DESC, state) AS BIGINT) AS rank, *
+      FROM t ORDER BY default_rate DESC, loan_count DESC, state LIMIT {V.TOP_STATES}) h,
+     (SELECT max(default_rate) AS vmax FROM
+        (SELECT default_rate FROM t ORDER BY default_rate DESC, loan_count DESC, state LIMIT {V.TOP_STATES}) m) s""",
+        "loans", extra=[("final_loans", FINAL_LOANS_SQL), ("t", STATE_RATES_SQL)],
+    ),
+)
+def chart_top_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O8 + C1: bar dataset of the 12 highest-rate states (published order)."""
+    table = rates.rate_by(fixtures.loans(spark, sf_dir), "state", STATE_MIN_LOANS)
+    order = rates.rate_ordering(["state"], "rate_desc")
+    return charts.bar_dataset(charts.top_rows(table, order, V.TOP_STATES), "state")

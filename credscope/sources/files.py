@@ -57,6 +57,18 @@ def read_loans_csv(spark: SparkSession, path: str) -> DataFrame:
     return read_csv_strings(spark, path)
 
 
+def ragged_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Audit of rows whose field count differs from the header (too short or
+    too long): the parsed columns plus the raw line as ``record``.  Spark
+    fills a short row with NULLs (counted as missing by the profile) and
+    drops extra fields.  (Spark refuses scans that read only the corrupt-record
+    column, hence the parsed columns are returned too.)"""
+    header = read_csv_strings(spark, path).columns
+    schema = string_schema(header).add("_corrupt_record", StringType(), True)
+    df = csv_reader(spark).schema(schema).option("columnNameOfCorruptRecord", "_corrupt_record").csv(path)
+    return df.filter(F.col("_corrupt_record").isNotNull()).withColumnRenamed("_corrupt_record", "record")
+
+
 def find_source(spark: SparkSession, root: str, exact_name: str, contains: str | None = None) -> str:
     """Locate an input file under ``root`` (recursively).
 

@@ -78,3 +78,11 @@ def test_run_all_end_to_end(spark, tmp_path):
     assert sorted(r[0] for r in econ_csv.select("state").collect()) == sorted(r[0] for r in econ.select("state").collect())
     lp = analyses.all_tables(loans, fixtures.macro_monthly(spark, SF_SMALL), unemp, pov, "x")
     assert lp["lc_overview"].filter(F.col("metric") == "all_rows").first()[1] == str(loans.count())
+
+
+def test_ragged_rows(spark, tmp_path):
+    p = tmp_path / "ragged.csv"
+    p.write_text("a,b,c\n1,2,3\n4,5\n6,7,8,9\n")
+    df = files.read_loans_csv(spark, str(p))
+    assert sorted(tuple(r) for r in df.collect()) == [("1", "2", "3"), ("4", "5", None), ("6", "7", "8")]
+    assert sorted(r["record"] for r in files.ragged_rows(spark, str(p)).collect()) == ["4,5", "6,7,8,9"]
