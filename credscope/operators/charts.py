@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import round_exact
+from ..functions.numeric import min_max_scaled, round_exact
 from ..functions.values import (
     BAR_LABEL_WIDTH,
     SCALE_SPAN_FLOOR,
@@ -45,7 +45,7 @@ def value_text(value: Column | str) -> Column:
 
 
 def _scaled(v: Column, lo: Column, hi: Column) -> Column:
-    return (v - lo) / F.greatest(hi - lo, F.lit(SCALE_SPAN_FLOOR))
+    return min_max_scaled(v, lo, hi, SCALE_SPAN_FLOOR)
 
 
 def top_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:

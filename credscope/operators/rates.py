@@ -79,6 +79,9 @@ class Dimension:
     bins: BinSpec | None = None
     min_loans: int = 0
     order: Order = "key"
+    # Near-unique raw values (amounts): counting per raw value would not
+    # shrink anything, so the label is derived per row before level 1.
+    per_row: bool = False
 
     def value_of(self, cols: Sequence[Column]) -> Column | None:
         return self.value(*cols) if self.value is not None else None
@@ -93,8 +96,9 @@ def _plain(name: str, source: str, fn: Callable[[Column], Column], min_loans: in
     return Dimension(name, (source,), label=fn, min_loans=min_loans, order=order)
 
 
-def _binned(name: str, sources: tuple[str, ...], value: Callable[..., Column], spec: BinSpec) -> Dimension:
-    return Dimension(name, sources, value=value, bins=spec, order=spec.order)
+def _binned(name: str, sources: tuple[str, ...], value: Callable[..., Column], spec: BinSpec,
+            per_row: bool = False) -> Dimension:
+    return Dimension(name, sources, value=value, bins=spec, order=spec.order, per_row=per_row)
 
 
 # The fourteen single-key tables of the loan profile (A1.1-A1.14).
@@ -104,7 +108,7 @@ PROFILE_DIMENSIONS: tuple[Dimension, ...] = (
     _plain("issue_month", "issue_d", issue_month),
     _plain("state", "addr_state", unknown_if_blank, DEFAULT_MIN_LOANS, "rate_desc"),
     _binned("interest_bin", ("int_rate",), percent_float, INTEREST),
-    _binned("income_bin", ("annual_inc",), percent_float, INCOME),
+    _binned("income_bin", ("annual_inc",), percent_float, INCOME, per_row=True),
     _binned("dti_bin", ("dti",), percent_float, DTI),
     _binned("fico_bin", ("fico_range_low", "fico_range_high"), fico_midpoint, FICO),
     _plain("purpose", "purpose", unknown_if_blank, DEFAULT_MIN_LOANS, "rate_desc"),
@@ -112,7 +116,7 @@ PROFILE_DIMENSIONS: tuple[Dimension, ...] = (
     _plain("term", "term", stripped_unknown),
     _plain("verification_status", "verification_status", unknown_if_blank),
     _plain("emp_length", "emp_length", unknown_if_blank, order=EMP_LENGTH_ORDER),
-    _binned("loan_amount_bin", ("loan_amnt",), percent_float, LOAN_AMOUNT),
+    _binned("loan_amount_bin", ("loan_amnt",), percent_float, LOAN_AMOUNT, per_row=True),
 )
 DIMENSIONS = {d.name: d for d in PROFILE_DIMENSIONS}
 # Quarter: its own table (A3); loans without a derivable quarter are dropped.
@@ -167,6 +171,11 @@ def source_counts(finalized_loans: DataFrame, sources: Sequence[str]) -> DataFra
     return finalized_loans.groupBy(*sources).agg(*count_columns(False))
 
 
+def _level1_sources(d: Dimension) -> tuple[str, ...]:
+    """Columns counted at level 1: the raw sources, or the per-row label."""
+    return (d.name,) if d.per_row else d.sources
+
+
 def keep_groups(table: DataFrame, condition: Column) -> DataFrame:
     """Keep the rows of an aggregated rate table that satisfy ``condition``.
 
@@ -181,8 +190,10 @@ def keep_groups(table: DataFrame, condition: Column) -> DataFrame:
 def keyed_rates(finalized_loans: DataFrame, names: Sequence[str], min_loans: int = 0,
                 drop_null_keys: bool = False) -> DataFrame:
     """Rate table keyed by derived dimensions, via the two-level aggregation."""
-    sources = list(dict.fromkeys(s for n in names for s in ALL_DIMENSIONS[n].sources))
-    keyed = with_keys(source_counts(finalized_loans, sources), names)
+    per_row = [n for n in names if ALL_DIMENSIONS[n].per_row]
+    rows = with_keys(finalized_loans, per_row) if per_row else finalized_loans
+    sources = list(dict.fromkeys(s for n in names for s in _level1_sources(ALL_DIMENSIONS[n])))
+    keyed = with_keys(source_counts(rows, sources), [n for n in names if n not in per_row])
     table = keyed.groupBy(*names).agg(*count_columns(True))
     if drop_null_keys:
         defined = F.lit(True)
@@ -276,7 +287,10 @@ def shared_rates(
     keys are derived per table on the distinct slot values, and level 2 sums
     per (table, keys).
     """
-    srcs = {g: [s for d in dims for s in ALL_DIMENSIONS[d].sources] for g, dims in groups.items()}
+    per_row = sorted({d for dims in groups.values() for d in dims if ALL_DIMENSIONS[d].per_row})
+    if per_row:
+        finalized_loans = with_keys(finalized_loans, per_row)
+    srcs = {g: [s for d in dims for s in _level1_sources(ALL_DIMENSIONS[d])] for g, dims in groups.items()}
     width = max(len(v) for v in srcs.values())
     slots = [f"s{i}" for i in range(width)]
     entries = F.array(*[
@@ -297,9 +311,9 @@ def shared_rates(
             for g, dims in groups.items():
                 if k >= len(dims):
                     continue  # a table with fewer keys leaves this key NULL
-                offset = sum(len(ALL_DIMENSIONS[d].sources) for d in dims[:k])
+                offset = sum(len(_level1_sources(ALL_DIMENSIONS[d])) for d in dims[:k])
                 d = ALL_DIMENSIONS[dims[k]]
-                cols = [F.col(slots[offset + j]) for j in range(len(d.sources))]
+                cols = [F.col(slots[offset + j]) for j in range(len(_level1_sources(d)))]
                 e = build(k, d, cols)
                 if e is None:
                     continue
@@ -308,9 +322,9 @@ def shared_rates(
             out.append(expr)
         return out
 
-    values = per_group(lambda k, d, cols: d.value_of(cols))
+    values = per_group(lambda k, d, cols: None if d.per_row else d.value_of(cols))
     bound = pre.withColumns({f"v{k}": v for k, v in enumerate(values) if v is not None})
-    labels = per_group(lambda k, d, cols: d.label_of(cols, F.col(f"v{k}") if d.value else None))
+    labels = per_group(lambda k, d, cols: cols[0] if d.per_row else d.label_of(cols, F.col(f"v{k}") if d.value else None))
     keyed = bound.withColumns(dict(zip(key_cols, labels)))
     agg = keyed.groupBy(group_col, *key_cols).agg(*count_columns(True))
     threshold = F.create_map(*[x for g in groups for x in (F.lit(g), F.lit(min_loans.get(g, 0)))])
