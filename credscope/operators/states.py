@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import ols, ratio, round_exact, weighted_count, weighted_exact_sum
+from ..functions.numeric import exact_sum, ols, ratio, round_exact, weighted_count, weighted_exact_sum
 from ..functions.parsing import is_state_fips, percent_float, thousands_float, unknown_if_blank
 from ..functions.values import (
     DEFAULT_MIN_LOANS,
@@ -85,28 +85,32 @@ def state_loan_features(loans: DataFrame, grades: Sequence[str] = GRADES) -> Dat
     denominator).  Every value is rounded to 4 dp; means are exact.
 
     Two-level plan, as for the rate tables: loans are counted per raw
-    (state, grade, int_rate, fico_low, fico_high) combination first, so the
-    text parsing runs once per distinct combination; the per-state sums are
-    then exact DECIMAL sums of value x count.
+    (state, grade, int_rate) combination -- a set bounded by the domain, not
+    by the number of loans -- so the interest text is parsed once per
+    combination; the FICO midpoint (two near-unique numbers per loan) is
+    parsed per row and summed exactly in DECIMAL inside the same aggregate.
+    Per-state sums are then exact sums of value x count.
     """
-    raw = ["addr_state", "grade", "int_rate", "fico_range_low", "fico_range_high"]
-    level1 = finalized(loans).groupBy(*raw).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("default_flag").alias("d")
+    raw = ["addr_state", "grade", "int_rate"]
+    level1 = finalized(loans).withColumn("fico", fico_midpoint()).groupBy(*raw).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("default_flag").alias("d"),
+        exact_sum("fico").alias("fico_sum"),
+        F.count("fico").alias("fico_n"),
     )
     parsed = level1.select(
         unknown_if_blank("addr_state").alias("state"),
         unknown_if_blank("grade").alias("grade"),
         percent_float("int_rate").alias("interest"),
-        fico_midpoint().alias("fico"),
-        "n", "d",
+        "n", "d", "fico_sum", "fico_n",
     )
     agg = parsed.groupBy("state").agg(
         F.sum("n").alias("loan_count"),
         F.sum("d").alias("default_count"),
         weighted_exact_sum("interest", "n").alias("interest_sum"),
         weighted_count("interest", "n").alias("interest_n"),
-        weighted_exact_sum("fico", "n").alias("fico_sum"),
-        weighted_count("fico", "n").alias("fico_n"),
+        F.sum("fico_sum").alias("fico_sum"),
+        F.sum("fico_n").alias("fico_n"),
         *[F.sum(F.when(F.col("grade") == F.lit(g), F.col("n")).otherwise(F.lit(0))).alias(f"n_grade_{g}")
           for g in grades],
     )
