@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.values import MONTH_ABBREVIATIONS
 from .tables import read_table
 
 LOAN_COLUMNS = (
@@ -33,6 +34,18 @@ def _text(c: Column) -> Column:
     return c.cast("bigint").cast("string")
 
 
+def _year_month(ts: str) -> tuple[Column, Column]:
+    """Year and zero-padded month of a TIMESTAMP_NTZ, independent of the
+    session time zone (no cast to a zoned timestamp)."""
+    return F.year(ts).cast("string"), F.lpad(F.month(ts).cast("string"), 2, "0")
+
+
+def _mon_yyyy(ts: str) -> Column:
+    """``Mon-YYYY`` (English month abbreviation), time-zone independent."""
+    names = F.array(*[F.lit(m) for m in MONTH_ABBREVIATIONS])
+    return F.concat(F.element_at(names, F.month(ts)), F.lit("-"), F.year(ts).cast("string"))
+
+
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw, all-string loan row per lineitem."""
     li = read_table(spark, sf_dir, "lineitem").select(
@@ -85,7 +98,7 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     issue_d = (
         F.when((F.col("o_orderpriority") == "4-NOT SPECIFIED") & (line == 4), F.lit(""))
         .when((F.col("o_orderpriority") == "1-URGENT") & (line == 5), F.lit("Foo-1999"))
-        .otherwise(F.date_format("o_orderdate", "MMM-yyyy"))
+        .otherwise(_mon_yyyy("o_orderdate"))
     )
     return j.select(
         F.concat(_text(F.col("l_orderkey")), F.lit("-"), _text(line)).alias("id"),
@@ -117,7 +130,8 @@ def macro_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_shipdate", "l_discount", "l_tax", "l_quantity"
     )
-    month = F.date_format("l_shipdate", "yyyy-MM")
+    year, mm = _year_month("l_shipdate")
+    month = F.concat(year, F.lit("-"), mm)
     agg = li.groupBy(month.alias("ym")).agg(
         F.sum(F.round(F.col("l_discount") * 100).cast("bigint")).alias("ff"),
         F.sum(F.round(F.col("l_tax") * 100).cast("bigint")).alias("ur"),
