@@ -1,5 +1,7 @@
 """Chart datasets (scaling, ticks, top-5 rules, labels) and findings."""
 
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL, rows
 from credscope.operators import charts, findings, rates
 from credscope.sources import fixtures
@@ -54,3 +56,23 @@ def test_findings_picks(spark):
     assert got["s_top"][1] == state[0][0]
     assert got["term_hi"][1] == max(term, key=lambda r: r[3])[0]
     assert got["emp_last"][1] == emp[-1][0]
+
+
+def test_lookups_and_segment_tops(spark):
+    matrix = spark.createDataFrame(
+        [("default_rate", "avg_fico", -0.5), ("default_rate", "share_grade_A", 0.1)],
+        "target string, feature string, correlation double",
+    )
+    got = rows(findings.lookups(matrix, [("f1", "default_rate", "avg_fico"), ("f2", "x", "y")]))
+    assert got == [("f1", "default_rate ~ avg_fico", -0.5, None)]
+    segs = spark.createDataFrame(
+        [("g", "A", "36", 100, 10, 0.1), ("g", "B", "36", 200, 20, 0.1), ("g", "C", "60", 50, 1, 0.02)],
+        "segment string, key1 string, key2 string, loan_count long, default_count long, default_rate double",
+    )
+    assert rows(findings.segment_tops(segs, [("top_g", "g")])) == [("top_g", "B / 36", 0.1, 200)]
+
+
+def test_top_rows(spark):
+    df = spark.createDataFrame([(s, 0.1 * i) for i, s in enumerate("ABCDE")], "state string, default_rate double")
+    got = rows(charts.top_rows(df, [F.desc("default_rate")], 2), "state", "rank")
+    assert got == [("E", 1), ("D", 2)]

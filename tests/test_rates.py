@@ -101,3 +101,19 @@ def test_quarter_drops_underivable(spark):
 def test_segment_limit(spark):
     data = [loan(grade=g, term=t) for g in "ABC" for t in (" 36 months", " 60 months")]
     assert len(rows(rates.segment(frame(spark, data), "grade_term", 0, limit=4))) == 4
+
+
+def test_count_desc_order(spark):
+    data = [loan(grade="B")] * 3 + [loan(grade="A")] * 3 + [loan(grade="C")] * 5
+    table = rates.keyed_rates(rates.finalized(frame(spark, data)), ["grade"])
+    assert [r[0] for r in rows(rates.order_rates(table, ["grade"], "count_desc"))] == ["C", "A", "B"]
+
+
+def test_keep_groups_is_not_pushed_below_aggregates(spark):
+    data = [loan(issue="Dec-2015"), loan(issue=""), loan(issue="Jan-2016")]
+    table = rates.keyed_rates(rates.finalized(frame(spark, data)), ["issue_year"])
+    kept = rates.keep_groups(table, F.col("issue_year") != "Unknown")
+    assert sorted(r[0] for r in rows(kept)) == ["2015", "2016"]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    # The predicate stays above the second aggregate (it reads loan_count).
+    assert plan.index("Filter") < plan.index("Aggregate")
