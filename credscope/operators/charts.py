@@ -2,10 +2,9 @@
 (W5), top-k labelling (W2, W3) and label formatting (P23).
 
 Nothing is drawn; each function returns the rows a plotting layer needs.
-Global statistics (max, min) are one aggregate attached as a scalar
-subquery, never an unpartitioned window over the rows.  Only positions along
-an ordered axis need a global order; the inputs here are result tables with
-one row per label, so that order is bounded by the number of labels.
+The inputs are result tables with one row per label (grade, year, state,
+segment), so whole-table statistics (max, min, count) and axis positions are
+windows over a table bounded by the number of labels, never over loan rows.
 """
 
 from __future__ import annotations
@@ -27,8 +26,15 @@ from ..functions.values import (
 
 
 def with_stats(df: DataFrame, **stats: Column) -> DataFrame:
-    """Attach global aggregates as ``__s.<name>`` (one scalar subquery)."""
-    return df.withColumn("__s", df.agg(F.struct(*[c.alias(n) for n, c in stats.items()])).scalar())
+    """Attach whole-table aggregates as ``__s.<name>``.
+
+    The inputs are result tables (one row per label, state or period), so a
+    window over the whole table is bounded by construction; unlike a scalar
+    subquery it reuses the rows already computed instead of re-running the
+    upstream plan for the statistics.
+    """
+    whole = Window.partitionBy()
+    return df.withColumn("__s", F.struct(*[c.over(whole).alias(n) for n, c in stats.items()]))
 
 
 def percent_text(value: Column | str, digits: int = 1) -> Column:

@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_sum, ols, ratio, round_exact, weighted_count, weighted_exact_sum
+from ..functions.numeric import exact_sum, ratio, round_exact, weighted_count, weighted_exact_sum
 from ..functions.parsing import is_state_fips, percent_float, thousands_float, unknown_if_blank
 from ..functions.values import (
     DEFAULT_MIN_LOANS,
@@ -134,26 +134,33 @@ CONTROLS = (
 def with_residuals(df: DataFrame, target: str = "default_rate", controls=CONTROLS) -> DataFrame:
     """A13 + A15 + J6: residual of ``target`` after a simple OLS on each control.
 
-    The coefficients are a one-row global aggregate over ``df``; they are
-    attached as an uncorrelated scalar subquery (computed once, shipped to
-    the tasks as a constant), so the rows are never shuffled for it.
-    Residuals are NULL when the control or the target is NULL; 4 dp.
+    ``df`` is the control table, one row per state, so the regression is a
+    window aggregate over that bounded table (the loan rows are never
+    involved, and the upstream plan is not re-run as a subquery would).
+    Fewer than two pairs give (0, 0); a constant control gives slope 0 and
+    intercept mean(y).  Residuals are NULL when the control or the target is
+    NULL; 4 dp.
     """
-    fits = []
+    whole = Window.partitionBy()
+    y = F.col(target)
+    fits = {}
     for i, (_, x) in enumerate(controls):
-        a, b = ols(target, x)
-        fits += [a.alias(f"a{i}"), b.alias(f"b{i}")]
-    # Bind the subquery to one column first: the optimizer does not inline a
-    # non-cheap expression into several references, so it runs exactly once.
-    out = df.withColumn("__coef", df.agg(F.struct(*fits)).scalar())
+        xc = F.col(x)
+        fits[f"__n{i}"] = F.regr_count(y, xc).over(whole)
+        fits[f"__b{i}"] = F.regr_slope(y, xc).over(whole)
+        fits[f"__a{i}"] = F.regr_intercept(y, xc).over(whole)
+        fits[f"__m{i}"] = F.regr_avgy(y, xc).over(whole)
+    out = df.withColumns(fits)
     raw = {}
     for i, (name, x) in enumerate(controls):
-        y, xc = F.col(target), F.col(x)
-        fitted = F.col(f"__coef.a{i}") + F.col(f"__coef.b{i}") * xc
-        raw[f"__{name}"] = F.when(xc.isNotNull() & y.isNotNull(), y - fitted)
+        n = F.col(f"__n{i}")
+        slope = F.when(n < 2, F.lit(0.0)).otherwise(F.coalesce(F.col(f"__b{i}"), F.lit(0.0)))
+        intercept = F.when(n < 2, F.lit(0.0)).otherwise(F.coalesce(F.col(f"__a{i}"), F.col(f"__m{i}")))
+        xc = F.col(x)
+        raw[f"__{name}"] = F.when(xc.isNotNull() & y.isNotNull(), y - (intercept + slope * xc))
     out = out.withColumns(raw)
     out = out.withColumns({name: round_exact(f"__{name}", 4) for name, _ in controls})
-    return out.drop("__coef", *raw)
+    return out.drop(*fits, *raw)
 
 
 def state_control(
