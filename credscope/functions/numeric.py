@@ -103,17 +103,22 @@ def pearson(x: Column | str, y: Column | str) -> Column:
     return F.try_divide(F.covar_pop(px, py), F.stddev_pop(px) * F.stddev_pop(py))
 
 
-def ols(y: Column | str, x: Column | str) -> tuple[Column, Column]:
+def ols(y: Column | str, x: Column | str, over=None) -> tuple[Column, Column]:
     """Simple least squares ``y = a + b x`` over complete pairs -> (a, b).
 
     Fewer than two pairs gives (0, 0); a constant ``x`` gives slope 0 and the
-    mean of ``y`` as intercept.
+    mean of ``y`` as intercept.  As aggregates by default, or as window
+    aggregates with ``over`` (a ``WindowSpec``).
     """
     yc, xc = _c(y), _c(x)
-    n = F.regr_count(yc, xc)
-    slope = F.when(n < 2, F.lit(0.0)).otherwise(F.coalesce(F.regr_slope(yc, xc), F.lit(0.0)))
+
+    def agg(c: Column) -> Column:
+        return c.over(over) if over is not None else c
+
+    n = agg(F.regr_count(yc, xc))
+    slope = F.when(n < 2, F.lit(0.0)).otherwise(F.coalesce(agg(F.regr_slope(yc, xc)), F.lit(0.0)))
     intercept = F.when(n < 2, F.lit(0.0)).otherwise(
-        F.coalesce(F.regr_intercept(yc, xc), F.regr_avgy(yc, xc))
+        F.coalesce(agg(F.regr_intercept(yc, xc)), agg(F.regr_avgy(yc, xc)))
     )
     return intercept, slope
 

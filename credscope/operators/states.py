@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_sum, ratio, round_exact, weighted_count, weighted_exact_sum
+from ..functions.numeric import exact_sum, ols, ratio, round_exact, weighted_count, weighted_exact_sum
 from ..functions.parsing import is_state_fips, percent_float, thousands_float, unknown_if_blank
 from ..functions.values import (
     DEFAULT_MIN_LOANS,
@@ -145,19 +145,14 @@ def with_residuals(df: DataFrame, target: str = "default_rate", controls=CONTROL
     y = F.col(target)
     fits = {}
     for i, (_, x) in enumerate(controls):
-        xc = F.col(x)
-        fits[f"__n{i}"] = F.regr_count(y, xc).over(whole)
-        fits[f"__b{i}"] = F.regr_slope(y, xc).over(whole)
-        fits[f"__a{i}"] = F.regr_intercept(y, xc).over(whole)
-        fits[f"__m{i}"] = F.regr_avgy(y, xc).over(whole)
+        a, b = ols(target, x, over=whole)
+        fits[f"__a{i}"], fits[f"__b{i}"] = a, b
     out = df.withColumns(fits)
     raw = {}
     for i, (name, x) in enumerate(controls):
-        n = F.col(f"__n{i}")
-        slope = F.when(n < 2, F.lit(0.0)).otherwise(F.coalesce(F.col(f"__b{i}"), F.lit(0.0)))
-        intercept = F.when(n < 2, F.lit(0.0)).otherwise(F.coalesce(F.col(f"__a{i}"), F.col(f"__m{i}")))
         xc = F.col(x)
-        raw[f"__{name}"] = F.when(xc.isNotNull() & y.isNotNull(), y - (intercept + slope * xc))
+        fitted = F.col(f"__a{i}") + F.col(f"__b{i}") * xc
+        raw[f"__{name}"] = F.when(xc.isNotNull() & y.isNotNull(), y - fitted)
     out = out.withColumns(raw)
     out = out.withColumns({name: round_exact(f"__{name}", 4) for name, _ in controls})
     return out.drop(*fits, *raw)
