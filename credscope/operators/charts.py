@@ -58,6 +58,7 @@ def top_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows of a result table in its published order, with
     their 1-based ``rank`` (a distributed top-k: ``orderBy().limit()``)."""
     head = df.orderBy(*order).limit(n)
+    # At most n rows reach the ranking window.
     return head.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
@@ -144,6 +145,7 @@ def scatter_dataset(
         F.col(label).alias("label"), F.col(x).alias("x"), F.col(y).alias("y")
     )
     s = with_stats(pts, x_lo=F.min("x"), x_hi=F.max("x"), y_lo=F.min("y"), y_hi=F.max("y"))
+    # Bounded: one point per state/label of a result table.
     w = Window.orderBy(F.desc("y"), "label")
     rank = F.rank().over(Window.orderBy(F.desc("y"))) if ties else F.row_number().over(w)
     return s.select(
