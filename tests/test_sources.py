@@ -86,3 +86,18 @@ def test_ragged_rows(spark, tmp_path):
     df = files.read_loans_csv(spark, str(p))
     assert sorted(tuple(r) for r in df.collect()) == [("1", "2", "3"), ("4", "5", None), ("6", "7", "8")]
     assert sorted(r["record"] for r in files.ragged_rows(spark, str(p)).collect()) == ["4,5", "6,7,8,9"]
+
+
+def test_command_line(spark, tmp_path):
+    from credscope.__main__ import main
+    loans = fixtures.loans(spark, SF_SMALL)
+    raw = tmp_path / "raw" / "lending_club"
+    raw.mkdir(parents=True)
+    loans.toPandas().to_csv(raw / "accepted_2007_to_2018Q4.csv", index=False)  # one real file
+    _as_csv(fixtures.macro_monthly(spark, SF_SMALL).orderBy("observation_date"), str(tmp_path / "macro"))
+    _as_csv(fixtures.state_unemployment(spark, SF_SMALL).orderBy("pos").drop("pos"), str(tmp_path / "unemp"))
+    _as_csv(fixtures.state_poverty(spark, SF_SMALL).orderBy("pos").drop("pos"), str(tmp_path / "pov"))
+    assert main(["--loans", str(tmp_path / "raw"), "--macro", str(tmp_path / "macro"),
+                 "--unemployment", str(tmp_path / "unemp"), "--poverty", str(tmp_path / "pov"),
+                 "--out", str(tmp_path / "out"), "--min-loans", "100"]) == 0
+    assert os.path.isdir(tmp_path / "out" / "lc_default_by_grade")
