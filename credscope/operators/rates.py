@@ -291,18 +291,27 @@ def shared_rates(
     if per_row:
         finalized_loans = with_keys(finalized_loans, per_row)
     srcs = {g: [s for d in dims for s in _level1_sources(ALL_DIMENSIONS[d])] for g, dims in groups.items()}
-    width = max(len(v) for v in srcs.values())
+    # Tables reading the same raw columns (year, month and quarter all read
+    # issue_d) share one expanded row per loan; they are fanned out only
+    # after level 1, on the distinct raw values.
+    sources = list(dict.fromkeys(tuple(v) for v in srcs.values()))
+    width = max(len(v) for v in sources)
     slots = [f"s{i}" for i in range(width)]
     entries = F.array(*[
         F.struct(
-            F.lit(g).alias(group_col),
-            *[(F.col(s).cast("string") if i < len(srcs[g]) else F.lit(None).cast("string")).alias(slots[i])
-              for i, s in enumerate(srcs[g] + [None] * (width - len(srcs[g])))],
+            F.lit(e).alias("__source"),
+            *[(F.col(c).cast("string") if c is not None else F.lit(None).cast("string")).alias(slots[i])
+              for i, c in enumerate(list(src) + [None] * (width - len(src)))],
         )
-        for g in groups
+        for e, src in enumerate(sources)
     ])
     long = finalized_loans.select("default_flag", F.inline(entries))
-    pre = long.groupBy(group_col, *slots).agg(*count_columns(False))
+    level1 = long.groupBy("__source", *slots).agg(*count_columns(False))
+    fan_out = F.create_map(*[
+        x for e, src in enumerate(sources)
+        for x in (F.lit(e), F.array(*[F.lit(g) for g in groups if tuple(srcs[g]) == src]))
+    ])
+    pre = level1.withColumn(group_col, F.explode(fan_out[F.col("__source")])).drop("__source")
 
     def per_group(build: Callable[[int, Dimension, list[Column]], Column | None]) -> list[Column]:
         out = []
