@@ -34,3 +34,20 @@ def test_query_matches_oracle(spark, con, name):
 def test_queries_run_at_smallest_scale(spark):
     for name, q in E.queries().items():
         assert q(spark, SF_SMALL).count() >= 0, name
+
+
+def test_results_independent_of_session_settings(spark, con):
+    """Same values with ANSI off, many shuffle partitions and a time zone
+    whose daylight-saving switch skips midnight."""
+    settings = {"spark.sql.ansi.enabled": "false", "spark.sql.shuffle.partitions": "64",
+                "spark.sql.session.timeZone": "America/Sao_Paulo"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        for name in ("rate_by_month", "macro_quarterly", "state_control_features"):
+            r = check(spark, con, SF_ORACLE, name)
+            assert r["values_ok"] and r["spark_rows"] == r["oracle_rows"], r
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
