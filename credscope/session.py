@@ -23,6 +23,29 @@ RECOMMENDED_CONF = {
 }
 
 
+# Target bytes per task for scans and data-sized shuffles.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def scale_settings(input_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
+    """Settings sized for an input of ``input_bytes`` (e.g. 100 TB of loans).
+
+    Scans are split into ``target_bytes`` pieces.  The only data-sized
+    shuffles are joins (the aggregations shuffle partial aggregates, a few
+    rows per task), so the initial shuffle partition count follows the input
+    size and adaptive execution coalesces the small ones and splits skewed
+    join partitions.
+    """
+    partitions = max(200, min(200_000, -(-input_bytes // target_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "credscope", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(RECOMMENDED_CONF)

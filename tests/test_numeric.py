@@ -54,3 +54,12 @@ def test_ols_fallbacks(spark):
     assert got["one"] == (0.0, 0.0)
     assert got["const"] == (3.0, 0.0)
     assert abs(got["line"][0] - 1.0) < 1e-12 and abs(got["line"][1] - 2.0) < 1e-12
+
+
+def test_scale_settings():
+    from credscope.session import scale_settings
+    big = scale_settings(100 * 1024**4)
+    assert big["spark.sql.shuffle.partitions"] == "200000"      # 409,600 splits, capped
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024**2)
+    assert int(scale_settings(10 * 1024**3)["spark.sql.shuffle.partitions"]) == 200
+    assert int(scale_settings(1024**4)["spark.sql.shuffle.partitions"]) == 4096
