@@ -15,6 +15,7 @@ import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import values as V
 from ..operators import charts, fusion, macro, profile, rates, states
@@ -57,8 +58,14 @@ def loan_profile(loans: DataFrame, source_name: str, t: Thresholds = Thresholds(
 
 
 def risk_segments(loans: DataFrame, t: Thresholds = Thresholds()) -> dict[str, DataFrame]:
-    return {f"lc_segment_{name}": rates.segment(loans, name, t.segments.get(name, V.DEFAULT_MIN_LOANS))
-            for name in rates.SEGMENTS}
+    """The five segment tables, sliced from one shared scan (O5 order each)."""
+    shared = rates.segment_profile(loans, min_loans=t.segments)
+    out = {}
+    for name, (k1, k2) in rates.SEGMENTS.items():
+        one = shared.filter(F.col("segment") == name).select(
+            F.col("key1").alias(k1), F.col("key2").alias(k2), *rates.RATE_COLUMNS)
+        out[f"lc_segment_{name}"] = rates.order_rates(one, [k1, k2], "rate_desc")
+    return out
 
 
 def macro_fusion(year_rates: DataFrame, quarter_rates: DataFrame, monthly: DataFrame) -> dict[str, DataFrame]:

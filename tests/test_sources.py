@@ -67,7 +67,8 @@ def test_run_all_end_to_end(spark, tmp_path):
     out = tmp_path / "out"
     written = analyses.run_all(spark, str(tmp_path / "in/loans"), str(tmp_path / "in/macro"),
                                str(tmp_path / "in/unemp"), str(tmp_path / "in/pov"), str(out),
-                               analyses.Thresholds(state=100, purpose=100, control=100))
+                               analyses.Thresholds(state=100, purpose=100, control=100,
+                                                   segments={s: 10 for s in rates.SEGMENTS}))
     assert written["lc_default_by_grade"] and written["lc_state_control_features"]
     back = files.read_csv_strings(spark, str(out / "lc_default_by_grade"))
     want = [tuple(str(v) for v in r) for r in rows(rates.rate_by(loans, "grade"))]
@@ -76,6 +77,9 @@ def test_run_all_end_to_end(spark, tmp_path):
     econ = states.state_economics(unemp, pov)
     assert econ_csv.count() == econ.count()
     assert sorted(r[0] for r in econ_csv.select("state").collect()) == sorted(r[0] for r in econ.select("state").collect())
+    seg_csv = files.read_csv_strings(spark, str(out / "lc_segment_grade_term"))
+    want_seg = [tuple(str(v) for v in r) for r in rows(rates.segment(loans, "grade_term", 10))]
+    assert [tuple(r) for r in seg_csv.collect()] == want_seg
     lp = analyses.all_tables(loans, fixtures.macro_monthly(spark, SF_SMALL), unemp, pov, "x")
     assert lp["lc_overview"].filter(F.col("metric") == "all_rows").first()[1] == str(loans.count())
 
