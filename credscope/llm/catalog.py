@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import op01_mixing, op04_packing, op07_exact_dedup, op08_pii
+from . import op01_mixing, op02_minhash, op04_packing, op07_exact_dedup, op08_pii
 
 QUERIES = {
     "op1_mixing": op01_mixing.query,
+    "op2_minhash": op02_minhash.query,
     "op4_packing": op04_packing.query,
     "op7_exact_dedup": op07_exact_dedup.query,
     "op8_pii": op08_pii.query,
