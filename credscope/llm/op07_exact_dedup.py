@@ -25,8 +25,10 @@ EDGE = 64
 def _named(ws: Workspace, df: DataFrame, cols: list[str]) -> DataFrame:
     """Distinct values of ``cols`` with an integer name in sorted order.
 
-    Written before use: the names stay the same when a task runs again."""
-    ranked = df.select(*cols).distinct().repartitionByRange(*cols).sortWithinPartitions(*cols)
+    The sort is within the partitions that ``distinct`` dealt by value, and a
+    name holds its partition's number.  Written before use: the names stay the
+    same when a task runs again."""
+    ranked = df.select(*cols).distinct().sortWithinPartitions(*cols)
     return ws.store(ranked.withColumn("name", F.monotonically_increasing_id()), "names")
 
 
