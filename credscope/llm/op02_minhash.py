@@ -5,14 +5,17 @@ element of a set falls into a hashed bin with a hashed value; a bin keeps the
 least value of the first round that reached it.  Rounds go on until every bin
 is filled; the second half of the rounds puts all elements into one given bin
 each, so no coordinate can stay empty.  Bands of coordinates that agree make
-candidates, which are confirmed on the full sets of word sequences.
+candidates, which are confirmed on the full sets of word sequences (pairs whose
+sketches agree in too few coordinates for any chance of it are left out).
 
 Documents with equal word sequences are one node.  Candidates are not all
 pairs of a band's bucket: each round compares the members of a bucket with a
-few pivots, then drops a member near a pivot when the triangle inequality of
+few pivots (nodes outside its largest component), then drops a member near a pivot when the triangle inequality of
 the Jaccard distance leaves it no possible partner outside the pivot's group.
-Rounds go on until no bucket holds nodes of two components, so no link
-between candidates is lost, whatever a bucket's size.
+A large bucket whose nodes have no links, as those of a passage that many
+documents share, is banded again by other coordinates.  Rounds go on until no
+bucket holds nodes of two components, so no link between candidates is lost,
+whatever a bucket's size.
 """
 
 from __future__ import annotations
@@ -31,9 +34,12 @@ from .words import join_texts, mix64, sequence_hashes, slices, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 80
-#: A pair at the threshold T agrees in no band with probability (1 - T ** ROWS) ** BANDS: 2e-8 at 0.85, 3e-6 at 0.8.
-BANDS, ROWS = 24, 4
+BINS = 96
+#: A pair agrees in no band of ``ROWS`` chosen coordinates with a probability of about 5e-6 at a similarity of 0.85, 1e-4 at 0.8.
+BANDS, ROWS = 40, 6
 PIVOTS = 64
+#: So often may a bucket of nodes without links be banded anew.
+DEEPER = 4
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOW = np.uint64((1 << 48) - 1)
@@ -89,8 +95,8 @@ def _key(words: list[bytes]) -> bytes:
     return hashlib.sha256(b" ".join(words)).digest()[:16]
 
 
-def _sketch_rows(n: int, bands: int, rows: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("class", pa.binary()), ("bands", pa.list_(pa.int64()))])
+def _signatures(n: int):
+    """doc_id, text -> doc_id, n_shingles, class, sig: 16 bits of each coordinate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches, 1):
@@ -98,23 +104,53 @@ def _sketch_rows(n: int, bands: int, rows: int):
             element, owner = shingle_sets(texts, n)
             sizes = np.bincount(owner, minlength=len(texts))
             used = np.flatnonzero(sizes)
-            sketch = sketches(element, np.searchsorted(used, owner), len(used), bands * rows)
-            keys = sequence_keys(sketch, bands, rows).view(np.int64)
-            ends = np.concatenate(([0], np.cumsum((sizes > 0) * bands)))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(sizes, pa.int64()), pa.array([_key(t.split()) for t in texts], pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.reshape(-1), pa.int64()))],
-                schema=schema,
-            )
+            short = sketches(element, np.searchsorted(used, owner), len(used), BINS).astype("<u2")
+            sig = [None] * len(texts)
+            for i, x in zip(used, short):
+                sig[i] = x.tobytes()
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array([_key(t.split()) for t in texts], pa.binary()), pa.array(sig, pa.binary())], names=["doc_id", "n_shingles", "class", "sig"])
 
     return run
 
 
-def sequence_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One hash for each band of a sketch; bands never share a key by content."""
-    acc = np.repeat(np.arange(1, bands + 1, dtype=np.uint64)[None, :], len(sketch), axis=0)
-    for i in range(rows):
-        acc = mix64(acc * np.uint64(0xD6E8FEB86659FD93) + sketch[:, i::rows][:, :bands])
-    return acc
+def _bands(bands: int, rows: int, seed: int):
+    """node, bucket, sig -> node, bucket: a bucket for each band, within the given one."""
+    columns = [np.random.default_rng([seed, i]).permutation(BINS)[:rows] for i in range(bands)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            sig = np.frombuffer(b"".join(x.as_py() for x in batch.column(2)), dtype="<u2").reshape(len(batch), BINS).astype(np.uint64)
+            at = mix64(batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) + np.uint64(seed))
+            for i, c in enumerate(columns):
+                key = mix64(at + np.uint64(i + 1))
+                for j in c:
+                    key = mix64(key * np.uint64(0xD6E8FEB86659FD93) + sig[:, j])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key.view(np.int64))], names=["node", "bucket"])
+
+    return run
+
+
+def least_agreement(similarity: float, miss: float = 1e-9) -> int:
+    """Coordinates of which sketches of two sets of at least this similarity
+    agree in fewer with a probability of at most ``miss`` (Chernoff bound)."""
+    for k in range(int(BINS * similarity), 0, -1):
+        p = k / BINS
+        if BINS * (p * np.log(p / similarity) + (1 - p) * np.log((1 - p) / (1 - similarity))) > -np.log(miss):
+            return k
+    return 0
+
+
+def _agreeing(least: int):
+    """a, b, both signatures -> the pairs that agree in enough coordinates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(v.as_py() for v in batch.column(i)), dtype="<u2").reshape(-1, BINS) for i in (2, 3))
+            yield batch.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= least))
+
+    return run
 
 
 def _check_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,42 +185,63 @@ def _overlap(n: int):
     return run
 
 
-def _settle(ws: Workspace, buckets: DataFrame, texts: DataFrame, n: int, threshold: int) -> DataFrame:
-    """u, v: links' components (see ``components``) of the nodes in ``buckets``."""
-    tested = labels = links = None
-    salts = 1
+def _settle(ws: Workspace, buckets: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, threshold: int) -> DataFrame | None:
+    """u, v: links' components (see ``components``) of the nodes in ``buckets``
+    (bucket, node, comp).  ``nodes``: node, sig.  ``texts``: node, words."""
+    tested = labels = None
     far = 2 * threshold - 100  # under this similarity to a pivot, none of the pivot's partners can be linked
     slack = 1 - threshold / 100
+    agreeing = _agreeing(least_agreement(far / 100))
+    side = lambda df, name, value: df.select(F.col("node").alias(name), F.col(value).alias(f"{value}_{name}"))
+    turn = 0
     while not buckets.isEmpty():
-        pivots = ws.store(buckets.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(salts)).alias("salt")).agg(F.min(F.struct("node", "comp")).alias("p")).select("bucket", F.col("p.node").alias("pivot"), F.col("p.comp").alias("pivot_comp")), "pivots")
-        near = buckets.join(pivots, "bucket").where("node != pivot")
-        pairs = near.where("comp != pivot_comp").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+        # pivots: nodes outside the bucket's largest component (at first, any)
+        largest = buckets.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"))
+        able = buckets.join(largest, "bucket").where("comp != main") if turn else buckets
+        salt = F.pmod(F.xxhash64("node"), F.lit(min(PIVOTS, 4**turn)))
+        pivots = ws.store(able.groupBy("bucket", salt.alias("salt")).agg(F.min(F.struct("node", "comp")).alias("p")).select("bucket", F.col("p.node").alias("pivot"), F.col("p.comp").alias("pivot_comp")), "pivots")
+        near = buckets.join(pivots, "bucket").where("comp != pivot_comp")
+        pairs = near.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        full = pairs.join(texts.select(F.col("node").alias("a"), F.col("words").alias("words_a")), "a").join(texts.select(F.col("node").alias("b"), F.col("words").alias("words_b")), "b")
-        new = ws.store(full.select("a", "b", "words_a", "words_b").mapInArrow(_overlap(n), "a long, b long, both long, either long").distinct(), "tested")
-        tested = new if tested is None else ws.store(tested.unionByName(new), "tested-all")
+        pairs = pairs.join(side(nodes, "a", "sig"), "a").join(side(nodes, "b", "sig"), "b").select("a", "b", "sig_a", "sig_b")
+        pairs = ws.store(pairs.mapInArrow(agreeing, "a long, b long"), "pairs")
+        full = pairs.join(side(texts, "a", "words"), "a").join(side(texts, "b", "words"), "b").select("a", "b", "words_a", "words_b")
+        new = ws.store(full.mapInArrow(_overlap(n), "a long, b long, both long, either long").distinct(), "tested")
         linked = F.col("both") * 100 >= F.col("either") * threshold
         fresh = new.where(linked).select(F.col("b").alias("u"), F.col("a").alias("v"))
-        links = fresh if labels is None else labels.union(fresh)
-        labels = components(ws, links)
+        labels = components(ws, fresh if labels is None else labels.union(fresh))
+        tested = new if tested is None else ws.store(tested.unionByName(new), "tested-all")
 
-        near = ws.store(
-            near.select("bucket", "node", "pivot", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).join(tested, ["a", "b"]).select("bucket", "node", "pivot", (1 - F.col("both") / F.col("either")).alias("d"), linked.alias("linked"), (F.col("both") * 100 >= F.col("either") * far).alias("close")),
-            "near",
-        )
-        edge = near.where("close AND NOT linked").groupBy("bucket", "pivot").agg(F.min("d").alias("least"))
-        done = (
-            near.where("linked").join(edge, ["bucket", "pivot"], "left").where(F.col("least").isNull() | (F.col("d") < F.col("least") - slack - 1e-9)).select("bucket", "node")
-            .union(pivots.select("bucket", F.col("pivot").alias("node")))
+        # pairs that aren't in ``tested`` are of one component, or far
+        near = (
+            near.select("bucket", "node", "pivot", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+            .join(tested, ["a", "b"])
+            .select("bucket", "node", "pivot", (1 - F.col("both") / F.col("either")).alias("d"), linked.alias("linked"), (F.col("both") * 100 >= F.col("either") * far).alias("close"))
         )
+        near = ws.store(near.where("linked OR close"), "near")
+        edge = near.where("NOT linked").groupBy("bucket", "pivot").agg(F.min("d").alias("least"))
+        safe = near.where("linked").join(edge, ["bucket", "pivot"], "left").where(F.col("least").isNull() | (F.col("d") < F.col("least") - slack - 1e-9))
+        done = safe.select("bucket", "node").union(pivots.select("bucket", F.col("pivot").alias("node")))
         rest = buckets.select("bucket", "node").join(done, ["bucket", "node"], "left_anti").join(labels, F.col("node") == labels.u, "left").select("bucket", "node", F.coalesce("v", "node").alias("comp"))
-        open_bucket = rest.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("bucket")
-        buckets = ws.store(rest.join(open_bucket, "bucket"), "rest")
-        salts = PIVOTS
+        sizes = rest.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n"), F.count(F.when(F.col("comp") == F.col("node"), 1)).alias("alone"))
+        rest = ws.store(rest.join(sizes.where("x != y"), "bucket"), "rest")
+        buckets, turn = rest.select("bucket", "node", "comp"), turn + 1
+        # many nodes that share little more than this band: bands within the bucket
+        if turn <= DEEPER:
+            wide = (F.col("n") > PIVOTS) & (F.col("alone") == F.col("n"))
+            if not rest.where(wide).isEmpty():
+                buckets = ws.store(buckets.join(rest.where(wide).select("bucket").distinct(), "bucket", "left_anti").union(_shared(rest.where(wide).join(nodes, "node").select("node", "bucket", "sig"), 24, 4, turn)), "deeper")
     return labels
 
 
+def _shared(rows: DataFrame, bands: int, band_rows: int, seed: int) -> DataFrame:
+    """bucket, node, comp of the buckets with two nodes or more."""
+    entries = rows.mapInArrow(_bands(bands, band_rows, seed), "node long, bucket long")
+    shared = entries.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x != y").select("bucket")
+    return entries.join(shared, "bucket").select("bucket", "node", F.col("node").alias("comp"))
+
+
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row.
 
@@ -202,19 +259,19 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESH
     """
     ws = Workspace(docs.sparkSession, "near-dedup")
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    slim = ws.store(picked.mapInArrow(_sketch_rows(shingle, bands, rows), "doc_id long, n_shingles long, class binary, bands array<long>"), "sketches")
+    slim = ws.store(picked.mapInArrow(_signatures(shingle), "doc_id long, n_shingles long, class binary, sig binary"), "sketches")
     some = slim.where("n_shingles > 0")
     classes = ws.store(some.groupBy("class").agg(F.min("doc_id").alias("first")).withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    reps = some.join(classes, "class").where(F.col("doc_id").eqNullSafe(F.col("first")))
-    entries = reps.select("node", F.explode("bands").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x != y").select("bucket")
-    buckets = ws.store(entries.join(shared, "bucket").select("bucket", "node", F.col("node").alias("comp")), "buckets")
-    wanted = classes.join(buckets.select("node").distinct(), "node")
-    wanted = ws.store(wanted, "wanted")
-    found = picked.join(wanted, picked.doc_id.eqNullSafe(wanted["first"])).select("node", "class", "text")
+    # rows stored several times give their node again, which changes nothing
+    reps = ws.store(some.join(classes, "class").where(F.col("doc_id").eqNullSafe(F.col("first"))).select("node", F.lit(0).cast("long").alias("bucket"), "sig"), "nodes")
+    buckets = ws.store(_shared(reps, bands, rows, 0).distinct(), "buckets")
+    wanted = ws.store(buckets.select("node").distinct(), "wanted")
+    of_class = classes.join(wanted, "node")
+    found = picked.join(of_class, picked.doc_id.eqNullSafe(of_class["first"])).select("node", "class", "text")
     texts = ws.store(found.mapInArrow(_check_class, "node long, words binary"), "texts")
-    labels = _settle(ws, buckets, texts, shingle, threshold)
+    nodes = ws.store(reps.join(wanted, "node").select("node", "sig"), "signatures")
+    labels = _settle(ws, buckets, nodes, texts, shingle, threshold)
 
     named = classes.select("class", "first", "node")
     if labels is not None:

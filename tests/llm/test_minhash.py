@@ -78,6 +78,15 @@ def test_sketch_estimates_similarity():
         assert abs(np.mean(errors)) < 0.03
 
 
+def test_buckets_without_links_are_banded_anew(make_docs, monkeypatch):
+    monkeypatch.setattr(op, "PIVOTS", 8)
+    passage = " ".join(f"p{i}" for i in range(120))
+    rng = random.Random(6)
+    rows = [(i, passage + " " + " ".join(f"u{rng.randrange(10**9)}" for _ in range(60))) for i in range(70)]
+    rows += [(100 + i, edited(rows[i][1], 3, rng)) for i in range(20)]
+    assert sorted((tuple(r) for r in op.near_groups(make_docs(rows), 3, 85).collect()), key=str) == brute(rows, 3, 85)
+
+
 def test_word_hashes_over_slices(monkeypatch):
     buf = b" ab  c\tab \n" + b"x" * 50 + b" c ab"
     whole = word_hashes(buf)
