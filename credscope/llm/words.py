@@ -25,8 +25,9 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def word_hashes(buf: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, starts and ends of the words (runs without ASCII white space)."""
+def word_hashes(buf: bytes, prefix: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the words (runs without ASCII white space);
+    with ``prefix`` the hashes are of their first bytes, that many at most."""
     raw = np.frombuffer(buf, dtype=np.uint8)
     edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[raw], [True])).astype(np.int8)))
     starts, ends = edge[::2], edge[1::2]
@@ -39,6 +40,8 @@ def word_hashes(buf: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         power = np.cumprod(np.full(size, _BASE))
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((raw[lo:hi].astype(np.uint64) + np.uint64(1)) * power)))
         s, e = starts[at:to] - lo, ends[at:to] - lo
+        if prefix:
+            e = np.minimum(e, s + prefix)
         back = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size, _INVERSE))))
         out[at:to] = mix64((total[e] - total[s]) * back[s] + (e - s).astype(np.uint64) * _STEP)
         at = to
