@@ -11,7 +11,7 @@ taken by a filter.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, Workspace, table, text_of
@@ -75,6 +75,28 @@ def _refine(docs: DataFrame, state: DataFrame, level: int) -> DataFrame:
     )
 
 
+def _hash(seed: str) -> Column:
+    """The document's number below 2 ** HASH_BITS, by doc_id."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def thresholds(ws: Workspace, slim: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
+    """source, lo (the hash under which documents are taken once more), passes,
+    source_size, target.  ``slim``: source, size, hash of every row."""
+    targets = source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
+    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    state = targets.select("source", F.lit(0).cast("long").alias("lo"), (F.col("target") - passes * F.col("source_size")).alias("need"), passes.alias("passes"), "source_size", "target")
+    for level in range(HASH_BITS // LEVEL_BITS):
+        # each level reads the state twice: stored, or the work would double by level
+        state = ws.store(_refine(slim, state, level), "state")
+    return state
+
+
+def _slim(ws: Workspace, docs: DataFrame, seed: str) -> DataFrame:
+    return ws.store(docs.select("doc_id", "source", F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"), _hash(seed).alias("hash")), "sizes")
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, seed: str = "mix") -> DataFrame:
     """doc_id, size, source_size, target, taken, copies, source: one row per row.
 
@@ -87,22 +109,23 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RE
     columns are ignored; an empty table gives no rows.
     """
     ws = Workspace(docs.sparkSession, "mixing")
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")), 1, HASH_BITS // 4)
-    slim = ws.store(
-        docs.select("doc_id", "source", F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"), F.conv(digits, 16, 10).cast("long").alias("hash")),
-        "sizes",
-    )
-    targets = source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
-    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    state = targets.select("source", F.lit(0).cast("long").alias("lo"), (F.col("target") - passes * F.col("source_size")).alias("need"), passes.alias("passes"), "source_size", "target")
-    for level in range(HASH_BITS // LEVEL_BITS):
-        # each level reads the state twice: stored, or the work would double by level
-        state = ws.store(_refine(slim, state, level), "state")
-    d, s = slim.alias("d"), state.alias("s")
+    slim = _slim(ws, docs, seed)
+    d, s = slim.alias("d"), thresholds(ws, slim, weights, most).alias("s")
     copies = F.col("s.passes") + F.when(F.col("d.hash") < F.col("s.lo"), 1).otherwise(0)
     return d.join(s, F.col("d.source").eqNullSafe(F.col("s.source"))).select("d.doc_id", "d.size", "s.source_size", "s.target", (F.col("d.size") * copies).alias("taken"), copies.alias("copies"), F.col("d.source").alias("source"))
 
 
+def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, seed: str = "mix") -> DataFrame:
+    """The mix itself: the rows of ``docs``, all columns as they are, each as
+    often as ``mix`` has it."""
+    ws = Workspace(docs.sparkSession, "mixing")
+    s = thresholds(ws, _slim(ws, docs, seed), weights, most).alias("s")
+    rows = docs.select(F.struct("*").alias("row"), F.col("source").alias("key"), _hash(seed).alias("hash"))
+    copies = F.col("passes") + F.when(F.col("hash") < F.col("lo"), 1).otherwise(0)
+    rows = rows.join(s, F.col("key").eqNullSafe(F.col("s.source"))).select("row", copies.alias("copies")).where("copies > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
+
+
 def query(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))
 

@@ -96,7 +96,7 @@ def _key(words: list[bytes]) -> bytes:
 
 
 def _signatures(n: int):
-    """doc_id, text -> doc_id, n_shingles, class, sig: 16 bits of each coordinate."""
+    """doc_id, text, text_hash -> these without text, n_shingles, class, sig: 16 bits of each coordinate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches, 1):
@@ -108,7 +108,7 @@ def _signatures(n: int):
             sig = [None] * len(texts)
             for i, x in zip(used, short):
                 sig[i] = x.tobytes()
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array([_key(t.split()) for t in texts], pa.binary()), pa.array(sig, pa.binary())], names=["doc_id", "n_shingles", "class", "sig"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(sizes, pa.int64()), pa.array([_key(t.split()) for t in texts], pa.binary()), pa.array(sig, pa.binary())], names=["doc_id", "text_hash", "n_shingles", "class", "sig"])
 
     return run
 
@@ -243,7 +243,7 @@ def _shared(rows: DataFrame, bands: int, band_rows: int, seed: int) -> DataFrame
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per row.
+    """doc_id, n_shingles, component_id, kept, text_hash: one row per row.
 
     Documents are linked when 100 * intersection >= threshold * union of their
     sets of ``shingle`` words (A-Z in lower case; fewer words: the sequence as
@@ -258,8 +258,8 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESH
     table gives no rows.  Memory: a slice of texts, or the longest text.
     """
     ws = Workspace(docs.sparkSession, "near-dedup")
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    slim = ws.store(picked.mapInArrow(_signatures(shingle), "doc_id long, n_shingles long, class binary, sig binary"), "sketches")
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    slim = ws.store(picked.mapInArrow(_signatures(shingle), "doc_id long, text_hash long, n_shingles long, class binary, sig binary"), "sketches")
     some = slim.where("n_shingles > 0")
     classes = ws.store(some.groupBy("class").agg(F.min("doc_id").alias("first")).withColumn("node", F.monotonically_increasing_id()), "classes")
 
@@ -278,9 +278,18 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESH
         named = named.join(labels, named.node == labels.u, "left").select("class", "first", F.coalesce("v", "node").alias("node"))
     least = named.groupBy("node").agg(F.min("first").alias("component_id"))
     of_class = named.join(least, "node").select("class", "component_id")
-    rows_out = slim.select("doc_id", "n_shingles", "class").join(of_class, "class", "left")
+    rows_out = slim.select("doc_id", "text_hash", "n_shingles", "class").join(of_class, "class", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return rows_out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return rows_out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_hash")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, one document of each
+    component: the one with the smallest doc_id."""
+    groups = near_groups(docs, shingle, threshold).where("NOT kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
+    groups = Workspace(docs.sparkSession, "near-dedup").store(groups, "gone")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
+    return rows.join(groups, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("hash") == F.col("gone_hash")), "left_anti").select("row.*")
 
 
 def query(spark, sf_dir):

@@ -33,11 +33,11 @@ def _named(ws: Workspace, df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256: one row per document.
+    """doc_id, keep_id, group_size, kept, text_sha256, copies: one row per document.
 
     Null text counts as empty; all empty texts are one group.  Rows equal in
     doc_id and text are one document stored several times: one row returned,
-    every copy counted in ``group_size``.  A doc_id repeated with another text
+    every copy counted in ``copies`` and ``group_size``.  A doc_id repeated with another text
     is another document.  The largest doc_id of a group stays; null is smaller
     than any.  Other columns are ignored; an empty table gives no rows.
     """
@@ -95,11 +95,24 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             F.when(found.sha.isNull(), slim.doc_id).otherwise(found.keep_id).alias("keep_id"),
             F.coalesce(found.group_size, slim.copies).alias("group_size"),
             slim.sha.alias("text_sha256"),
+            slim.copies,
         )
-        .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+        .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "copies")
     )
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, one of each group.
+
+    Rows that repeat a doc_id and text are rare; any one of them stays."""
+    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("kept_id"), "text_sha256", "copies")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.sha2(text_of(), 256).alias("sha"))
+    kept = Workspace(docs.sparkSession, "exact-dedup").store(kept, "kept")
+    rows = rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("sha") == F.col("text_sha256")))
+    one = rows.where("copies > 1").groupBy("id", "sha").agg(F.first("row").alias("row"))
+    return rows.where("copies = 1").select("row.*").unionByName(one.select("row.*"))
+
+
 def query(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -107,6 +120,7 @@ def query(spark, sf_dir):
 ORACLE = """
 WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, coalesce(text, '') AS t FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
-SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_sha256
+SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_sha256,
+       count(*) OVER (PARTITION BY d.doc_id, d.text_sha256) AS copies
 FROM d JOIN g USING (t)
 """

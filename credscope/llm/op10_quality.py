@@ -211,6 +211,17 @@ def score(docs: DataFrame, trees: Trees, cut: float = CUT) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
 
 
+def keep_good(docs: DataFrame, trees: Trees, cut: float = CUT) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that score ``cut`` or more."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in slices(batches, at):
+            yield part.filter(pa.array(trees.score(statistics(texts)) >= cut))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def query(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return score(docs, train(docs, table(spark, sf_dir, "labels")))
