@@ -22,6 +22,25 @@ from . import rates
 
 FINDING_COLUMNS = ("finding", "label", "value", "n")
 
+FINDING_SEGMENTS = ("grade_term", "grade_purpose", "interest_fico", "state_grade")
+FINDING_LOOKUPS = (
+    ("corr_rate_vs_interest", "default_rate", "avg_interest_rate"),
+    ("corr_rate_vs_fico", "default_rate", "avg_fico"),
+    ("corr_rate_vs_poverty", "default_rate", "ers_poverty_rate_2023"),
+    ("corr_resid_interest_vs_poverty", "default_residual_after_avg_interest", "ers_poverty_rate_2023"),
+    ("corr_resid_fico_vs_poverty", "default_residual_after_avg_fico", "ers_poverty_rate_2023"),
+)
+# (finding, dimension, last row instead of first)
+FINDING_PICKS = (
+    ("grade_first", "grade", False),
+    ("grade_last", "grade", True),
+    ("interest_bin_first", "interest_bin", False),
+    ("interest_bin_last", "interest_bin", True),
+    ("state_top", "state", False),
+    ("purpose_top", "purpose", False),
+    ("loan_amount_bin_last", "loan_amount_bin", True),
+)
+
 
 def _shape(df: DataFrame, finding: Column, label: Column, value: Column, n: Column) -> DataFrame:
     return df.select(
@@ -102,3 +121,14 @@ def union_findings(parts: Sequence[DataFrame], order: Sequence[str]) -> DataFram
     rank = F.create_map(*[x for i, f in enumerate(order) for x in (F.lit(f), F.lit(i))])
     cols = [p.select(*FINDING_COLUMNS) for p in parts]
     return reduce(DataFrame.unionByName, cols).orderBy(rank[F.col("finding")]).select(*FINDING_COLUMNS)
+
+
+def assemble(profile: DataFrame, segments: DataFrame, matrix: DataFrame, **matched: DataFrame) -> DataFrame:
+    """The headline facts from the result tables: ``profile`` (dimension,
+    label, counts, rate), ``segments`` (segment, key1, key2, ...), the
+    correlation ``matrix``, and tables of which the rows are counted, by fact."""
+    picks = [(f, d, "last" if last else "first") for f, d, last in FINDING_PICKS] + [("term_highest", "term", "highest")]
+    seg_names = [(f"segment_{s}_top", s) for s in FINDING_SEGMENTS]
+    order = [p[0] for p in picks] + [f for f, _ in seg_names] + [f for f, _, _ in FINDING_LOOKUPS] + list(matched)
+    parts = [profile_picks(profile, picks), segment_tops(segments, seg_names), lookups(matrix, FINDING_LOOKUPS)]
+    return union_findings(parts + [row_count(df, name) for name, df in matched.items()], order)

@@ -29,14 +29,14 @@ def attach(left: DataFrame, features: DataFrame, key: str) -> DataFrame:
 def rate_with_period_macro(rate_table: DataFrame, macro: DataFrame, key: str) -> DataFrame:
     """Published period rates (``Unknown`` dropped) x period macro.
 
-    Both sides have one row per period and non-NULL keys (NULL periods are
-    dropped upstream, on aggregated rows).  The keys are also declared
+    NULL periods match nothing: they are dropped on both sides.  That filter
+    runs on aggregated rows (``keep_groups``), and the keys are then declared
     non-nullable (``coalesce``): otherwise the optimizer infers an IS NOT NULL
     filter for the join and pushes it below the aggregates, re-deriving the
     period of every input row."""
-    known = rates.keep_groups(rate_table, F.col(key) != F.lit(UNKNOWN))
+    known = rates.keep_groups(rate_table, F.col(key).isNotNull() & (F.col(key) != F.lit(UNKNOWN)))
     known = known.withColumn(key, F.coalesce(F.col(key), F.lit("")))
-    periods = macro.withColumn(key, F.coalesce(F.col(key), F.lit("")))
+    periods = macro.filter(F.col(key).isNotNull()).withColumn(key, F.coalesce(F.col(key), F.lit("")))
     return attach(known, periods, key).orderBy(key)
 
 

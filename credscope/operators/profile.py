@@ -68,17 +68,20 @@ def missing_profile(raw: DataFrame, top: int | None = MISSING_TOP) -> DataFrame:
     return out.drop("ordinal")
 
 
-def overview(loans: DataFrame, source_name: str, status: str = "loan_status") -> DataFrame:
+def overview(loans: DataFrame, source_name: str, status: str = "loan_status", statuses: DataFrame | None = None) -> DataFrame:
     """``metric, value`` rows: source, row counts, column count, overall rate.
 
     Values are text because the metrics have mixed types.  The overall
     default rate is ``round(defaults / usable, 4)``, or ``0`` without usable rows.
+    Everything follows from the rows by status: with ``statuses`` (a stored
+    :func:`status_distribution`) the loans aren't read again.
     """
-    flag = outcome_flag(status)
-    agg = loans.agg(
-        F.count(F.lit(1)).alias("all_rows"),
-        F.count(flag).alias("usable"),
-        F.sum(flag).cast("bigint").alias("defaults"),
+    statuses = status_distribution(loans, status) if statuses is None else statuses
+    flag, n = outcome_flag("loan_status"), F.col("count")
+    agg = statuses.agg(
+        F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("all_rows"),
+        F.coalesce(F.sum(F.when(flag.isNotNull(), n)), F.lit(0)).cast("bigint").alias("usable"),
+        F.sum(flag * n).cast("bigint").alias("defaults"),
     )
     rate = F.when(F.col("usable") > 0, round_exact(ratio("defaults", "usable"), 4).cast("string")).otherwise(F.lit("0"))
     metrics = (

@@ -228,19 +228,6 @@ def order_rates(df: DataFrame, keys: Sequence[str], order: Order = "key") -> Dat
     return df.orderBy(*rate_ordering(keys, order))
 
 
-def default_rates(
-    finalized_loans: DataFrame,
-    keys: str | Sequence[str],
-    min_loans: int = 0,
-    order: Order = "key",
-    limit: int | None = None,
-) -> DataFrame:
-    """A1/A2 over key column(s) that already exist on the rows."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    out = order_rates(aggregate_rates(finalized_loans, keys, min_loans), keys, order)
-    return out.limit(limit) if limit else out
-
-
 def rate_by(loans: DataFrame, name: str, min_loans: int | None = None) -> DataFrame:
     """One of the fourteen profile tables from raw loans (A1.n)."""
     d = DIMENSIONS[name]
@@ -282,8 +269,8 @@ def shared_rates(
     ``groups`` maps a table name to its dimensions (at most one per
     ``key_cols``; missing trailing keys are NULL).
     Each loan is expanded into one row per table holding that table's raw
-    source values in generic slots ``s0..sN`` (an ``Expand`` in the scan's
-    codegen stage, no parsing); level 1 counts per (table, slots), then the
+    source values in generic slots ``s0..sN`` (rows generated from an array,
+    no parsing); level 1 counts per (table, slots), then the
     keys are derived per table on the distinct slot values, and level 2 sums
     per (table, keys).
     """
@@ -363,3 +350,24 @@ def segment_profile(loans: DataFrame, names: Sequence[str] | None = None, min_lo
     mins = {n: DEFAULT_MIN_LOANS for n in names}
     mins.update(min_loans or {})
     return shared_rates(finalized(loans), {n: SEGMENTS[n] for n in names}, "segment", ["key1", "key2"], mins)
+
+
+def published_rates(loans: DataFrame, profile_mins: Mapping[str, int], segment_mins: Mapping[str, int]) -> DataFrame:
+    """Every rate table (14 dimensions, quarters, 5 segments) from ONE scan, long
+    form: ``table, key1, key2`` and the rate columns; segments are named
+    ``segment:<name>``.  Store it, then slice it."""
+    groups: dict[str, Sequence[str]] = {n: (n,) for n in DIMENSIONS} | {"issue_quarter": ("issue_quarter",)}
+    groups |= {f"segment:{s}": keys for s, keys in SEGMENTS.items()}
+    mins = {n: DIMENSIONS[n].min_loans for n in DIMENSIONS} | dict(profile_mins) | {f"segment:{s}": n for s, n in segment_mins.items()}
+    return shared_rates(finalized(loans), groups, "table", ["key1", "key2"], mins)
+
+
+def published_slice(published: DataFrame, name: str) -> DataFrame:
+    """One table of :func:`published_rates` in its own shape and order."""
+    keys = SEGMENTS[name.split(":")[1]] if name.startswith("segment:") else (name,)
+    one = published.filter(F.col("table") == name)
+    if name == "issue_quarter":
+        one = one.filter(F.col("key1").isNotNull())
+    one = one.select(*[F.col(f"key{i + 1}").alias(k) for i, k in enumerate(keys)], *RATE_COLUMNS)
+    order = "rate_desc" if len(keys) > 1 else "key" if name == "issue_quarter" else DIMENSIONS[name].order
+    return order_rates(one, list(keys), order)

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_sum, ols, ratio, round_exact, weighted_count, weighted_exact_sum
+from ..functions.numeric import exact_parts, ols, parts_total, ratio, resummed_parts, round_exact, weighted_count, weighted_parts
 from ..functions.parsing import is_state_fips, percent_float, thousands_float, unknown_if_blank
 from ..functions.values import (
     DEFAULT_MIN_LOANS,
@@ -95,21 +95,21 @@ def state_loan_features(loans: DataFrame, grades: Sequence[str] = GRADES) -> Dat
     level1 = finalized(loans).withColumn("fico", fico_midpoint()).groupBy(*raw).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("default_flag").alias("d"),
-        exact_sum("fico").alias("fico_sum"),
+        *exact_parts("fico", "fico"),
         F.count("fico").alias("fico_n"),
     )
     parsed = level1.select(
         unknown_if_blank("addr_state").alias("state"),
         unknown_if_blank("grade").alias("grade"),
         percent_float("int_rate").alias("interest"),
-        "n", "d", "fico_sum", "fico_n",
+        "n", "d", "fico_n", *[c for c in level1.columns if c.startswith("fico_") and c != "fico_n"],
     )
     agg = parsed.groupBy("state").agg(
         F.sum("n").alias("loan_count"),
         F.sum("d").alias("default_count"),
-        weighted_exact_sum("interest", "n").alias("interest_sum"),
+        *weighted_parts("interest", "n", "interest"),
         weighted_count("interest", "n").alias("interest_n"),
-        F.sum("fico_sum").alias("fico_sum"),
+        *resummed_parts("fico"),
         F.sum("fico_n").alias("fico_n"),
         *[F.sum(F.when(F.col("grade") == F.lit(g), F.col("n")).otherwise(F.lit(0))).alias(f"n_grade_{g}")
           for g in grades],
@@ -118,8 +118,8 @@ def state_loan_features(loans: DataFrame, grades: Sequence[str] = GRADES) -> Dat
         "state",
         F.col("loan_count").cast("bigint").alias("loan_count"),
         round_exact(ratio("default_count", "loan_count"), 4).alias("default_rate"),
-        round_exact(ratio(F.col("interest_sum").cast("double"), "interest_n"), 4).alias("avg_interest_rate"),
-        round_exact(ratio(F.col("fico_sum").cast("double"), "fico_n"), 4).alias("avg_fico"),
+        round_exact(ratio(parts_total("interest", weighted=True), "interest_n"), 4).alias("avg_interest_rate"),
+        round_exact(ratio(parts_total("fico"), "fico_n"), 4).alias("avg_fico"),
         *[round_exact(ratio(f"n_grade_{g}", "loan_count"), 4).alias(f"share_grade_{g}") for g in grades],
     )
 
@@ -162,9 +162,11 @@ def state_control(
     loans: DataFrame,
     economics: DataFrame,
     min_loans: int = DEFAULT_MIN_LOANS,
+    features: DataFrame | None = None,
 ) -> DataFrame:
     """State control table: loan features x economics for states with at least
-    ``min_loans`` finalized loans (J5), plus the two regression residuals."""
-    features = state_loan_features(loans).filter(F.col("loan_count") >= F.lit(min_loans))
+    ``min_loans`` finalized loans (J5), plus the two regression residuals.
+    ``features``: stored :func:`state_loan_features`, if there are any."""
+    features = (state_loan_features(loans) if features is None else features).filter(F.col("loan_count") >= F.lit(min_loans))
     joined = features.join(economics, on="state", how="inner")
     return with_residuals(joined).orderBy("state")

@@ -69,7 +69,8 @@ def pearson(x: str, y: str) -> str:
 
 
 def exact_mean(x: str) -> str:
-    return f"(CAST(sum(TRY_CAST({x} AS DECIMAL(24,8))) AS DOUBLE) / NULLIF(CAST(count({x}) AS DOUBLE), 0))"
+    """Compensated double sum over the count: no decimal, unlike the Spark side."""
+    return f"(fsum(CAST({x} AS DOUBLE)) / NULLIF(CAST(count({x}) AS DOUBLE), 0))"
 
 
 # ---------------------------------------------------------------- scalar twins

@@ -12,13 +12,15 @@ steps consume the upstream DataFrames *after* their rounding and HAVING
 from __future__ import annotations
 
 import os
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from ..operators import charts, fusion, macro, profile, rates, states
+from ..operators import charts, findings, fusion, macro, profile, rates, states
 from ..session import ensure_checkpoint_dir
 from ..sources import files
 
@@ -33,38 +35,52 @@ class Thresholds:
     control: int = V.DEFAULT_MIN_LOANS
 
 
-def loan_profile(loans: DataFrame, source_name: str, t: Thresholds = Thresholds()) -> dict[str, DataFrame]:
+#: Published table of each dimension.
+RATE_TABLES = {
+    "grade": "lc_default_by_grade", "issue_year": "lc_default_by_year",
+    "issue_month": "lc_default_by_month", "state": "lc_default_by_state_min1000",
+    "interest_bin": "lc_default_by_interest_bin", "income_bin": "lc_default_by_income_bin",
+    "dti_bin": "lc_default_by_dti_bin", "fico_bin": "lc_default_by_fico_bin",
+    "purpose": "lc_default_by_purpose_min1000", "home_ownership": "lc_default_by_home_ownership",
+    "term": "lc_default_by_term", "verification_status": "lc_default_by_verification_status",
+    "emp_length": "lc_default_by_emp_length", "loan_amount_bin": "lc_default_by_loan_amount_bin",
+}
+#: Bars of whole tables, and of the first rows of ordered ones.
+BARS = ("grade", "interest_bin", "fico_bin", "home_ownership", "loan_amount_bin", "term")
+TOP_BARS = {"state": V.TOP_STATES, "purpose": V.TOP_PURPOSES}
+SEGMENT_BARS = ("grade_term", "grade_purpose", "interest_fico", "state_grade")
+
+#: How a result that several tables read is kept: (frame, name) -> frame.
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def loan_profile(loans: DataFrame, published: DataFrame, source_name: str, keep: Keep) -> dict[str, DataFrame]:
     """Overview, status distribution, missing profile and the 14 rate tables."""
-    mins = {"state": t.state, "purpose": t.purpose}
+    statuses = keep(profile.status_distribution(loans), "statuses")
     out = {
-        "lc_overview": profile.overview(loans, source_name),
-        "lc_status_distribution": profile.status_distribution(loans),
+        "lc_overview": profile.overview(loans, source_name, statuses=statuses),
+        "lc_status_distribution": statuses.orderBy(F.desc("count"), "loan_status"),
         "lc_missing_top40": profile.missing_profile(loans, V.MISSING_TOP),
     }
-    names = {
-        "grade": "lc_default_by_grade", "issue_year": "lc_default_by_year",
-        "issue_month": "lc_default_by_month", "state": "lc_default_by_state_min1000",
-        "interest_bin": "lc_default_by_interest_bin", "income_bin": "lc_default_by_income_bin",
-        "dti_bin": "lc_default_by_dti_bin", "fico_bin": "lc_default_by_fico_bin",
-        "purpose": "lc_default_by_purpose_min1000", "home_ownership": "lc_default_by_home_ownership",
-        "term": "lc_default_by_term", "verification_status": "lc_default_by_verification_status",
-        "emp_length": "lc_default_by_emp_length", "loan_amount_bin": "lc_default_by_loan_amount_bin",
-    }
-    # One shared scan for all fourteen tables, sliced per table.
-    shared = rates.rate_profile(loans, min_loans=mins)
-    for dim, table in names.items():
-        out[table] = rates.profile_slice(shared, dim)
+    for dim, table in RATE_TABLES.items():
+        out[table] = rates.published_slice(published, dim)
     return out
 
 
-def risk_segments(loans: DataFrame, t: Thresholds = Thresholds()) -> dict[str, DataFrame]:
-    """The five segment tables, sliced from one shared scan (O5 order each)."""
-    shared = rates.segment_profile(loans, min_loans=t.segments)
-    out = {}
-    for name, (k1, k2) in rates.SEGMENTS.items():
-        one = shared.filter(F.col("segment") == name).select(
-            F.col("key1").alias(k1), F.col("key2").alias(k2), *rates.RATE_COLUMNS)
-        out[f"lc_segment_{name}"] = rates.order_rates(one, [k1, k2], "rate_desc")
+def risk_segments(published: DataFrame) -> dict[str, DataFrame]:
+    """The five segment tables (O5 order each)."""
+    return {f"lc_segment_{name}": rates.published_slice(published, f"segment:{name}") for name in rates.SEGMENTS}
+
+
+def loan_charts(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Bars, the year line and the segment bars of the loan tables."""
+    out = {f"chart_{d}_bar": charts.bar_dataset(tables[RATE_TABLES[d]], d) for d in BARS}
+    for d, n in TOP_BARS.items():
+        order = rates.rate_ordering([d], "rate_desc")
+        out[f"chart_top_{d}"] = charts.bar_dataset(charts.top_rows(tables[RATE_TABLES[d]], order, n), d)
+    out["chart_year_line"] = charts.line_dataset(tables["lc_default_by_year"], "issue_year")
+    for s in SEGMENT_BARS:
+        out[f"chart_segment_{s}"] = charts.segment_bars(tables[f"lc_segment_{s}"], rates.SEGMENTS[s])
     return out
 
 
@@ -95,15 +111,19 @@ def state_analysis(state_rates: DataFrame, economics: DataFrame) -> dict[str, Da
         "lc_default_by_state_with_ers_features": merged,
         "lc_ers_state_correlations": fusion.correlation_table(
             merged, V.STATE_FEATURES, "default_rate", "state_feature", "correlation_with_state_default_rate"),
-        "chart_state_vs_poverty": charts.scatter_dataset(merged, "ers_poverty_rate_2023", "default_rate", ties=True),
+        **{f"chart_state_vs_{name}": charts.scatter_dataset(merged, column, "default_rate", ties=True)
+           for name, column in zip(("unemployment", "income", "poverty"), V.STATE_FEATURES)},
     }
 
 
-def control_analysis(loans: DataFrame, economics: DataFrame, t: Thresholds = Thresholds()) -> dict[str, DataFrame]:
-    control = states.state_control(loans, economics, t.control)
+def control_analysis(loans: DataFrame, economics: DataFrame, t: Thresholds, keep: Keep) -> dict[str, DataFrame]:
+    features = keep(states.state_loan_features(loans), "state_features")
+    control = keep(states.state_control(loans, economics, t.control, features), "state_control").orderBy("state")
     return {
         "lc_state_control_features": control,
         "lc_state_control_correlations": fusion.correlation_matrix(control, V.CONTROL_TARGETS, V.CONTROL_FEATURES),
+        "chart_rate_vs_interest": charts.scatter_dataset(control, "avg_interest_rate", "default_rate"),
+        "chart_rate_vs_fico": charts.scatter_dataset(control, "avg_fico", "default_rate"),
         "chart_residual_interest_vs_poverty": charts.scatter_dataset(
             control, "ers_poverty_rate_2023", "default_residual_after_avg_interest"),
         "chart_residual_fico_vs_poverty": charts.scatter_dataset(
@@ -112,29 +132,42 @@ def control_analysis(loans: DataFrame, economics: DataFrame, t: Thresholds = Thr
 
 
 def all_tables(loans: DataFrame, monthly: DataFrame, unemployment: DataFrame, poverty: DataFrame,
-               source_name: str, t: Thresholds = Thresholds()) -> dict[str, DataFrame]:
-    """Every published table (and chart dataset) as one lazy DAG."""
-    out = loan_profile(loans, source_name, t)
-    out.update(risk_segments(loans, t))
-    out["chart_grade_bar"] = charts.bar_dataset(out["lc_default_by_grade"], "grade")
-    out["chart_year_line"] = charts.line_dataset(out["lc_default_by_year"], "issue_year")
-    out["chart_top_segments"] = charts.segment_bars(out["lc_segment_grade_term"], rates.SEGMENTS["grade_term"])
-    out.update(macro_fusion(out["lc_default_by_year"], rates.rate_by_quarter(loans), monthly))
-    economics = states.state_economics(unemployment, poverty)
+               source_name: str, t: Thresholds = Thresholds(), keep: Keep = lambda df, name: df) -> dict[str, DataFrame]:
+    """Every published table, chart dataset and the findings as one lazy DAG.
+
+    ``keep`` stores what several tables read; with it the loans are read four
+    times: rate tables, statuses, missing values, state features."""
+    published = keep(rates.published_rates(loans, {"state": t.state, "purpose": t.purpose}, t.segments), "rates")
+    out = loan_profile(loans, published, source_name, keep)
+    out.update(risk_segments(published))
+    out.update(loan_charts(out))
+    out.update(macro_fusion(out["lc_default_by_year"], rates.published_slice(published, "issue_quarter"), monthly))
+    economics = keep(states.state_economics(unemployment, poverty), "state_economics").orderBy("state")
     out.update(state_analysis(out["lc_default_by_state_min1000"], economics))
-    out.update(control_analysis(loans, economics, t))
+    out.update(control_analysis(loans, economics, t, keep))
+    counts = [F.col(c) for c in rates.RATE_COLUMNS]
+    out["findings"] = findings.assemble(
+        published.filter(F.col("table").isin(*rates.DIMENSIONS)).select(F.col("table").alias("dimension"), F.col("key1").alias("label"), *counts),
+        published.filter(F.col("table").startswith("segment:")).select(F.substring_index("table", ":", -1).alias("segment"), "key1", "key2", *counts),
+        out["lc_state_control_correlations"],
+        matched_years=out["lc_default_by_year_with_fred_macro"],
+        matched_quarters=out["lc_default_by_quarter_with_fred_macro"],
+        matched_states=out["lc_default_by_state_with_ers_features"],
+        control_states=out["lc_state_control_features"],
+    )
     return out
 
 
 def run_all(spark: SparkSession, loans_csv: str, macro_csv: str, unemployment_csv: str,
-            poverty_csv: str, out_dir: str, t: Thresholds = Thresholds()) -> dict[str, bool]:
-    """Land the raw CSVs once (Parquet in the shared checkpoint folder), run
-    every analysis, write each result table as one CSV.  Returns which tables
-    were written (empty tables are skipped, as in the original)."""
-    base = os.path.join(ensure_checkpoint_dir(spark), "landed")
-    loans = files.land_parquet(files.read_loans_csv(spark, loans_csv), f"{base}/loans")
+            poverty_csv: str, out_dir: str, t: Thresholds = Thresholds(), multiline: bool = True) -> dict[str, bool]:
+    """Land the raw CSVs once (Parquet in a fresh folder of the shared
+    checkpoint folder), run every analysis, write each result table as one CSV.
+    Returns which tables have rows."""
+    base = os.path.join(ensure_checkpoint_dir(spark), f"run-{uuid.uuid4().hex}")
+    loans = files.land_parquet(files.read_loans_csv(spark, loans_csv, multiline), f"{base}/loans")
     monthly = files.land_parquet(files.read_macro_csv(spark, macro_csv), f"{base}/macro_monthly")
     unemployment = files.land_parquet(files.read_state_long(spark, unemployment_csv, "State"), f"{base}/unemployment")
     poverty = files.land_parquet(files.read_state_long(spark, poverty_csv, "Stabr"), f"{base}/poverty")
-    tables = all_tables(loans, monthly, unemployment, poverty, os.path.basename(loans_csv), t)
+    tables = all_tables(loans, monthly, unemployment, poverty, os.path.basename(loans_csv), t,
+                        lambda df, name: files.land_parquet(df, f"{base}/{name}"))
     return {name: files.write_table(df, f"{out_dir}/{name}", single_file=True) for name, df in tables.items()}

@@ -636,24 +636,7 @@ def segment_top12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 from ..operators import findings as FD  # noqa: E402
 
-FINDING_SEGMENTS = ("grade_term", "grade_purpose", "interest_fico", "state_grade")
-FINDING_LOOKUPS = (
-    ("corr_rate_vs_interest", "default_rate", "avg_interest_rate"),
-    ("corr_rate_vs_fico", "default_rate", "avg_fico"),
-    ("corr_rate_vs_poverty", "default_rate", "ers_poverty_rate_2023"),
-    ("corr_resid_interest_vs_poverty", "default_residual_after_avg_interest", "ers_poverty_rate_2023"),
-    ("corr_resid_fico_vs_poverty", "default_residual_after_avg_fico", "ers_poverty_rate_2023"),
-)
-# (finding, dimension, last row instead of first)
-FINDING_PICKS = (
-    ("grade_first", "grade", False),
-    ("grade_last", "grade", True),
-    ("interest_bin_first", "interest_bin", False),
-    ("interest_bin_last", "interest_bin", True),
-    ("state_top", "state", False),
-    ("purpose_top", "purpose", False),
-    ("loan_amount_bin_last", "loan_amount_bin", True),
-)
+from ..operators.findings import FINDING_LOOKUPS, FINDING_PICKS, FINDING_SEGMENTS  # noqa: E402
 
 
 @register("findings", None)
@@ -671,7 +654,7 @@ def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = tables.filter(F.col("table").isin(*rates.DIMENSIONS)).select(
         F.col("table").alias("dimension"), F.col("key1").alias("label"), *counts)
     segs = tables.filter(F.col("table").startswith("segment:")).select(
-        F.substring("table", len("segment:") + 1, 100).alias("segment"), "key1", "key2", *counts)
+        F.substring_index("table", ":", -1).alias("segment"), "key1", "key2", *counts)
     quarters = tables.filter((F.col("table") == "issue_quarter") & F.col("key1").isNotNull()).select(
         F.col("key1").alias("issue_quarter"), *counts)
     years = profile.filter(F.col("dimension") == "issue_year").select(F.col("label").alias("issue_year"), *counts)
@@ -681,21 +664,16 @@ def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     econ = economics_df(spark, sf_dir)
     control = states.state_control(loans, econ, CONTROL_MIN_LOANS)
     matrix = fusion.correlation_matrix(control, V.CONTROL_TARGETS, V.CONTROL_FEATURES)
-    picks = [(f, d, "last" if last else "first") for f, d, last in FINDING_PICKS] + [("term_highest", "term", "highest")]
-    seg_names = [(f"segment_{s}_top", s) for s in FINDING_SEGMENTS]
-    counts_parts = [
-        FD.row_count(fusion.rate_with_period_macro(years, macro.annual_macro(monthly), "issue_year"), "matched_years"),
-        FD.row_count(fusion.rate_with_period_macro(quarters, macro.quarterly_macro(monthly), "issue_quarter"), "matched_quarters"),
-        FD.row_count(fusion.attach(states_, econ, "state"), "matched_states"),
+    return FD.assemble(
+        profile, segs, matrix,
+        matched_years=fusion.rate_with_period_macro(years, macro.annual_macro(monthly), "issue_year"),
+        matched_quarters=fusion.rate_with_period_macro(quarters, macro.quarterly_macro(monthly), "issue_quarter"),
+        matched_states=fusion.attach(states_, econ, "state"),
         # Rows of the control table = states with enough loans that have
         # economics; counted from the shared scan instead of re-running it.
-        FD.row_count(fusion.attach(rates.keep_groups(states_, F.col("loan_count") >= CONTROL_MIN_LOANS),
-                                   econ.select("state"), "state"), "control_states"),
-    ]
-    order = [p[0] for p in picks] + [f for f, _ in seg_names] + [f for f, _, _ in FINDING_LOOKUPS] + [
-        "matched_years", "matched_quarters", "matched_states", "control_states"]
-    parts = [FD.profile_picks(profile, picks), FD.segment_tops(segs, seg_names), FD.lookups(matrix, FINDING_LOOKUPS)]
-    return FD.union_findings(parts + counts_parts, order)
+        control_states=fusion.attach(rates.keep_groups(states_, F.col("loan_count") >= CONTROL_MIN_LOANS),
+                                     econ.select("state"), "state"),
+    )
 
 
 def _findings_sql() -> str:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings an analysis session should have; safe on local mode and clusters.
 RECOMMENDED_CONF = {
@@ -23,29 +23,6 @@ RECOMMENDED_CONF = {
 }
 
 
-# Target bytes per task for scans and data-sized shuffles.
-TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-
-
-def scale_settings(input_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
-    """Settings sized for an input of ``input_bytes`` (e.g. 100 TB of loans).
-
-    Scans are split into ``target_bytes`` pieces.  The only data-sized
-    shuffles are joins (the aggregations shuffle partial aggregates, a few
-    rows per task), so the initial shuffle partition count follows the input
-    size and adaptive execution coalesces the small ones and splits skewed
-    join partitions.
-    """
-    partitions = max(200, min(200_000, -(-input_bytes // target_bytes)))
-    return {
-        "spark.sql.files.maxPartitionBytes": str(target_bytes),
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-    }
-
-
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "credscope", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(RECOMMENDED_CONF)
@@ -60,8 +37,12 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's shared checkpoint folder, creating a local one
-    only when the session names none (local tests)."""
+    """Return the session's shared checkpoint folder.
+
+    A local folder is created only in local mode without a configured one (as
+    in tests): on a cluster executors don't share the driver's disk, so there a
+    missing ``spark.checkpoint.dir`` raises.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
@@ -70,17 +51,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
+    require_local(spark.sparkContext.master)
     local = tempfile.mkdtemp(prefix="credscope-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
-
-    Used for a base table that several analyses reuse: after this, a lost
-    executor re-reads the checkpoint files instead of recomputing the joins.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def require_local(master: str) -> None:
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")

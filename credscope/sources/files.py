@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -52,9 +52,12 @@ def read_csv_strings(spark: SparkSession, path: str, columns: Sequence[str] | No
     return reader.csv(path)
 
 
-def read_loans_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw loan file, header-defined columns, all strings."""
-    return read_csv_strings(spark, path)
+def read_loans_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """Raw loan file, header-defined columns, all strings.
+
+    ``multiline=False`` is for files without line breaks inside quotes: Spark
+    then splits one file over many tasks; otherwise a file is one task."""
+    return read_csv_strings(spark, path, multiline=multiline)
 
 
 def ragged_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -135,17 +138,19 @@ def land_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", single_file: bool = False) -> bool:
-    """Write a result table; returns False (and writes nothing) if empty.
+    """Write a result table; returns False if it turned out to be empty.
 
-    ``single_file`` keeps the rows in their sorted order in one CSV part and
-    is meant for the small published result tables only.
+    The plan runs once: rows are counted while they are written, and an empty
+    table leaves its header at most.  ``single_file`` keeps the rows in their
+    sorted order in one CSV part and is meant for the small published result
+    tables only.
     """
-    if df.isEmpty():
-        return False
-    out = df.coalesce(1) if single_file else df
+    seen = Observation()
+    out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    out = out.coalesce(1) if single_file else out
     writer = out.write.mode("overwrite")
     if fmt == "csv":
         writer.option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
     else:
         writer.format(fmt).save(path)
-    return True
+    return seen.get["rows"] > 0

