@@ -3,7 +3,7 @@ features per state (A8), and the regression "control" analysis (J5, A13,
 A15, J6).
 
 Long to wide with "last row in file order wins": both long files are
-unioned (tagged with their file rank) and reduced by ONE hash aggregate of
+unioned (tagged with their file rank) and reduced by ONE (sort) aggregate of
 ``max_by(value, (file, pos))`` per attribute.  That replaces two pivots plus
 a full outer join with a single shuffle; ``max_by`` is partially aggregated
 map-side, so a state holding a third of the rows costs nothing extra.
