@@ -202,8 +202,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Null html is empty; a page without text gives an empty text.  Pages are
     independent, so repeated rows and null ids and urls stay as they are; pages
-    of any length are read whole, in time linear in their length.  Other
-    columns are ignored; an empty table gives no rows.
+    of any length are read whole, in time linear in their length at a given
+    depth of nesting.  Other columns are ignored; an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
