@@ -42,6 +42,16 @@ def test_ids_and_padding(make_docs):
     assert check(op.pack(make_docs(rows), op.default_ranks()).collect(), rows, op.Limits()) == 0
 
 
+def test_added_token_in_texts(make_docs):
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", f"{end}start", f"the end{end}", end, end * 3, f"a  {end}  b\n\n{end} \n c", f"<|endoftext{end}|> {end[:-1]}", f"<|ENDOFTEXT|> <{end}>"]
+    rows = list(enumerate(texts))
+    assert op.encoder(op.default_ranks())(texts[0]) == [64, 220, 50256, 275]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert [op.encoder(op.default_ranks())(t) for t in texts] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert check(op.pack(make_docs(rows), op.default_ranks()).collect(), rows, op.Limits()) == 0
+
+
 def test_three_limits(make_docs):
     rows = [(i, t) for i, t in enumerate(invented(300, seed=9))] + [(i, "x") for i in range(300, 500)]
     limits = op.Limits(capacity=256, max_segments=4, max_loss=100)
