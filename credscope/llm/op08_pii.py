@@ -9,7 +9,8 @@ a and b; a and b are chosen so that a * b counts the valid values exactly and
 no value leaves its format:
 
     card    13 to 19 digits with a right check digit: the digits before it
-    phone   North American number: area code x (exchange, line)
+    phone   +1 and ten-digit forms: any area code x (exchange, line); the
+            digits after the country code of other numbers with a plus
     ssn     (area, group) x serial, invalid numbers left out
     ip      two octets x two octets
     date    1700-01-01 to 2099-12-31: 146097 days = 189 x 773
@@ -30,9 +31,15 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9][A-Za-z0-9-]*(?:\.[
 DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9-])"
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-PHONE = r"(?<![0-9+])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-]?[0-9]{4}(?![0-9])"
+TEN = r"[0-9]{3}[ .-][0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+PHONE = rf"(?<![0-9+])(?:\+1[ .-]?[0-9]{{10}}(?![0-9])|(?:\+?1[ .-]?)?(?:\([0-9]{{3}}\)[ .-]?[0-9]{{3}}[ .-]?[0-9]{{4}}(?![0-9])|{TEN}))"
+#: What a number followed by a blank doesn't run into.
+LAYOUT = r"[0-9]{13,19}(?![0-9])|[0-9]{4}[ -](?:[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{6}[ -][0-9]{4,5})(?![0-9])"
+OTHER = "|".join((EMAIL, DATE, IP, SSN))
+ABROAD = rf"(?<![0-9+])\+[2-9](?:(?: (?!{OTHER}|{LAYOUT})|[./-])?\(?[0-9]\)?){{6}}(?:(?: (?!{OTHER}|{LAYOUT}|{TEN})|[./-])?\(?[0-9]\)?){{0,8}}(?![0-9])"
+COUNTRY = "^(?:7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
-PATTERN = "|".join((EMAIL, DATE, IP, SSN, PHONE, CARD))
+PATTERN = "|".join((EMAIL, DATE, IP, SSN, PHONE, ABROAD, CARD))
 
 FIRST_DAY, DAYS = "1700-01-01", (189, 773)
 BASE36 = "0123456789abcdefghijklmnopqrstuvwxyz"
@@ -111,13 +118,27 @@ def _card(m: Column, key: str, back: bool) -> Column:
 def _phone(m: Column, key: str, back: bool) -> Column:
     def of(d: Column) -> Column:
         n = F.length(d)
-        area, line = F.substring(d, n - 9, F.lit(3)).cast("long") - 200, F.substring(d, n - 6, F.lit(7)).cast("long") - 2_000_000
-        pair = _feistel(area, line, _long(800), _long(8_000_000), key, "phone", back)
-        return _with(pair, lambda p: F.concat(F.substring(d, F.lit(1), n - 10), (p["l"] + 200).cast("string"), (p["r"] + 2_000_000).cast("string")))
+        area, line = F.substring(d, n - 9, F.lit(3)), F.substring(d, n - 6, F.lit(7))
+        pair = _feistel(area, line, _long(1000), _long(10_000_000), key, "phone", back)
+        return _with(pair, lambda p: F.concat(F.substring(d, F.lit(1), n - 10), _pad(p["l"], 3), _pad(p["r"], 7)))
 
     return _with(_digits(m), lambda d: _refill(m, of(d)))
 
 
+def _abroad(m: Column, key: str, back: bool) -> Column:
+    """A number with another country code, which stays."""
+    size = lambda n: F.pow(F.lit(10), n).cast("long")
+
+    def of(d: Column, code: Column) -> Column:
+        n = F.length(d) - F.length(code)
+        half = F.floor(n / 2).cast("int")
+        left, right = F.substring(d, F.length(code) + 1, half), F.substring(d, F.length(code) + half + 1, n - half)
+        pair = _feistel(left, right, size(half), size(n - half), key, F.concat(F.lit("phone"), code, F.lit("-"), n.cast("string")), back)
+        return _with(pair, lambda p: F.concat(code, _pad(p["l"], half), _pad(p["r"], n - half)))
+
+    return _with(_digits(m), lambda d: _refill(m, of(d, F.regexp_extract(d, COUNTRY, 0))))
+
+
 def _ssn(m: Column, key: str, back: bool) -> Column:
     part = lambda i, n: F.substring(m, i, n).cast("long")
     area, group, serial = part(1, 3), part(5, 2), part(8, 4)
@@ -186,6 +207,7 @@ def pseudonym(m: Column, key: str = KEY, back: bool = False) -> Column:
         .when(whole(IP), _ip(m, key, back))
         .when(whole(SSN), _ssn(m, key, back))
         .when(whole(PHONE), _phone(m, key, back))
+        .when(m.startswith("+"), _abroad(m, key, back))
         .otherwise(_card(m, key, back))
     )
 

@@ -73,3 +73,26 @@ def test_texts(spark, make_docs, odd_rows):
     back = op.pseudonymize(out.select("doc_id", "text"), back=True)
     assert sorted((str(r.doc_id), r.text) for r in back.collect()) == sorted((str(r[0]), r[1] or "") for r in rows)
     assert op.pseudonymize(make_docs([])).collect() == []
+
+
+AREAS = [f"+1 ({a:03d}) 555-{7000 + a}" for a in (*range(200), 999)]
+PLUS = ["+44 20 7946 0958", "+442079460958", "+44 (0)20 7946 0958", "+49 30 901820", "+49 30/901820-12", "+33 1 23 45 67 89", "+353-1-555-0199", "+7 (495) 123-45-67", "+290 2345"]
+
+
+def test_phones_of_any_area_code_and_country(spark, make_docs):
+    values = [*AREAS, "+10175557713", "+1 0175557713", "017.555.7713", "(136) 155-7479", "1-017-055-7713", *PLUS]
+    out = op.pseudonymize(make_docs([(i, f"call {v}, now") for i, v in enumerate(values)]))
+    got = {r.doc_id: r for r in out.collect()}
+    assert [list(got[i].found) for i in range(len(values))] == [[v] for v in values]
+    assert len({got[i].pseudonyms[0] for i in range(len(AREAS))}) == len(AREAS)
+    for i, v in enumerate(values):
+        assert re.sub(r"\d", "0", got[i].pseudonyms[0]) == re.sub(r"\d", "0", v) and got[i].text == f"call {got[i].pseudonyms[0]}, now"
+    for v, n, same in zip(PLUS, replaced(spark, PLUS), ("+44", "+44", "+44", "+49", "+49", "+33", "+353", "+7", "+290")):
+        assert n != v and n.startswith(same)
+    assert {r.doc_id: r.text for r in op.pseudonymize(out.select("doc_id", "text"), back=True).collect()} == {i: f"call {v}, now" for i, v in enumerate(values)}
+
+
+def test_plus_numbers_leave_the_next_value(spark, make_docs):
+    number, after = "+49 30 901820", ["4111 1111 1111 1111", "4111111111111111", "2020-01-31", "192.168.100.100", "078-05-1120", "212-555-0199", "12ab@x.example.com"]
+    got = {r.doc_id: r.found for r in op.pseudonymize(make_docs([(i, f"{number} {v}") for i, v in enumerate(after)])).collect()}
+    assert [list(got[i]) for i in range(len(after))] == [[number, v] for v in after]
