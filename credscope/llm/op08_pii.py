@@ -8,12 +8,14 @@ Feistel network on a pair (l, r) of numbers below (a, b), with addition modulo
 a and b; a and b are chosen so that a * b counts the valid values exactly and
 no value leaves its format:
 
-    card    13 to 19 digits with a right check digit: the digits before it
+    card    13 to 19 digits with a right check digit: the digits before it;
+            looked for in runs of numbers, from border to border of groups
     phone   +1 and ten-digit forms: any area code x (exchange, line); the
             digits after the country code of other numbers with a plus
     ssn     (area, group) x serial, invalid numbers left out
     ip      two octets x two octets
-    date    1700-01-01 to 2099-12-31: 146097 days = 189 x 773
+    date    1700-01-01 to 2099-12-31: 146097 days = 189 x 773; slash dates
+            that are valid month first only: 88497 days after a 12th = 9 x 9833
     email   the local part, runs of letters and digits in base 36
 """
 
@@ -38,10 +40,12 @@ LAYOUT = r"[0-9]{13,19}(?![0-9])|[0-9]{4}[ -](?:[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}
 OTHER = "|".join((EMAIL, DATE, IP, SSN))
 ABROAD = rf"(?<![0-9+])\+[2-9](?:(?: (?!{OTHER}|{LAYOUT})|[./-])?\(?[0-9]\)?){{6}}(?:(?: (?!{OTHER}|{LAYOUT}|{TEN})|[./-])?\(?[0-9]\)?){{0,8}}(?![0-9])"
 COUNTRY = "^(?:7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+#: A run of numbers with 13 digits or more, as long as it is.
+CARD = rf"(?<![0-9])[0-9](?:(?:[ -](?!{OTHER}|{TEN}))?[0-9]){{12,}}+"
+CARD_GROUPS = "^(?:1[3-9]|4-4-4-4(?:-3)?|4-6-[45])$"
 PATTERN = "|".join((EMAIL, DATE, IP, SSN, PHONE, ABROAD, CARD))
 
-FIRST_DAY, DAYS = "1700-01-01", (189, 773)
+FIRST_DAY, DAYS, LATE_DAYS, MONTHS = "1700-01-01", (189, 773), (9, 9833), 4800
 BASE36 = "0123456789abcdefghijklmnopqrstuvwxyz"
 
 
@@ -103,16 +107,77 @@ def luhn_sum(digits: Column, doubled_last: bool) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.length(digits) - 1), F.lit(0), add)
 
 
-def _card(m: Column, key: str, back: bool) -> Column:
-    def of(d: Column) -> Column:
-        half = F.floor((F.length(d) - 1) / 2).cast("int")
-        rest = F.length(d) - 1 - half
-        size = lambda n: F.pow(F.lit(10), n).cast("long")
-        pair = _feistel(F.substring(d, F.lit(1), half), F.substring(d, half + 1, rest), size(half), size(rest), key, F.concat(F.lit("card"), F.length(d).cast("string")), back)
-        body = _with(pair, lambda p: F.concat(_pad(p["l"], half), _pad(p["r"], rest)))
-        return _with(body, lambda x: F.concat(x, F.pmod(-luhn_sum(x, True), F.lit(10)).cast("string")))
+def _card(d: Column, key: str, back: bool) -> Column:
+    """The pseudonym of a card's digits."""
+    half = F.floor((F.length(d) - 1) / 2).cast("int")
+    rest = F.length(d) - 1 - half
+    size = lambda n: F.pow(F.lit(10), n).cast("long")
+    pair = _feistel(F.substring(d, F.lit(1), half), F.substring(d, half + 1, rest), size(half), size(rest), key, F.concat(F.lit("card"), F.length(d).cast("string")), back)
+    body = _with(pair, lambda p: F.concat(_pad(p["l"], half), _pad(p["r"], rest)))
+    return _with(body, lambda x: F.concat(x, F.pmod(-luhn_sum(x, True), F.lit(10)).cast("string")))
+
+
+def _card_at(d: Column, i: Column, usual: bool, key: str, back: bool) -> Column:
+    """Number of groups of the card that begins with the ``i``-th of the groups
+    ``d``, 0 if none does.
+
+    The longest is taken.  Its pseudonym can make a longer one valid, so on the
+    way back the shortest is taken that can have been the longest.
+    """
+    counts = F.sequence(F.lit(1), F.least(F.lit(19), F.size(d) - i + 1))
+    text = lambda at, n: F.array_join(F.slice(d, at, n), "")
+
+    def valid(t: Column, n: Column) -> Column:
+        ok = _with(t, lambda t: F.when(F.length(t).between(13, 19), luhn_sum(t, False) % 10 == 0).otherwise(False))
+        return F.array_join(F.transform(F.slice(d, i, n), lambda x: F.length(x).cast("string")), "-").rlike(CARD_GROUPS) & ok if usual else ok
+
+    def was_longest(n: Column) -> Column:
+        longer = lambda t: F.exists(counts, lambda k: (k > n) & valid(F.concat(t, text(i + n, F.greatest(k - n, F.lit(0)))), k))
+        return _with(_with(text(i, n), lambda t: _card(t, key, back)), lambda t: ~longer(t))
+
+    def pick(v: Column) -> Column:
+        best = F.element_at(v, -1)
+        return F.when(F.size(v) == 0, 0).otherwise(F.coalesce(F.try_element_at(F.filter(v, was_longest), F.lit(1)), best) if back else best)
+
+    return _with(F.filter(counts, lambda n: valid(text(i, n), n)), pick)
+
+
+def _split_cards(groups: Column, usual: bool, key: str, back: bool) -> Column:
+    """array of (g, card): the groups as pieces that are one card or hold none."""
+    digits = F.transform(groups, _digits)
+
+    def step(acc: Column, i: Column, d: Column) -> Column:
+        one = lambda n: F.struct((i + n).alias("free"), F.concat(acc["picks"], F.array(F.struct(i.alias("s"), n.alias("n")))).alias("picks"))
+        return F.when(i < acc["free"], acc).otherwise(_with(_card_at(d, i, usual, key, back), lambda n: F.when(n == 0, acc).otherwise(one(n))))
+
+    start = F.struct(F.lit(1).alias("free"), F.array().cast("array<struct<s:int,n:int>>").alias("picks"))
+    picks = _with(digits, lambda d: F.aggregate(F.sequence(F.lit(1), F.size(d)), start, lambda acc, i: step(acc, i, d))["picks"])
+    piece = lambda at, n, card: F.struct(F.slice(groups, at, n).alias("g"), F.lit(card).alias("card"))
+
+    def pieces(p: Column) -> Column:
+        ends = F.concat(F.array(F.lit(1)), F.transform(p, lambda x: x["s"] + x["n"]))
+        both = F.transform(p, lambda x, k: _with(ends, lambda e: F.array(piece(e[k], x["s"] - e[k], False), piece(x["s"], x["n"], True))))
+        last = _with(F.element_at(ends, -1), lambda e: piece(e, F.size(groups) - e + 1, False))
+        return F.concat(F.flatten(both), F.array(last))
 
-    return _with(_digits(m), lambda d: F.when(luhn_sum(d, False) % 10 == 0, _refill(m, of(d))).otherwise(m))
+    return _with(picks, pieces)
+
+
+def _run(m: Column, key: str, back: bool) -> Column:
+    """A run of numbers as array of (old, new): its cards, and what is between.
+
+    Cards in the usual groups come first, from left to right, then others in
+    what is left.  Neighbouring groups that happen to pass the check together
+    can hide the border of a card; that isn't told from a card.
+    """
+    usual = _with(F.regexp_extract_all(m, F.lit("[0-9]+[ -]?"), F.lit(0)), lambda g: _split_cards(g, True, key, back))
+    others = lambda p: F.when(p["card"] | (F.size(p["g"]) == 0), F.array(p)).otherwise(_with(p["g"], lambda g: _split_cards(g, False, key, back)))
+
+    def changed(p: Column) -> Column:
+        old = F.array_join(p["g"], "")
+        return F.struct(old.alias("old"), F.when(p["card"], _with(_digits(old), lambda d: _refill(old, _card(d, key, back)))).otherwise(old).alias("new"))
+
+    return F.transform(F.flatten(F.transform(usual, others)), changed)
 
 
 def _phone(m: Column, key: str, back: bool) -> Column:
@@ -165,20 +230,38 @@ def _ip(m: Column, key: str, back: bool) -> Column:
 
 
 def _date(m: Column, key: str, back: bool) -> Column:
+    """Dates with points or slashes are read day first, and with slashes month
+    first where that isn't valid; such a date gets another of its kind."""
     iso = m.rlike("^[0-9]{4}-")
-    order = F.when(iso, m).otherwise(F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 4, 2), F.substring(m, 1, 2)))
+    part = lambda s, i, n: F.substring(s, i, n)
+    first = F.lit(FIRST_DAY).cast("date")
+    read = lambda s: F.datediff(F.try_to_timestamp(s, F.lit("yyyy-MM-dd")).cast("date"), first).cast("long")
+    known = lambda n: n.between(0, DAYS[0] * DAYS[1] - 1)
+    text = lambda n: F.date_add(first, n.cast("int")).cast("string")
+
+    def moved(n: Column) -> Column:
+        pair = _feistel(F.floor(n / DAYS[1]), n % DAYS[1], _long(DAYS[0]), _long(DAYS[1]), key, "date", back)
+        new = _with(pair, lambda p: text(p["l"] * DAYS[1] + p["r"]))
+        return _with(new, lambda t: F.when(iso, t).otherwise(F.concat(part(t, 9, 2), part(m, 3, 1), part(t, 6, 2), part(m, 6, 1), part(t, 1, 4))))
 
-    def of(s: Column) -> Column:
-        day = F.datediff(F.try_to_timestamp(s, F.lit("yyyy-MM-dd")).cast("date"), F.lit(FIRST_DAY).cast("date")).cast("long")
+    def moved_late(n: Column) -> Column:
+        """Of the days after the 12th of their months, counted through."""
+        before = lambda month: F.datediff(F.add_months(first, month.cast("int")), first) - 12 * month
+        count = n - 12 * ((part(m, 7, 4).cast("long") - 1700) * 12 + part(m, 1, 2).cast("long"))
+        pair = _with(count, lambda c: _feistel(F.floor(c / LATE_DAYS[1]), c % LATE_DAYS[1], _long(LATE_DAYS[0]), _long(LATE_DAYS[1]), key, "date month first", back))
 
-        def moved(n: Column) -> Column:
-            pair = _feistel(F.floor(n / DAYS[1]), n % DAYS[1], _long(DAYS[0]), _long(DAYS[1]), key, "date", back)
-            new = _with(pair, lambda p: F.date_add(F.lit(FIRST_DAY).cast("date"), (p["l"] * DAYS[1] + p["r"]).cast("int")).cast("string"))
-            return _with(new, lambda t: F.when(iso, t).otherwise(F.concat(F.substring(t, 9, 2), F.substring(m, 3, 1), F.substring(t, 6, 2), F.substring(m, 6, 1), F.substring(t, 1, 4))))
+        def late(c: Column) -> Column:
+            near = F.floor(c * MONTHS / (LATE_DAYS[0] * LATE_DAYS[1]))
+            month = F.array_max(F.filter(F.sequence(near - 1, near + 1), lambda x: before(x) <= c))
+            return _with(month, lambda x: text(c + 12 * (x + 1)))
 
-        return _with(day, lambda n: F.when(n.between(0, DAYS[0] * DAYS[1] - 1), moved(n)).otherwise(m))
+        new = _with(_with(pair, lambda p: p["l"] * LATE_DAYS[1] + p["r"]), late)
+        return _with(new, lambda t: F.concat_ws("/", part(t, 6, 2), part(t, 9, 2), part(t, 1, 4)))
 
-    return _with(order, of)
+    day_first = read(F.when(iso, m).otherwise(F.concat_ws("-", part(m, 7, 4), part(m, 4, 2), part(m, 1, 2))))
+    month_first = read(F.when(m.rlike("^../../"), F.concat_ws("-", part(m, 7, 4), part(m, 1, 2), part(m, 4, 2))))
+    either = F.struct(day_first.alias("n"), month_first.alias("late"))
+    return _with(either, lambda d: F.when(known(d["n"]), moved(d["n"])).when(known(d["late"]), moved_late(d["late"])).otherwise(m))
 
 
 def _email(m: Column, key: str, back: bool) -> Column:
@@ -198,18 +281,23 @@ def _email(m: Column, key: str, back: bool) -> Column:
     return F.concat(F.array_join(F.transform(runs, run), ""), F.lit("@"), F.substring_index(m, "@", -1))
 
 
+def _replaced(m: Column, key: str, back: bool) -> Column:
+    """A match of ``PATTERN`` as array of (old, new): one, or those of a run of numbers."""
+    whole = lambda p: m.rlike(f"^(?:{p})$")
+    kinds = ((m.contains("@"), _email), (whole(DATE), _date), (whole(IP), _ip), (whole(SSN), _ssn), (whole(PHONE), _phone), (m.startswith("+"), _abroad))
+    out = F
+    for is_kind, of in kinds:
+        out = out.when(is_kind, F.array(F.struct(m.alias("old"), of(m, key, back).alias("new"))))
+    return out.otherwise(_run(m, key, back))
+
+
+def _new(pieces: Column) -> Column:
+    return F.array_join(F.transform(pieces, lambda p: p["new"]), "")
+
+
 def pseudonym(m: Column, key: str = KEY, back: bool = False) -> Column:
     """The pseudonym of a match of ``PATTERN``; an invalid value stays as it is."""
-    whole = lambda p: m.rlike(f"^(?:{p})$")
-    return (
-        F.when(m.contains("@"), _email(m, key, back))
-        .when(whole(DATE), _date(m, key, back))
-        .when(whole(IP), _ip(m, key, back))
-        .when(whole(SSN), _ssn(m, key, back))
-        .when(whole(PHONE), _phone(m, key, back))
-        .when(m.startswith("+"), _abroad(m, key, back))
-        .otherwise(_card(m, key, back))
-    )
+    return _new(_replaced(m, key, back))
 
 
 def pseudonymize(docs: DataFrame, key: str = KEY, back: bool = False) -> DataFrame:
@@ -225,16 +313,17 @@ def pseudonymize(docs: DataFrame, key: str = KEY, back: bool = False) -> DataFra
     """
     rows = docs.select("doc_id", text_of().alias("text"))
     rows = rows.withColumn("all", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
-    rows = rows.withColumn("new", F.transform("all", lambda m: pseudonym(m, key, back)))
-    changed = F.filter(F.arrays_zip("all", "new"), lambda p: p["all"] != p["new"])
+    rows = rows.withColumn("pieces", F.transform("all", lambda m: _replaced(m, key, back)))
+    trimmed = lambda s: F.regexp_replace(s, "[ -]$", "")
+    changed = F.filter(F.flatten("pieces"), lambda p: p["old"] != p["new"])
     between = F.split("text", PATTERN, -1)
-    joined = F.array_join(F.zip_with(between, "new", lambda s, n: F.concat(s, F.coalesce(n, F.lit("")))), "")
+    joined = F.array_join(F.zip_with(between, F.transform("pieces", _new), lambda s, n: F.concat(s, F.coalesce(n, F.lit("")))), "")
     return rows.select(
         "doc_id",
         F.when(F.size("all") == 0, F.col("text")).otherwise(joined).alias("text"),
         F.size(changed).cast("long").alias("n_replaced"),
-        F.transform(changed, lambda p: p["all"]).alias("found"),
-        F.transform(changed, lambda p: p["new"]).alias("pseudonyms"),
+        F.transform(changed, lambda p: trimmed(p["old"])).alias("found"),
+        F.transform(changed, lambda p: trimmed(p["new"])).alias("pseudonyms"),
     )
 
 

@@ -96,3 +96,36 @@ def test_plus_numbers_leave_the_next_value(spark, make_docs):
     number, after = "+49 30 901820", ["4111 1111 1111 1111", "4111111111111111", "2020-01-31", "192.168.100.100", "078-05-1120", "212-555-0199", "12ab@x.example.com"]
     got = {r.doc_id: r.found for r in op.pseudonymize(make_docs([(i, f"{number} {v}") for i, v in enumerate(after)])).collect()}
     assert [list(got[i]) for i in range(len(after))] == [[number, v] for v in after]
+
+
+def test_cards_beside_numbers(spark, make_docs):
+    plain, spaced = "4111111111111111", "4111 1111 1111 1111"
+    texts = {
+        f"{plain} 12/25": [plain], f"order 5 {plain}": [plain], f"{spaced} 737": [spaced], f"12345678 {spaced}": [spaced], f"5 {spaced} 12 2025": [spaced],
+        f"{plain} 5500-0000-0000-0004 7": [plain, "5500-0000-0000-0004"], f"3782 822463 10005 1234": ["3782 822463 10005"], f"7 4111111 111111111": ["4111111 111111111"],
+        f"{plain} 2020-01-31": [plain, "2020-01-31"], f"{plain} 10.0.0.1": [plain, "10.0.0.1"], f"{spaced} 212-555-0199": [spaced, "212-555-0199"], f"{plain} 12ab@x.example.com": [plain, "12ab@x.example.com"],
+    }
+    texts |= {f"{c} {n}": [c] for i in range(20) for c, n in [(with_check(f"4{i:014d}"), f"{i * 37 % 1000:03d}")] if not luhn(c + n)}
+    out = op.pseudonymize(make_docs(list(enumerate(texts))))
+    got = {r.doc_id: r for r in out.collect()}
+    assert [list(got[i].found) for i in range(len(texts))] == list(texts.values())
+    assert len({got[i].pseudonyms[0].replace(" ", "") for i, t in enumerate(texts) if t.replace(" ", "").find(plain) >= 0}) == 1
+    assert {r.doc_id: r.text for r in op.pseudonymize(out.select("doc_id", "text"), back=True).collect()} == dict(enumerate(texts))
+    assert got[2].text == got[2].pseudonyms[0] + " 737"
+
+
+def test_long_run_of_numbers(spark, make_docs):
+    text = "4111111111111111 " + "1 " * 20_000 + "4111111111111111"
+    row = op.pseudonymize(make_docs([(1, text), (2, "0" + "1" * 200_000)])).where("doc_id = 1").first()
+    assert row.found[0] == row.found[-1] == "4111111111111111" and len(row.text) == len(text)
+
+
+def test_month_first_dates(spark):
+    values = ["12/31/2020", "01/13/1700", "02/29/2000", "12/31/2099", *(f"10/{d}/2021" for d in range(13, 32))]
+    new = replaced(spark, values)
+    assert replaced(spark, new, back=True) == values and len(set(new)) == len(values) and all(a != b for a, b in zip(new, values))
+    for t in new:
+        m, d, y = map(int, t.split("/"))
+        assert d > 12 and datetime.date(1700, 1, 1) <= datetime.date(y, m, d) <= datetime.date(2099, 12, 31)
+    bad = ["13/31/2020", "02/30/2020", "12.31.2020", "12/31/1699"]
+    assert replaced(spark, bad) == bad
