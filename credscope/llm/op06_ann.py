@@ -120,7 +120,9 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def _nearest(k: int):
-    """Sorted rows (cell, salt, kind, vec_id, v): the members of a block, then its queries."""
+    """Sorted rows (cell, salt, kind, vec_id, v): the members of a block, then its queries.
+
+    Of the copies of an id the nearest counts, before the ``k`` best are taken."""
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,10 +141,13 @@ def _nearest(k: int):
                 if not ids:
                     continue
                 if block is None:
-                    block = (np.array(ids), np.array(vectors))
+                    block = (np.array(ids), np.array(vectors), len(set(ids)) < len(ids))
                 others = block[0] != names[i]
                 d = np.sqrt(((block[1][others] - values[i]) ** 2).sum(axis=1))
-                best = np.lexsort((block[0][others], d))[:k]
+                best = np.lexsort((block[0][others], d))
+                if block[2]:
+                    best = best[np.sort(np.unique(block[0][others][best], return_index=True)[1])]
+                best = best[:k]
                 for column, new in zip(out, (np.full(len(best), names[i]), block[0][others][best], d[best])):
                     column.extend(new.tolist())
             if out[0]:

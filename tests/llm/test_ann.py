@@ -53,6 +53,19 @@ def test_odd_rows_ties_and_a_hot_leaf(spark):
     assert {q: [(r.vec_id, round(r.score, 9)) for r in got if r.query_id == q] for q in want} == {q: [(i, round(s, 9)) for i, s in w] for q, w in want.items()}
 
 
+def test_a_near_id_stored_often(spark):
+    rows = rows_of(90, 2)
+    near = rows[0][1]
+    rows += [(1, [x + 1e-3 * c for x in near], None, None) for c in range(1, 21)] + [(2, near, None, None)] * 20
+    got = op.search(spark.createDataFrame(rows, SCHEMA)).orderBy("rank").collect()
+    exact = {}
+    for i, v, *_ in rows:
+        d = math.sqrt(((np.array(v, np.float32).astype(float) - np.array(near, np.float32).astype(float)) ** 2).sum())
+        exact[i] = min(d, exact.get(i, d))
+    want = sorted((s, i) for i, s in exact.items() if i != 0)[:10]
+    assert [r.vec_id for r in got] == [i for _, i in want] and [round(r.score, 9) for r in got] == [round(s, 9) for s, _ in want]
+
+
 def test_few_rows(spark):
     assert op.search(spark.createDataFrame([], SCHEMA)).collect() == []
     got = op.search(spark.createDataFrame([(0, [1.0, 0.0], None, 1), (7, [0.0, 1.0], None, 1)], SCHEMA)).collect()
