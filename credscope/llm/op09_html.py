@@ -5,7 +5,9 @@ and its commas to its container and, less, to the containers above; a
 container's points are discounted by its link density.  The best container is
 the article; siblings that score well, and headings beside it, belong to it.
 Menus, headers, footers, sidebars, adverts, notices, forms and comments are
-left out by their tags, roles and class names before scoring.
+left out by their tags, roles and class names before scoring; a form, or a
+block with such a class name, stays if it is a wrapper of the page's article or
+of most of the page's text.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "xmp", "noembed", "math"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-_OUT = {"nav", "footer", "aside", "form", "button", "select", "menu", "dialog", "object", "canvas", "head", "fieldset", "label", "option"}
+_OUT = {"nav", "footer", "aside", "button", "select", "menu", "dialog", "object", "canvas", "head", "fieldset", "label", "option"}
 _INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr br img label ruby rt rp nobr".split())
 _HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -39,38 +41,75 @@ _BOILER = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|sidebar|side|widget|comments?|respond|disqus|replies|reply|cookies?|consent|notice|notification|alert|popup|modal|overlay|share|sharing|social|related|recommend\w*|breadcrumbs?|menu|navbar|nav|navigation|toolbar|footer|foot|masthead|header|topbar|subscribe|subscription|newsletter|signup|login|pagination|pager|skip|legal|copyright)(?:[\s_-]|$)",
     re.I,
 )
+_MODIFIER = re.compile(r"(?:has|no|not|with|without)[_-]", re.I)
 _ROLES = {"navigation", "banner", "complementary", "contentinfo", "search", "dialog", "alert", "menu", "menubar"}
 
 
 class Node:
-    __slots__ = ("tag", "up", "out", "link", "points", "chars", "linked", "inside")
+    __slots__ = ("tag", "up", "out", "link", "points", "chars", "linked", "inside", "soft", "plain", "articles", "stays")
 
-    def __init__(self, tag: str, up: Node | None, out: bool):
+    def __init__(self, tag: str, up: Node | None, out: bool, soft: bool = False):
         self.tag, self.up, self.out = tag, up, out or (up is not None and up.out)
         self.link = tag == "a" or (up is not None and up.link)
         self.inside = tag in ("article", "main") or (up is not None and up.inside)
+        self.soft = self if soft else up.soft if up is not None else None  # the nearest node left out unless it is a wrapper
         self.points = 0.0
         self.chars = self.linked = 0
+        self.plain = self.articles = 0
+        self.stays = False
 
 
-def _left_out(tag: str, attrs: str, up: Node) -> bool:
+def _boiler(value: str, inside: bool) -> bool:
+    """A name of boilerplate; 'has-sidebar' and the like only tell of one, and
+    a header inside an article is its own."""
+    names = [n for n in value.split() if not _MODIFIER.match(n)]
+    return any(m.strip(" _-").lower() != "header" or not inside for n in names for m in (x[0] for x in _BOILER.finditer(n)))
+
+
+def _left_out(tag: str, attrs: str, up: Node) -> tuple[bool, bool]:
+    """(left out, left out unless it is a wrapper)"""
     if tag in _OUT or (tag == "header" and not up.inside):
-        return True
+        return True, False
+    soft = tag == "form"
     if not attrs or tag in ("html", "body", "article", "main"):
-        return False
+        return False, soft
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "")
-        if (name in ("class", "id") and _BOILER.search(value)) or (name == "role" and value.lower() in _ROLES):
-            return True
+        if name == "role" and value.lower() in _ROLES:
+            return True, False
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and re.search(r"display\s*:\s*none", value, re.I)):
-            return True
-    return False
+            return True, False
+        soft = soft or (name in ("class", "id") and _boiler(value, up.inside))
+    return (soft, False) if tag in _INLINE else (False, soft)
+
+
+def _wrappers(soft: list[Node], articles: list[Node], blocks: list[tuple[Node, str, int]]) -> None:
+    """Marks the nodes that stay: outer before inner ones, the largest first.
+    The one with the article stays if no article is outside, others by their share."""
+    clean = any(a.soft is None for a in articles)
+    direct = {id(a.soft) for a in articles}
+    for a in articles:
+        if a.soft is not None:
+            a.soft.articles += 1
+    for node, text, linked in blocks:
+        if node.soft is not None:
+            node.soft.plain += len(text) - linked
+    for s in reversed(soft):
+        if s.up.soft is not None:
+            s.up.soft.plain += s.plain
+            s.up.soft.articles += s.articles
+    total = sum(len(text) - linked for _, text, linked in blocks)
+    for s in sorted(soft, key=lambda s: -s.plain):  # an outer node comes before those inside, as the sort is stable
+        if s.up.soft is None or s.up.soft.stays:
+            s.stays = (s.articles > 0 and not clean) or s.plain > 0.8 * total
+            clean = clean or (s.stays and id(s) in direct)
 
 
 def _blocks(page: str) -> list[tuple[Node, str, int]]:
     """(container, text, linked characters) of the blocks that aren't left out."""
     root = Node("", None, False)
     top, blocks, parts, linked = root, [], [], 0
+    soft, articles = [], []
     low = None
 
     def flush() -> None:
@@ -126,7 +165,7 @@ def _blocks(page: str) -> list[tuple[Node, str, int]]:
                 if tag == "p":
                     flush()
                 continue
-            if tag not in _INLINE:
+            if tag not in _INLINE or node.up.soft is not top.soft:
                 flush()
             top = node.up
             continue
@@ -143,9 +182,15 @@ def _blocks(page: str) -> list[tuple[Node, str, int]]:
             elif tag not in ("span",):
                 while top.tag == "a" and top.up is not None and tag in ("article", "main", "section", "body"):
                     top = top.up
-        top = Node(tag, top, _left_out(tag, attrs, top))
+        top = Node(tag, top, *_left_out(tag, attrs, top))
+        if not top.out:
+            if top.soft is top:
+                soft.append(top)
+            if tag in ("article", "main") and not any(m[1].lower() in ("class", "id") and _boiler(m[2] or m[3] or m[4] or "", False) for m in _ATTR.finditer(attrs)):
+                articles.append(top)
     flush()
-    return blocks
+    _wrappers(soft, articles, blocks)
+    return [b for b in blocks if b[0].soft is None or b[0].soft.stays]
 
 
 def _around(node: Node) -> Iterator[Node]:

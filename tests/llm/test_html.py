@@ -24,6 +24,17 @@ def test_siblings_that_score_well():
     assert op.main_text(f"<body><div class=x>{many}</div><div class=y>{many}</div><div class=z><a href=1>only, links</a></div></body>").count("Paragraph") == 8
 
 
+def test_wrappers_with_boilerplate_names():
+    article = "<article><header class='entry-header'><h1>Head</h1></header><p>One, two.</p><div class=share>Share, it.</div></article>"
+    for name in ("layout has-sidebar", "no-sidebar", "with-comments", "page sidebar", "content_menu header"):
+        assert op.main_text(PAGE % f"<div class='{name}'>{article}</div>") == "Head\nOne, two."
+    assert op.main_text("<body><form id=aspnetForm>" + PAGE % article + "</form></body>") == "Head\nOne, two."
+    many = "".join(f"<p>Paragraph {i}, with commas, and text that goes on for a while, and on.</p>" for i in range(20))
+    assert op.main_text(f"<body><form><div class='wrap sidebar'>{many}<div class=comments><p>A comment, here.</p></div></div></form></body>").count("\n") == 19
+    comment = "<div id=comments><article class=comment><p>" + "Long, long comment. " * 30 + "</p></article><article><p>Reply, too.</p></article></div>"
+    assert op.main_text(PAGE % f"<div class='layout sidebar'>{article}{comment}</div>") == "Head\nOne, two."
+
+
 def test_odd_pages():
     assert op.main_text("") == "" and op.main_text("<p>") == "" and op.main_text("<!-- open <p>x") == ""
     assert op.main_text("plain, text\nhere") == "plain, text here"
