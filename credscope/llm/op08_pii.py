@@ -128,12 +128,12 @@ def _card_at(d: Column, i: Column, usual: bool, key: str, back: bool) -> Column:
     text = lambda at, n: F.array_join(F.slice(d, at, n), "")
 
     def valid(t: Column, n: Column) -> Column:
-        ok = _with(t, lambda t: F.when(F.length(t).between(13, 19), luhn_sum(t, False) % 10 == 0).otherwise(False))
+        ok = F.when(F.length(t).between(13, 19), luhn_sum(t, False) % 10 == 0).otherwise(False)
         return F.array_join(F.transform(F.slice(d, i, n), lambda x: F.length(x).cast("string")), "-").rlike(CARD_GROUPS) & ok if usual else ok
 
     def was_longest(n: Column) -> Column:
         longer = lambda t: F.exists(counts, lambda k: (k > n) & valid(F.concat(t, text(i + n, F.greatest(k - n, F.lit(0)))), k))
-        return _with(_with(text(i, n), lambda t: _card(t, key, back)), lambda t: ~longer(t))
+        return _with(_card(text(i, n), key, back), lambda t: ~longer(t))
 
     def pick(v: Column) -> Column:
         best = F.element_at(v, -1)
