@@ -13,6 +13,7 @@ from . import (
     op08_pii,
     op09_html,
     op10_quality,
+    op13_conversations,
 )
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_pii": op08_pii.query,
     "op9_html": op09_html.query,
     "op10_quality": op10_quality.query,
+    "op13_conversations": op13_conversations.query,
 }
 
 ORACLE = {
