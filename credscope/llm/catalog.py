@@ -13,6 +13,7 @@ from . import (
     op08_pii,
     op09_html,
     op10_quality,
+    op12_secrets,
     op13_conversations,
 )
 
@@ -27,10 +28,12 @@ QUERIES = {
     "op8_pii": op08_pii.query,
     "op9_html": op09_html.query,
     "op10_quality": op10_quality.query,
+    "op12_secrets": op12_secrets.query,
     "op13_conversations": op13_conversations.query,
 }
 
 ORACLE = {
     "op1_mixing": op01_mixing.ORACLE,
     "op7_exact_dedup": op07_exact_dedup.ORACLE,
+    "op12_secrets": op12_secrets.ORACLE,
 }
