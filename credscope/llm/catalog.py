@@ -13,6 +13,7 @@ from . import (
     op08_pii,
     op09_html,
     op10_quality,
+    op11_whitening,
     op12_secrets,
     op13_conversations,
 )
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_pii": op08_pii.query,
     "op9_html": op09_html.query,
     "op10_quality": op10_quality.query,
+    "op11_whitening": op11_whitening.query,
     "op12_secrets": op12_secrets.query,
     "op13_conversations": op13_conversations.query,
 }
