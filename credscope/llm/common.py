@@ -30,12 +30,27 @@ class Workspace:
         self.spark = spark
         self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{operator}-{uuid.uuid4().hex}"
         self._n = 0
+        self._at: dict[int, str] = {}
+        self._held: list[DataFrame] = []  # so that no id is used twice
 
     def store(self, df: DataFrame, name: str = "t") -> DataFrame:
         self._n += 1
         target = f"{self.path}/{self._n:03d}-{name}"
         df.write.parquet(target)
-        return self.spark.read.schema(df.schema).parquet(target)
+        kept = self.spark.read.schema(df.schema).parquet(target)
+        self._at[id(kept)] = target
+        self._held.append(kept)
+        return kept
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Deletes stored frames that nothing reads any more; others are left
+        alone.  Frames that a result still reads must not be dropped."""
+        jvm = self.spark._jvm
+        for df in frames:
+            target = self._at.pop(id(df), None)
+            if target:
+                path = jvm.org.apache.hadoop.fs.Path(target)
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_of(col: str = "text") -> Column:

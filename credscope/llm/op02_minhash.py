@@ -5,17 +5,26 @@ element of a set falls into a hashed bin with a hashed value; a bin keeps the
 least value of the first round that reached it.  Rounds go on until every bin
 is filled; the second half of the rounds puts all elements into one given bin
 each, so no coordinate can stay empty.  Bands of coordinates that agree make
-candidates, which are confirmed on the full sets of word sequences (pairs whose
-sketches agree in too few coordinates for any chance of it are left out).
-
-Documents with equal word sequences are one node.  Candidates are not all
-pairs of a band's bucket: each round compares the members of a bucket with a
-few pivots (nodes outside its largest component), then drops a member near a pivot when the triangle inequality of
-the Jaccard distance leaves it no possible partner outside the pivot's group.
-A large bucket whose nodes have no links, as those of a passage that many
-documents share, is banded again by other coordinates.  Rounds go on until no
-bucket holds nodes of two components, so no link between candidates is lost,
-whatever a bucket's size.
+buckets of candidates, which are confirmed on the full sets (64-bit numbers of
+the word sequences).
+
+Documents with equal word sequences are one node.  A bucket of ``SMALL`` nodes
+at most is compared pair by pair.  A larger one, such as a family of near
+copies, is settled without all its pairs, and without losing one of its links:
+
+* All nodes are compared with a pivot, the node of a sample of the bucket whose
+  sketch agrees most with the others'.  Nodes linked to it join its component.
+* For the others only differences from the pivot count.  Let D(x) be the set
+  by which x and the pivot differ.  Then x and y differ by the elements that
+  are in just one of D(x) and D(y), so a link between them means that D(x) and
+  D(y) share a certain number of elements, which follows from the sizes.  It is
+  at least one where x isn't linked to the pivot.
+* Sets that share so many elements share one among the rarest of each (the
+  prefix principle).  Nodes whose rarest differences meet make new buckets, one
+  for an element, and are settled likewise.
+
+What near copies have in common, with the pivot or with each other, doesn't
+bring them together: edits of their own are rare differences.
 """
 
 from __future__ import annotations
@@ -25,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Workspace, table
@@ -35,11 +44,15 @@ from .words import join_texts, mix64, sequence_hashes, slices, word_hashes
 SHINGLE = 5
 THRESHOLD = 80
 BINS = 96
-#: A pair agrees in no band of ``ROWS`` chosen coordinates with a probability of about 5e-6 at a similarity of 0.85, 1e-4 at 0.8.
+#: A pair agrees in no band of ``ROWS`` chosen coordinates, and is no candidate,
+#: with a probability of 1.3e-5 at a similarity of 0.85 and 4e-4 at 0.8
+#: (4 million simulated pairs).  Nothing else is lost.
 BANDS, ROWS = 40, 6
-PIVOTS = 64
-#: So often may a bucket of nodes without links be banded anew.
-DEEPER = 4
+#: Buckets up to this size are compared pair by pair.
+SMALL = 8
+#: Nodes of a larger bucket among which its pivot is found, and the parts into
+#: which its rows are dealt.
+SAMPLE, SALTS = 16, 16
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOW = np.uint64((1 << 48) - 1)
@@ -86,11 +99,6 @@ def shingle_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     return element[fresh], owner[fresh]
 
 
-def _normal(text: bytes) -> list[bytes]:
-    """Words of the text with A-Z in lower case (bytes: other letters stay)."""
-    return text.lower().split()
-
-
 def _key(words: list[bytes]) -> bytes:
     return hashlib.sha256(b" ".join(words)).digest()[:16]
 
@@ -113,25 +121,35 @@ def _signatures(n: int):
     return run
 
 
-def _bands(bands: int, rows: int, seed: int):
-    """node, bucket, sig -> node, bucket: a bucket for each band, within the given one."""
-    columns = [np.random.default_rng([seed, i]).permutation(BINS)[:rows] for i in range(bands)]
+def _bands(bands: int, rows: int):
+    """node, sig -> bucket, node: a bucket for each band."""
+    columns = [np.random.default_rng([0, i]).permutation(BINS)[:rows] for i in range(bands)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            sig = np.frombuffer(b"".join(x.as_py() for x in batch.column(2)), dtype="<u2").reshape(len(batch), BINS).astype(np.uint64)
-            at = mix64(batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) + np.uint64(seed))
+            sig = np.frombuffer(b"".join(x.as_py() for x in batch.column(1)), dtype="<u2").reshape(len(batch), BINS).astype(np.uint64)
             for i, c in enumerate(columns):
-                key = mix64(at + np.uint64(i + 1))
+                key = mix64(np.full(len(batch), i + 1, dtype=np.uint64))
                 for j in c:
                     key = mix64(key * np.uint64(0xD6E8FEB86659FD93) + sig[:, j])
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key.view(np.int64))], names=["node", "bucket"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(0)], names=["bucket", "node"])
 
     return run
 
 
+def _medoids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """bucket, sample (array of node, sig) -> bucket, pivot: the sample's node that agrees most with the others."""
+    for batch in batches:
+        pivots = []
+        for sample in batch.column(1).to_pylist():
+            sample.sort(key=lambda x: x["node"])
+            sig = np.frombuffer(b"".join(x["sig"] for x in sample), dtype="<u2").reshape(-1, BINS)
+            pivots.append(sample[int((sig[:, None] == sig[None]).sum(axis=(1, 2)).argmax())]["node"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pivots, pa.int64())], names=["bucket", "pivot"])
+
+
 def least_agreement(similarity: float, miss: float = 1e-9) -> int:
     """Coordinates of which sketches of two sets of at least this similarity
     agree in fewer with a probability of at most ``miss`` (Chernoff bound)."""
@@ -153,93 +171,138 @@ def _agreeing(least: int):
     return run
 
 
-def _check_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """node, class, text -> node, text with words in normal form, where the class is the text's."""
-    for part, texts in slices(batches, 2):
-        words = [_normal(t) for t in texts]
-        ok = [_key(w) == c.as_py() for w, c in zip(words, part.column(1))]
-        picked = [(node.as_py(), b" ".join(w)) for node, w, o in zip(part.column(0), words, ok) if o]
-        yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in picked], pa.int64()), pa.array([p[1] for p in picked], pa.binary())], names=["node", "words"])
-
-
-def _overlap(n: int):
-    """a, b, words of both -> a, b, sizes of intersection and union of the full sets."""
-
-    def grams(words: bytes) -> set:
-        w = words.split(b" ")
-        return set(zip(*(w[i:] for i in range(min(n, len(w))))))
+def _full_sets(n: int):
+    """node, class, text -> node, elements (sorted, 8 bytes each), where the class is the text's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both, either, last = [], [], (None, None)
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x = x.as_py()
-                if last[0] != x:
-                    last = (x, grams(x))
-                other = grams(y.as_py())
-                common = len(last[1] & other)
-                both.append(common)
-                either.append(len(last[1]) + len(other) - common)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, pa.int64()), pa.array(either, pa.int64())], names=["a", "b", "both", "either"])
+        for part, texts in slices(batches, 2):
+            texts = [t.lower() for t in texts]
+            right = [_key(t.split()) == c.as_py() for t, c in zip(texts, part.column(1))]
+            element, owner = shingle_sets(texts, n)
+            edge = np.searchsorted(owner, np.arange(len(texts) + 1))
+            picked = [i for i, r in enumerate(right) if r]
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(picked, pa.int64())), pa.array([element[edge[i] : edge[i + 1]].astype("<u8").tobytes() for i in picked], pa.binary())], names=["node", "elements"])
 
     return run
 
 
-def _settle(ws: Workspace, buckets: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, threshold: int) -> DataFrame | None:
-    """u, v: links' components (see ``components``) of the nodes in ``buckets``
-    (bucket, node, comp).  ``nodes``: node, sig.  ``texts``: node, words."""
-    tested = labels = None
-    far = 2 * threshold - 100  # under this similarity to a pivot, none of the pivot's partners can be linked
-    slack = 1 - threshold / 100
-    agreeing = _agreeing(least_agreement(far / 100))
-    side = lambda df, name, value: df.select(F.col("node").alias(name), F.col(value).alias(f"{value}_{name}"))
-    turn = 0
-    while not buckets.isEmpty():
-        # pivots: nodes outside the bucket's largest component (at first, any)
-        largest = buckets.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"))
-        able = buckets.join(largest, "bucket").where("comp != main") if turn else buckets
-        salt = F.pmod(F.xxhash64("node"), F.lit(min(PIVOTS, 4**turn)))
-        pivots = ws.store(able.groupBy("bucket", salt.alias("salt")).agg(F.min(F.struct("node", "comp")).alias("p")).select("bucket", F.col("p.node").alias("pivot"), F.col("p.comp").alias("pivot_comp")), "pivots")
-        near = buckets.join(pivots, "bucket").where("comp != pivot_comp")
-        pairs = near.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = pairs.join(side(nodes, "a", "sig"), "a").join(side(nodes, "b", "sig"), "b").select("a", "b", "sig_a", "sig_b")
-        pairs = ws.store(pairs.mapInArrow(agreeing, "a long, b long"), "pairs")
-        full = pairs.join(side(texts, "a", "words"), "a").join(side(texts, "b", "words"), "b").select("a", "b", "words_a", "words_b")
-        new = ws.store(full.mapInArrow(_overlap(n), "a long, b long, both long, either long").distinct(), "tested")
-        linked = F.col("both") * 100 >= F.col("either") * threshold
-        fresh = new.where(linked).select(F.col("b").alias("u"), F.col("a").alias("v"))
-        labels = components(ws, fresh if labels is None else labels.union(fresh))
-        tested = new if tested is None else ws.store(tested.unionByName(new), "tested-all")
-
-        # pairs that aren't in ``tested`` are of one component, or far
-        near = (
-            near.select("bucket", "node", "pivot", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-            .join(tested, ["a", "b"])
-            .select("bucket", "node", "pivot", (1 - F.col("both") / F.col("either")).alias("d"), linked.alias("linked"), (F.col("both") * 100 >= F.col("either") * far).alias("close"))
-        )
-        near = ws.store(near.where("linked OR close"), "near")
-        edge = near.where("NOT linked").groupBy("bucket", "pivot").agg(F.min("d").alias("least"))
-        safe = near.where("linked").join(edge, ["bucket", "pivot"], "left").where(F.col("least").isNull() | (F.col("d") < F.col("least") - slack - 1e-9))
-        done = safe.select("bucket", "node").union(pivots.select("bucket", F.col("pivot").alias("node")))
-        rest = buckets.select("bucket", "node").join(done, ["bucket", "node"], "left_anti").join(labels, F.col("node") == labels.u, "left").select("bucket", "node", F.coalesce("v", "node").alias("comp"))
-        sizes = rest.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n"), F.count(F.when(F.col("comp") == F.col("node"), 1)).alias("alone"))
-        rest = ws.store(rest.join(sizes.where("x != y"), "bucket"), "rest")
-        buckets, turn = rest.select("bucket", "node", "comp"), turn + 1
-        # many nodes that share little more than this band: bands within the bucket
-        if turn <= DEEPER:
-            wide = (F.col("n") > PIVOTS) & (F.col("alone") == F.col("n"))
-            if not rest.where(wide).isEmpty():
-                buckets = ws.store(buckets.join(rest.where(wide).select("bucket").distinct(), "bucket", "left_anti").union(_shared(rest.where(wide).join(nodes, "node").select("node", "bucket", "sig"), 24, 4, turn)), "deeper")
+def _elements(value: pa.BinaryScalar) -> np.ndarray:
+    return np.frombuffer(value.as_py(), dtype="<u8")
+
+
+def _shared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Places in sorted ``y`` of the elements that ``x`` has too."""
+    at = np.searchsorted(x, y)
+    at[at == len(x)] = 0
+    return x[at] == y
+
+
+def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """a, b, elements of both -> a, b, size of the intersection, both sizes."""
+    for batch in batches:
+        out, last, x = [], None, None
+        for a, b in zip(batch.column(2), batch.column(3)):
+            if last is None or a.as_buffer() != last:
+                last, x = a.as_buffer(), _elements(a)
+            y = _elements(b)
+            out.append((int(_shared(x, y).sum()), len(x), len(y)))
+        both, size_a, size_b = (pa.array([o[i] for o in out], pa.int64()) for i in range(3))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), both, size_a, size_b], names=["a", "b", "both", "size_a", "size_b"])
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """..., elements of the node, of the pivot -> ..., elements that just one has."""
+    for batch in batches:
+        found = [np.setxor1d(_elements(x), _elements(y), assume_unique=True).view(np.int64) for x, y in zip(batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1))]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(found, pa.list_(pa.int64()))], names=[*batch.schema.names[:-2], "differs"])
+
+
+def _side(df: DataFrame, name: str, value: str) -> DataFrame:
+    return df.select(F.col("node").alias(name), F.col(value).alias(f"{value}_{name}"))
+
+
+def _salted(info: DataFrame) -> DataFrame:
+    """A row for each salt, for joins with buckets of any size."""
+    return info.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _mixed(entries: DataFrame) -> DataFrame:
+    """The buckets that hold nodes of two components."""
+    mixed = entries.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("bucket")
+    return entries.join(mixed, "bucket", "left_semi")
+
+
+def _settle(ws: Workspace, entries: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: int) -> DataFrame | None:
+    """u, v: links' components (see ``components``) of the nodes in the buckets
+    of ``entries`` (bucket, node, comp).  ``nodes``: node, sig.  ``sets``: node,
+    elements.  In the sums below, a link of x and y takes at least
+    (need(x) + need(y)) / unit common differences from the pivot."""
+    labels, unit = None, 2 * (100 + threshold)
+    agreeing = _agreeing(least_agreement(threshold / 100))
+    while not entries.isEmpty():
+        large = entries.groupBy("bucket").count().where(F.col("count") > SMALL).select("bucket")
+        entries = entries.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+        flagged = ws.store(entries.join(_salted(large).withColumn("large", F.lit(True)), ["bucket", "salt"], "left"), "flagged")
+        few, many = flagged.where("large IS NULL"), flagged.where("large")
+
+        # small buckets: pairs whose sketches leave a link any chance
+        other = few.select("bucket", F.col("node").alias("b"), F.col("comp").alias("comp_b"))
+        pairs = few.join(other, "bucket").where("node < b AND comp != comp_b").select(F.col("node").alias("a"), "b").distinct()
+        pairs = pairs.join(_side(nodes, "a", "sig"), "a").join(_side(nodes, "b", "sig"), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(agreeing, "a long, b long")
+
+        # large buckets: every node with the bucket's pivot
+        sample = many.groupBy("bucket", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(SAMPLE)).alias("part")).agg(F.min_by("node", F.xxhash64("node", F.lit(2))).alias("node"))
+        sample = sample.join(nodes, "node").groupBy("bucket").agg(F.collect_list(F.struct("node", "sig")).alias("sample"))
+        pivots = ws.store(sample.mapInArrow(_medoids, "bucket long, pivot long"), "pivots")
+        star = many.join(_salted(pivots), ["bucket", "salt"]).select("bucket", "salt", "node", "pivot", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+        star = ws.store(star, "stars")
+
+        tested = ws.store(pairs.union(star.where("a != b").select("a", "b")).distinct(), "pairs")
+        tested = tested.join(_side(sets, "a", "elements"), "a").join(_side(sets, "b", "elements"), "b").select("a", "b", "elements_a", "elements_b")
+        tested = ws.store(tested.mapInArrow(_overlap, "a long, b long, both long, size_a long, size_b long"), "tested")
+        fresh = tested.where(F.col("both") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("both")) * threshold).select(F.col("b").alias("u"), F.col("a").alias("v"))
+        before, labels = labels, components(ws, fresh if labels is None else labels.union(fresh))
+        entries = _rest(ws, star, tested, labels, sets, threshold, unit)
+        ws.drop(flagged, pivots, star, tested, *([before] if before is not None else []))
     return labels
 
 
-def _shared(rows: DataFrame, bands: int, band_rows: int, seed: int) -> DataFrame:
-    """bucket, node, comp of the buckets with two nodes or more."""
-    entries = rows.mapInArrow(_bands(bands, band_rows, seed), "node long, bucket long")
-    shared = entries.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x != y").select("bucket")
-    return entries.join(shared, "bucket").select("bucket", "node", F.col("node").alias("comp"))
+def _rest(ws: Workspace, star: DataFrame, tested: DataFrame, labels: DataFrame, sets: DataFrame, threshold: int, unit: int) -> DataFrame:
+    """bucket, node, comp: the buckets still to be settled after the stars."""
+    comp = lambda df, name, out: df.join(labels.select(F.col("u").alias(name), F.col("v").alias(out)), name, "left").withColumn(out, F.coalesce(out, name))
+    centre = comp(star.select("bucket", "pivot").distinct(), "pivot", "home")
+    rows = comp(star.join(tested, ["a", "b"]), "node", "comp").join(_salted(centre.select("bucket", "home")), ["bucket", "salt"])
+    size = F.when(F.col("node") == F.col("a"), F.col("size_a")).otherwise(F.col("size_b"))
+    gap = F.col("size_a") + F.col("size_b") - 2 * F.col("both")
+    rows = rows.select("bucket", "salt", "node", "pivot", "comp", (F.col("comp") == F.col("home")).alias("inside"), gap.alias("gap"), ((100 + threshold) * gap - (100 - threshold) * size).alias("need"))
+    rows = ws.store(rows, "rows")
+    # buckets with nodes outside the pivot's component, the least need of these, and whether they are of several components
+    outer = rows.where("NOT inside").groupBy("bucket").agg(F.min("need").alias("outer"), (F.min("comp") != F.max("comp")).alias("several"))
+    rows = rows.join(_salted(outer), ["bucket", "salt"])
+    # elements of the sorted differences among which a common one lies, if there is a link
+    prefix = lambda other: F.col("gap") - F.ceil((F.col("need") + other) / unit) + 1
+    rows = ws.store(rows.withColumn("outward", prefix(F.col("outer"))), "outward")
+    inner = rows.where("inside AND outward > 0").groupBy("bucket").agg(F.min("need").alias("inner"))
+    rows = rows.join(_salted(inner), ["bucket", "salt"], "left")
+    across = F.when(F.col("inside"), F.col("outward")).when(F.col("inner").isNotNull(), prefix(F.col("inner"))).otherwise(0)
+    among = F.when(~F.col("inside") & F.col("several"), F.col("outward")).otherwise(0)
+    rows = rows.select("bucket", "node", "comp", across.cast("long").alias("across"), among.cast("long").alias("among"), "pivot").where("across > 0 OR among > 0")
+    rows = rows.join(_side(sets, "node", "elements"), "node").join(_side(sets, "pivot", "elements"), "pivot")
+    rows = rows.select("bucket", "node", "comp", "across", "among", "elements_node", "elements_pivot")
+    rows = rows.mapInArrow(_differences, "bucket long, node long, comp long, across long, among long, differs array<long>")
+    held = ws.store(rows.select("bucket", "node", "comp", "across", "among", F.size("differs").alias("gap"), F.explode("differs").alias("element")), "differences")
+
+    shared = held.groupBy("bucket", "element").count().where("count > 1")
+    of_node = Window.partitionBy("bucket", "node")
+    # differences of one node only come first in the order, and need no rows
+    place = F.row_number().over(of_node.orderBy("count", "element")) + F.col("gap") - F.count("*").over(of_node)
+    ranked = held.join(shared, ["bucket", "element"]).withColumn("place", place)
+    kinds = F.array(*[F.when(F.col("place") <= F.col(k), F.lit(k)) for k in ("across", "among")])
+    new = ranked.select("bucket", "element", "node", "comp", F.explode(kinds).alias("kind")).where("kind IS NOT NULL")
+    new = ws.store(new.select(F.xxhash64("bucket", "element", "kind").alias("bucket"), "node", "comp"), "met")
+    entries = ws.store(_mixed(new), "entries")
+    ws.drop(held, new)
+    return entries
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -263,15 +326,17 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESH
     some = slim.where("n_shingles > 0")
     classes = ws.store(some.groupBy("class").agg(F.min("doc_id").alias("first")).withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    # rows stored several times give their node again, which changes nothing
-    reps = ws.store(some.join(classes, "class").where(F.col("doc_id").eqNullSafe(F.col("first"))).select("node", F.lit(0).cast("long").alias("bucket"), "sig"), "nodes")
-    buckets = ws.store(_shared(reps, bands, rows, 0).distinct(), "buckets")
+    # rows stored several times give their node once
+    reps = some.join(classes, "class").where(F.col("doc_id").eqNullSafe(F.col("first"))).dropDuplicates(["node"]).select("node", "sig")
+    reps = ws.store(reps, "nodes")
+    buckets = ws.store(_mixed(reps.mapInArrow(_bands(bands, rows), "bucket long, node long").withColumn("comp", F.col("node"))), "buckets")
     wanted = ws.store(buckets.select("node").distinct(), "wanted")
     of_class = classes.join(wanted, "node")
     found = picked.join(of_class, picked.doc_id.eqNullSafe(of_class["first"])).select("node", "class", "text")
-    texts = ws.store(found.mapInArrow(_check_class, "node long, words binary"), "texts")
+    sets = ws.store(found.mapInArrow(_full_sets(shingle), "node long, elements binary").dropDuplicates(["node"]), "sets")
     nodes = ws.store(reps.join(wanted, "node").select("node", "sig"), "signatures")
-    labels = _settle(ws, buckets, nodes, texts, shingle, threshold)
+    labels = _settle(ws, buckets, nodes, sets, threshold)
+    ws.drop(reps, buckets, wanted, sets, nodes)
 
     named = classes.select("class", "first", "node")
     if labels is not None:

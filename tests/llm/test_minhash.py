@@ -78,15 +78,51 @@ def test_sketch_estimates_similarity():
         assert abs(np.mean(errors)) < 0.03
 
 
-def test_buckets_without_links_are_banded_anew(make_docs, monkeypatch):
-    monkeypatch.setattr(op, "PIVOTS", 8)
+def passage_rows(n, seed=6):
     passage = " ".join(f"p{i}" for i in range(120))
-    rng = random.Random(6)
-    rows = [(i, passage + " " + " ".join(f"u{rng.randrange(10**9)}" for _ in range(60))) for i in range(70)]
+    rng = random.Random(seed)
+    return [(i, passage + " " + " ".join(f"u{rng.randrange(10**9)}" for _ in range(60))) for i in range(n)], rng
+
+
+def test_a_passage_that_many_documents_share(make_docs):
+    rows, rng = passage_rows(70)
     rows += [(100 + i, edited(rows[i][1], 3, rng)) for i in range(20)]
     assert sorted((tuple(r)[:4] for r in op.near_groups(make_docs(rows), 3, 85).collect()), key=str) == brute(rows, 3, 85)
 
 
+def family(n, words, edits, seed):
+    rng = random.Random(seed)
+    base = " ".join(f"w{i}" for i in range(words))
+    return [(i, edited(base, edits(rng), rng)) for i in range(n)]
+
+
+@pytest.mark.parametrize(("n", "words", "edits", "seed", "k", "t"), [(150, 60, lambda r: 3, 1, 3, 85), (200, 150, lambda r: r.randrange(16), 2, 5, 80)])
+def test_families_of_near_copies_like_brute_force(make_docs, monkeypatch, n, words, edits, seed, k, t):
+    monkeypatch.setattr(op, "SMALL", 3)
+    rows = family(n, words, edits, seed)
+    rows += [(1000 + i, edited(rows[i][1], 1, random.Random(i))) for i in range(0, 40)]
+    assert sorted((tuple(r)[:4] for r in op.near_groups(make_docs(rows), k, t).collect()), key=str) == brute(rows, k, t)
+
+
+def test_tested_pairs_are_bounded_by_the_rows(make_docs, monkeypatch):
+    """Copies just under the threshold, which nothing links: all pairs would be
+    n (n - 1) / 2, the bound is a pair for a node and band."""
+    tested = []
+    store = op.Workspace.store
+
+    def counting(self, df, name="t"):
+        kept = store(self, df, name)
+        if name == "tested":
+            tested[-1] += kept.count()
+        return kept
+
+    monkeypatch.setattr(op.Workspace, "store", counting)
+    for n in (400, 1600):
+        tested.append(0)
+        op.near_groups(make_docs(family(n, 60, lambda r: 3, n)), 5, 80).count()
+        assert tested[-1] <= op.BANDS * n, tested
+
+
 def test_word_hashes_over_slices(monkeypatch):
     buf = b" ab  c\tab \n" + b"x" * 50 + b" c ab"
     whole = word_hashes(buf)
