@@ -32,7 +32,8 @@ def components(ws: Workspace, edges: DataFrame) -> DataFrame:
     edges = ws.store(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = mark(edges)
     while before[0]:
-        edges = ws.store(_small_star(_large_star(edges)), "star")
+        old, edges = edges, ws.store(_small_star(_large_star(edges)), "star")
+        ws.drop(old)
         now = mark(edges)
         if now == before:
             break

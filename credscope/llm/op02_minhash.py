@@ -14,6 +14,8 @@ copies, is settled without all its pairs, and without losing one of its links:
 
 * All nodes are compared with a pivot, the node of a sample of the bucket whose
   sketch agrees most with the others'.  Nodes linked to it join its component.
+  Buckets whose pivots are of one component become one bucket, with one of the
+  pivots: a family is settled once and not once a band.
 * For the others only differences from the pivot count.  Let D(x) be the set
   by which x and the pivot differ.  Then x and y differ by the elements that
   are in just one of D(x) and D(y), so a link between them means that D(x) and
@@ -31,10 +33,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Workspace, table
@@ -235,9 +238,8 @@ def _mixed(entries: DataFrame) -> DataFrame:
 def _settle(ws: Workspace, entries: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: int) -> DataFrame | None:
     """u, v: links' components (see ``components``) of the nodes in the buckets
     of ``entries`` (bucket, node, comp).  ``nodes``: node, sig.  ``sets``: node,
-    elements.  In the sums below, a link of x and y takes at least
-    (need(x) + need(y)) / unit common differences from the pivot."""
-    labels, unit = None, 2 * (100 + threshold)
+    elements."""
+    labels = late = None
     agreeing = _agreeing(least_agreement(threshold / 100))
     while not entries.isEmpty():
         large = entries.groupBy("bucket").count().where(F.col("count") > SMALL).select("bucket")
@@ -257,40 +259,65 @@ def _settle(ws: Workspace, entries: DataFrame, nodes: DataFrame, sets: DataFrame
         star = many.join(_salted(pivots), ["bucket", "salt"]).select("bucket", "salt", "node", "pivot", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
         star = ws.store(star, "stars")
 
-        tested = ws.store(pairs.union(star.where("a != b").select("a", "b")).distinct(), "pairs")
-        tested = tested.join(_side(sets, "a", "elements"), "a").join(_side(sets, "b", "elements"), "b").select("a", "b", "elements_a", "elements_b")
-        tested = ws.store(tested.mapInArrow(_overlap, "a long, b long, both long, size_a long, size_b long"), "tested")
-        fresh = tested.where(F.col("both") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("both")) * threshold).select(F.col("b").alias("u"), F.col("a").alias("v"))
-        before, labels = labels, components(ws, fresh if labels is None else labels.union(fresh))
-        entries = _rest(ws, star, tested, labels, sets, threshold, unit)
-        ws.drop(flagged, pivots, star, tested, *([before] if before is not None else []))
-    return labels
+        tested = _tested(ws, pairs.union(star.where("a != b").select("a", "b")), sets)
+        fresh = tested.where(_linked(threshold)).select(F.col("b").alias("u"), F.col("a").alias("v"))
+        known = [e for e in (labels, late) if e is not None]
+        labels = components(ws, reduce(DataFrame.union, [fresh, *known]))
+        entries, late = _rest(ws, star, labels, sets, threshold)
+        ws.drop(flagged, pivots, star, tested, *known)
+    return labels if late is None or late.isEmpty() else components(ws, labels.union(late))
 
 
-def _rest(ws: Workspace, star: DataFrame, tested: DataFrame, labels: DataFrame, sets: DataFrame, threshold: int, unit: int) -> DataFrame:
-    """bucket, node, comp: the buckets still to be settled after the stars."""
+def _tested(ws: Workspace, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, both, size_a, size_b of the distinct pairs a, b."""
+    pairs = ws.store(pairs.distinct(), "pairs")
+    full = pairs.join(_side(sets, "a", "elements"), "a").join(_side(sets, "b", "elements"), "b").select("a", "b", "elements_a", "elements_b")
+    tested = ws.store(full.mapInArrow(_overlap, "a long, b long, both long, size_a long, size_b long"), "tested")
+    ws.drop(pairs)
+    return tested
+
+
+def _linked(threshold: int) -> Column:
+    return F.col("both") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("both")) * threshold
+
+
+def _rest(ws: Workspace, star: DataFrame, labels: DataFrame, sets: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """bucket, node, comp: the buckets still to be settled after the stars; and
+    links (u, v) found on the way.
+
+    In the sums below, a link of x and y takes at least (need(x) + need(y)) /
+    unit common differences from the pivot."""
+    unit = 2 * (100 + threshold)
     comp = lambda df, name, out: df.join(labels.select(F.col("u").alias(name), F.col("v").alias(out)), name, "left").withColumn(out, F.coalesce(out, name))
-    centre = comp(star.select("bucket", "pivot").distinct(), "pivot", "home")
-    rows = comp(star.join(tested, ["a", "b"]), "node", "comp").join(_salted(centre.select("bucket", "home")), ["bucket", "salt"])
+    home = comp(star.select("bucket", "pivot").distinct(), "pivot", "home")
+    rows = star.join(_salted(home.select("bucket", "home")), ["bucket", "salt"]).select(F.col("home").alias("bucket"), "salt", "node", "pivot")
+    pivot = rows.groupBy("bucket", "pivot").count().groupBy("bucket").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
+    merged = ws.store(comp(rows.select("bucket", "salt", "node").distinct(), "node", "comp"), "merged")
+    pivot = pivot.join(merged.where("comp != bucket").select("bucket").distinct(), "bucket", "left_semi")
+    outsides = ws.store(merged.join(_salted(pivot), ["bucket", "salt"]).where("node != pivot").withColumn("a", F.least("node", "pivot")).withColumn("b", F.greatest("node", "pivot")), "outsides")
+    tested = _tested(ws, outsides.select("a", "b"), sets)
+
     size = F.when(F.col("node") == F.col("a"), F.col("size_a")).otherwise(F.col("size_b"))
     gap = F.col("size_a") + F.col("size_b") - 2 * F.col("both")
-    rows = rows.select("bucket", "salt", "node", "pivot", "comp", (F.col("comp") == F.col("home")).alias("inside"), gap.alias("gap"), ((100 + threshold) * gap - (100 - threshold) * size).alias("need"))
-    rows = ws.store(rows, "rows")
+    rows = outsides.join(tested, ["a", "b"]).withColumn("now", (F.col("comp") != F.col("bucket")) & _linked(threshold))
+    rows = ws.store(rows.select("bucket", "salt", "node", "pivot", F.when(F.col("now"), F.col("bucket")).otherwise(F.col("comp")).alias("comp"), "now", size.alias("size"), gap.alias("gap"), ((100 + threshold) * gap - (100 - threshold) * size).alias("need")), "rows")
+    late = ws.store(rows.where("now").select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")), "late")
+    inside = F.col("comp") == F.col("bucket")
     # buckets with nodes outside the pivot's component, the least need of these, and whether they are of several components
-    outer = rows.where("NOT inside").groupBy("bucket").agg(F.min("need").alias("outer"), (F.min("comp") != F.max("comp")).alias("several"))
-    rows = rows.join(_salted(outer), ["bucket", "salt"])
+    outer = rows.where(~inside).groupBy("bucket").agg(F.min("need").alias("outer"), (F.min("comp") != F.max("comp")).alias("several"))
     # elements of the sorted differences among which a common one lies, if there is a link
-    prefix = lambda other: F.col("gap") - F.ceil((F.col("need") + other) / unit) + 1
-    rows = ws.store(rows.withColumn("outward", prefix(F.col("outer"))), "outward")
-    inner = rows.where("inside AND outward > 0").groupBy("bucket").agg(F.min("need").alias("inner"))
-    rows = rows.join(_salted(inner), ["bucket", "salt"], "left")
-    across = F.when(F.col("inside"), F.col("outward")).when(F.col("inner").isNotNull(), prefix(F.col("inner"))).otherwise(0)
-    among = F.when(~F.col("inside") & F.col("several"), F.col("outward")).otherwise(0)
-    rows = rows.select("bucket", "node", "comp", across.cast("long").alias("across"), among.cast("long").alias("among"), "pivot").where("across > 0 OR among > 0")
-    rows = rows.join(_side(sets, "node", "elements"), "node").join(_side(sets, "pivot", "elements"), "pivot")
-    rows = rows.select("bucket", "node", "comp", "across", "among", "elements_node", "elements_pivot")
-    rows = rows.mapInArrow(_differences, "bucket long, node long, comp long, across long, among long, differs array<long>")
-    held = ws.store(rows.select("bucket", "node", "comp", "across", "among", F.size("differs").alias("gap"), F.explode("differs").alias("element")), "differences")
+    most = F.floor((100 - threshold) * F.col("size") / threshold) + 1  # linked sets differ by fewer than this
+    prefix = lambda other: F.least(most, F.col("gap") - F.ceil((F.col("need") + other) / unit) + 1)
+    left = ws.store(rows.join(_salted(outer), ["bucket", "salt"]).withColumn("outward", prefix(F.col("outer"))), "outward")
+    inner = left.where(inside & (F.col("outward") > 0)).groupBy("bucket").agg(F.min("need").alias("inner"))
+    full = left.join(_salted(inner), ["bucket", "salt"], "left")
+    across = F.when(inside, F.col("outward")).when(F.col("inner").isNotNull(), prefix(F.col("inner"))).otherwise(0)
+    among = F.when(~inside & F.col("several"), F.col("outward")).otherwise(0)
+    full = full.select("bucket", "node", "comp", across.cast("long").alias("across"), among.cast("long").alias("among"), "pivot").where("across > 0 OR among > 0")
+    full = full.join(_side(sets, "node", "elements"), "node").join(_side(sets, "pivot", "elements"), "pivot")
+    full = full.select("bucket", "node", "comp", "across", "among", "elements_node", "elements_pivot")
+    full = full.mapInArrow(_differences, "bucket long, node long, comp long, across long, among long, differs array<long>")
+    held = ws.store(full.select("bucket", "node", "comp", "across", "among", F.size("differs").alias("gap"), F.explode("differs").alias("element")), "differences")
 
     shared = held.groupBy("bucket", "element").count().where("count > 1")
     of_node = Window.partitionBy("bucket", "node")
@@ -301,8 +328,8 @@ def _rest(ws: Workspace, star: DataFrame, tested: DataFrame, labels: DataFrame,
     new = ranked.select("bucket", "element", "node", "comp", F.explode(kinds).alias("kind")).where("kind IS NOT NULL")
     new = ws.store(new.select(F.xxhash64("bucket", "element", "kind").alias("bucket"), "node", "comp"), "met")
     entries = ws.store(_mixed(new), "entries")
-    ws.drop(held, new)
-    return entries
+    ws.drop(merged, outsides, rows, left, tested, held, new)
+    return entries, late
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
