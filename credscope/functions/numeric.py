@@ -4,9 +4,8 @@
   binary value half-to-even, whereas Spark's ``round``/``bround`` round the
   shortest decimal representation (0.26875 is really 0.268749999..., so the
   right answer is 0.2687, not 0.2688).
-* ``exact_mean`` sums in DECIMAL lanes, so a mean does not depend on how rows
-  are partitioned or in which order partial sums are merged; no finite value is
-  dropped or clipped, NaN and infinities go through.
+* exact sums, which don't depend on partitioning or merge order, are in
+  :mod:`credscope.functions.sums`.
 * ``pearson`` / ``ols`` return NULL (or the documented fallbacks) on
   degenerate inputs instead of raising under ANSI mode.
 """
@@ -65,94 +64,11 @@ def ratio(num: Column | str, den: Column | str) -> Column:
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
-# Exact sums keep values in lanes by the decimals they need, so that no value
-# leaves its decimal: ordinary ones, very large ones and very fine ones.  A
-# value must come back unchanged from its decimal; a finite one that fits no
-# lane raises, and so does a sum that overflows.
-# Multiples of 1/64 (whole and half numbers, most measured values) are told by
-# double arithmetic alone and sum in a small decimal.
-_LANES = {"quick": "decimal(18,6)", "fine": "decimal(38,28)", "plain": "decimal(28,12)", "large": "decimal(31,3)"}
-_WEIGHTED_LANES = {"plain": "decimal(24,6)", "large": "decimal(21,3)"}
-_COUNT = "decimal(20,0)"
-
-
-def _special(c: Column) -> Column:
-    return F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
-
-
-def _lane(c: Column, lanes: dict[str, str]) -> Column:
-    """Name of the lane that holds a finite value exactly."""
-
-    def holds(kind: str) -> Column:
-        return F.coalesce(c.try_cast(kind).cast("double") == c, F.lit(False))
-
-    out = F.when(c.isNull() | _special(c), F.lit(None).cast("string"))
-    ranges = {"plain": F.abs(c) < 1e15, "large": F.abs(c) >= 1e7, "fine": F.abs(c) < 1e5}
-    for name in ("plain", "large", "fine"):
-        if name in lanes:
-            out = out.when(ranges[name] & holds(lanes[name]), F.lit(name))
-    return out.otherwise(F.raise_error(F.concat(F.lit("no exact sum of "), c.cast("string"))).cast("string"))
-
-
-def _quick(c: Column) -> Column:
-    return (F.abs(c) < 1e11) & (F.rint(c * 64) == c * 64)
-
-
-def _parts(c: Column, lanes: dict[str, str], weight: Column | None) -> dict[str, Column]:
-    out = {"special": F.sum(F.when(_special(c), c))}
-    lane = _lane(c, lanes)
-    for name, kind in lanes.items():
-        if name == "quick":
-            value = F.when(_quick(c), c.try_cast(kind))
-        else:
-            here = lane == name if "quick" not in lanes else ~_quick(c) & (lane == name)
-            value = F.when(here, c.try_cast(kind) if weight is None else c.try_cast(kind) * weight.cast(_COUNT))
-        # without ANSI mode a sum that overflows is NULL, as is one of no rows
-        total = F.sum(value)
-        scale = kind.split(",")[1].rstrip(")")
-        out[name] = F.when(total.isNull() & (F.count(value) > 0), F.raise_error(F.lit("exact sum overflows")).cast(f"decimal(38,{scale})")).otherwise(total)
-    return out
-
-
-def exact_parts(col: Column | str, name: str) -> list[Column]:
-    """Aggregates that ``resummed_parts`` and ``parts_total`` take, by name."""
-    return [c.alias(f"{name}_{k}") for k, c in _parts(_c(col), _LANES, None).items()]
-
-
-def weighted_parts(col: Column | str, weight: Column | str, name: str) -> list[Column]:
-    """The same of ``value * weight``, for pre-counted rows."""
-    return [c.alias(f"{name}_{k}") for k, c in _parts(_c(col), _WEIGHTED_LANES, _c(weight)).items()]
-
-
-def resummed_parts(name: str) -> list[Column]:
-    """Aggregates over rows of parts."""
-    return [F.sum(f"{name}_{k}").alias(f"{name}_{k}") for k in ("special", *_LANES)]
-
-
-def _total(parts: dict[str, Column]) -> Column:
-    finite = [F.coalesce(c.cast("double"), F.lit(0.0)) for k, c in parts.items() if k != "special"]
-    total = finite[0]
-    for c in finite[1:]:
-        total = total + c
-    return F.coalesce(parts["special"], total)
-
-
-def parts_total(name: str, weighted: bool = False) -> Column:
-    """Sum as a double: NaN and infinities go through, no values give 0."""
-    return _total({k: F.col(f"{name}_{k}") for k in ("special", *(_WEIGHTED_LANES if weighted else _LANES))})
-
-
 def weighted_count(col: Column | str, weight: Column | str) -> Column:
     """Number of underlying rows with a non-NULL value."""
     return F.sum(F.when(_c(col).isNotNull(), _c(weight)).otherwise(F.lit(0)))
 
 
-def exact_mean(col: Column | str) -> Column:
-    """Mean of the non-NULL values, independent of partitioning/merge order."""
-    c = _c(col)
-    return F.try_divide(_total(_parts(c, _LANES, None)), F.count(c).cast("double"))
-
-
 def _paired(x: Column, y: Column) -> tuple[Column, Column]:
     both = x.isNotNull() & y.isNotNull()
     return F.when(both, x), F.when(both, y)

@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_mean, round_exact
+from ..functions.numeric import ratio, round_exact
 from ..functions.parsing import lenient_float, observation_quarter, observation_year
+from ..functions.sums import exact_sums
 
 # Column names of the monthly file and of the period outputs.
 MONTHLY_SERIES = (
@@ -41,10 +42,8 @@ def period_macro(
         period.alias(period_name),
         *[lenient_float(src).alias(src) for src, _ in MONTHLY_SERIES],
     )
-    agg = parsed.groupBy(period_name).agg(
-        *[exact_mean(src).alias(out) for src, out in MONTHLY_SERIES],
-        *[F.count(src).alias(f"n_{src}") for src, _ in MONTHLY_SERIES],
-    )
+    sums = exact_sums(parsed, [period_name], {src: src for src, _ in MONTHLY_SERIES})
+    agg = sums.select(period_name, *[ratio(src, f"n_{src}").alias(out) for src, out in MONTHLY_SERIES], *[f"n_{src}" for src, _ in MONTHLY_SERIES])
     # Complete-case rule on the period aggregates, before the lag: a period is
     # kept when it is defined (malformed dates give a NULL period) and every
     # series has a value.  Written as one predicate over the aggregates so it

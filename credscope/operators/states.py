@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_parts, ols, parts_total, ratio, resummed_parts, round_exact, weighted_count, weighted_parts
+from ..functions.numeric import ols, ratio, round_exact, weighted_count
 from ..functions.parsing import is_state_fips, percent_float, thousands_float, unknown_if_blank
 from ..functions.values import (
     DEFAULT_MIN_LOANS,
@@ -24,6 +24,7 @@ from ..functions.values import (
     POVERTY_ATTRIBUTES,
     UNEMPLOYMENT_ATTRIBUTES,
 )
+from ..functions.sums import gathered, limb_sums, total, with_limbs
 from .rates import fico_midpoint, finalized
 
 ECONOMIC_COLUMNS = tuple(out for _, out in UNEMPLOYMENT_ATTRIBUTES + POVERTY_ATTRIBUTES)
@@ -84,42 +85,46 @@ def state_loan_features(loans: DataFrame, grades: Sequence[str] = GRADES) -> Dat
     grade shares over *all* loans of the state (unlisted grades stay in the
     denominator).  Every value is rounded to 4 dp; means are exact.
 
-    Two-level plan, as for the rate tables: loans are counted per raw
-    (state, grade, int_rate) combination -- a set bounded by the domain, not
-    by the number of loans -- so the interest text is parsed once per
-    combination; the FICO midpoint (two near-unique numbers per loan) is
-    parsed per row and summed exactly in DECIMAL inside the same aggregate.
-    Per-state sums are then exact sums of value x count.
+    Levels: loans are counted per raw (state, grade, int_rate) combination and
+    exponent slice of the FICO midpoint -- a set bounded by the domain, not by
+    the number of loans -- so the interest text is parsed once per combination,
+    while the midpoint (two near-unique numbers per loan) is parsed per row and
+    its limbs added.  The second level adds value x count of the interest by
+    state and slices, the third joins the slices of a state.
     """
     raw = ["addr_state", "grade", "int_rate"]
-    level1 = finalized(loans).withColumn("fico", fico_midpoint()).groupBy(*raw).agg(
+    rows = with_limbs(finalized(loans).withColumn("fico", fico_midpoint()), {"fico": "fico"})
+    level1 = rows.groupBy(*raw, "fico_slice").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("default_flag").alias("d"),
-        *exact_parts("fico", "fico"),
+        *limb_sums("fico"),
         F.count("fico").alias("fico_n"),
     )
-    parsed = level1.select(
-        unknown_if_blank("addr_state").alias("state"),
-        unknown_if_blank("grade").alias("grade"),
-        percent_float("int_rate").alias("interest"),
-        "n", "d", "fico_n", *[c for c in level1.columns if c.startswith("fico_") and c != "fico_n"],
-    )
-    agg = parsed.groupBy("state").agg(
-        F.sum("n").alias("loan_count"),
-        F.sum("d").alias("default_count"),
-        *weighted_parts("interest", "n", "interest"),
+    parsed = level1.withColumns({"state": unknown_if_blank("addr_state"), "grade": unknown_if_blank("grade"), "interest": percent_float("int_rate")})
+    level2 = with_limbs(parsed, {"interest": "interest"}).groupBy("state", "interest_slice", "fico_slice").agg(
+        F.sum("n").alias("n"),
+        F.sum("d").alias("d"),
+        *limb_sums("interest", "n"),
         weighted_count("interest", "n").alias("interest_n"),
-        *resummed_parts("fico"),
+        *limb_sums("fico"),
         F.sum("fico_n").alias("fico_n"),
         *[F.sum(F.when(F.col("grade") == F.lit(g), F.col("n")).otherwise(F.lit(0))).alias(f"n_grade_{g}")
           for g in grades],
     )
+    sums = ("interest_n", "fico_n", *[f"n_grade_{g}" for g in grades])
+    agg = level2.groupBy("state").agg(
+        F.sum("n").alias("loan_count"),
+        F.sum("d").alias("default_count"),
+        *gathered("interest"),
+        *gathered("fico"),
+        *[F.sum(c).alias(c) for c in sums],
+    )
     return agg.select(
         "state",
         F.col("loan_count").cast("bigint").alias("loan_count"),
         round_exact(ratio("default_count", "loan_count"), 4).alias("default_rate"),
-        round_exact(ratio(parts_total("interest", weighted=True), "interest_n"), 4).alias("avg_interest_rate"),
-        round_exact(ratio(parts_total("fico"), "fico_n"), 4).alias("avg_fico"),
+        round_exact(ratio(total("interest"), "interest_n"), 4).alias("avg_interest_rate"),
+        round_exact(ratio(total("fico"), "fico_n"), 4).alias("avg_fico"),
         *[round_exact(ratio(f"n_grade_{g}", "loan_count"), 4).alias(f"share_grade_{g}") for g in grades],
     )
 
