@@ -33,6 +33,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--out", required=True)
     ap.add_argument("--min-loans", type=int, default=1000)
     ap.add_argument("--master", default="local[*]")
+    ap.add_argument("--no-multiline", dest="multiline", action="store_false",
+                    help="no field holds a line break: one loan file is then read by many tasks")
     args = ap.parse_args(argv)
 
     spark = SparkSession.getActiveSession() or build_session(master=args.master)
@@ -41,7 +43,7 @@ def main(argv: list[str] | None = None) -> int:
         loans = find_source(spark, loans, LOAN_FILE, "accepted")
     n = args.min_loans
     t = Thresholds(state=n, purpose=n, segments={s: n for s in Thresholds().segments}, control=n)
-    written = run_all(spark, loans, args.macro, args.unemployment, args.poverty, args.out, t)
+    written = run_all(spark, loans, args.macro, args.unemployment, args.poverty, args.out, t, args.multiline)
     print(json.dumps({"loans": loans, "written": written}, indent=1))
     return 0
 

@@ -4,20 +4,24 @@ The published analyses state facts in prose ("highest-risk state is X at
 Y%").  Here each fact is one row ``finding, label, value, n``.  Facts that
 pick a row from a result table are computed for all tables at once: one
 grouped aggregate of ``min_by``/``max_by`` over a total sort key per
-dimension (first wins on ties because the key ends in the label), so the
-whole findings report costs a handful of small aggregates, not one sort job
-per fact.
+dimension (first wins on ties because the key ends in the label).  Row counts,
+overall rate and correlations of several result tables come from one aggregate
+(:func:`fold`).  So the whole report costs a handful of small aggregates, not
+one job per fact.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import order_rank
+from ..functions.labels import outcome_flag
+from ..functions.numeric import pearson, ratio, round_exact
+from ..functions.values import ANNUAL_MACRO_FEATURES, QUARTERLY_MACRO_FEATURES, STATE_FEATURES
 from . import rates
 
 FINDING_COLUMNS = ("finding", "label", "value", "n")
@@ -51,23 +55,6 @@ def _shape(df: DataFrame, finding: Column, label: Column, value: Column, n: Colu
     )
 
 
-def _profile_sort_key(dimension: Column, label: Column) -> Column:
-    """Total sort key reproducing each dimension's published order."""
-    zero_r, zero_n = F.lit(0.0), F.lit(0).cast("bigint")
-    key = None
-    for d in rates.PROFILE_DIMENSIONS:
-        if d.order == "key":
-            k = F.struct(F.lit(0), zero_r, zero_n, label)
-        elif d.order == "rate_desc":
-            k = F.struct(F.lit(0), -F.col("default_rate"), -F.col("loan_count"), label)
-        elif d.order == "count_desc":
-            k = F.struct(F.lit(0), zero_r, -F.col("loan_count"), label)
-        else:
-            k = F.struct(order_rank(label, d.order).cast("int"), zero_r, zero_n, label)
-        key = (F.when(dimension == d.name, k) if key is None else key.when(dimension == d.name, k))
-    return key
-
-
 def profile_picks(profile: DataFrame, picks: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Facts from the long single-key profile (:func:`rates.rate_profile`).
 
@@ -76,7 +63,7 @@ def profile_picks(profile: DataFrame, picks: Sequence[tuple[str, str, str]]) ->
     then first label: ``max(rows, key=rate)`` over a key-ordered table).
     """
     row = F.struct("label", "default_rate", "loan_count")
-    keyed = profile.withColumn("k", _profile_sort_key(F.col("dimension"), F.col("label")))
+    keyed = profile.withColumn("k", rates.published_key(F.col("dimension"), F.col("label"), F.lit(None)))
     best = keyed.groupBy("dimension").agg(
         F.min_by(row, "k").alias("first"),
         F.max_by(row, "k").alias("last"),
@@ -111,9 +98,63 @@ def lookups(matrix: DataFrame, specs: Sequence[tuple[str, str, str]]) -> DataFra
     return _shape(matrix.filter(finding.isNotNull()), finding, pair, F.col("correlation"), F.lit(None))
 
 
-def row_count(df: DataFrame, finding: str) -> DataFrame:
-    """Number of rows of a result table (one global count)."""
-    return _shape(df.agg(F.count(F.lit(1)).alias("c")), F.lit(finding), F.lit(None), F.lit(None), F.col("c"))
+@dataclass(frozen=True)
+class Fact:
+    """A fact that an aggregate over one result table gives: a correlation of
+    two columns, a sum of one over a sum of another, a sum, or the row count."""
+
+    finding: str
+    source: str
+    correlate: tuple[str, str] | None = None
+    ratio: tuple[str, str] | None = None
+    count: str | None = None
+    label: str | None = None
+
+
+def fold(sources: Mapping[str, DataFrame], facts: Sequence[Fact]) -> DataFrame:
+    """All ``facts`` from one aggregate, whose state holds every fact's partial
+    results side by side: the tables are stacked, each with its own columns, so
+    a row feeds only the facts of its table."""
+    used = {s: sorted({c for f in facts if f.source == s for c in (*(f.correlate or ()), *(f.ratio or ()), *([f.count] if f.count else []))}) for s in sources}
+    name = lambda s, c: f"{s}__{c}"
+    stacked = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [df.select(F.lit(1).alias(name(s, "rows")), *[F.col(c).alias(name(s, c)) for c in used[s]]) for s, df in sources.items()])
+    state = []
+    for i, f in enumerate(facts):
+        of = lambda c: name(f.source, c)
+        value, n = F.lit(None).cast("double"), F.count(of("rows"))
+        if f.correlate:
+            value, n = round_exact(pearson(*map(of, f.correlate)), 4), F.lit(None)
+        elif f.ratio:
+            value, n = round_exact(ratio(F.sum(of(f.ratio[0])), F.sum(of(f.ratio[1]))), 4), F.sum(of(f.ratio[1]))
+        elif f.count:
+            n = F.coalesce(F.sum(of(f.count)), F.lit(0))
+        state.append(F.struct(F.lit(f.finding).alias("finding"), F.lit(f.label).cast("string").alias("label"), value.alias("value"), n.cast("bigint").alias("n")).alias(f"f{i}"))
+    return stacked.agg(*state).select(F.inline(F.array(*[f"f{i}" for i in range(len(facts))])))
+
+
+def outcome_totals(statuses: DataFrame) -> DataFrame:
+    """``all_rows, usable, skipped, defaults`` of each status."""
+    flag, n = outcome_flag("loan_status"), F.col("count")
+    return statuses.select(n.alias("all_rows"), F.when(flag.isNotNull(), n).otherwise(0).alias("usable"), F.when(flag.isNull(), n).otherwise(0).alias("skipped"), (flag * n).alias("defaults"))
+
+
+# Facts by table: rows read and used, matched periods and states, correlations.
+FOLDED = (
+    Fact("all_rows", "statuses", count="all_rows"),
+    Fact("usable_rows", "statuses", count="usable"),
+    Fact("skipped_rows", "statuses", count="skipped"),
+    Fact("overall_default_rate", "statuses", ratio=("defaults", "usable")),
+    Fact("segment_input_rows", "statuses", count="all_rows"),
+    Fact("segment_usable_rows", "statuses", count="usable"),
+    Fact("loan_quarters", "quarters"),
+    Fact("matched_years", "years_macro"),
+    Fact("matched_quarters", "quarters_macro"),
+    Fact("matched_states", "states_economics"),
+    Fact("control_states", "control"),
+    *[Fact(f"corr_year_{c}", "years_macro", correlate=(c, "default_rate"), label=f"default_rate ~ {c}") for c in ANNUAL_MACRO_FEATURES],
+    *[Fact(f"corr_quarter_{c}", "quarters_macro", correlate=(c, "default_rate"), label=f"default_rate ~ {c}") for c in QUARTERLY_MACRO_FEATURES],
+    *[Fact(f"corr_state_{c}", "states_economics", correlate=(c, "default_rate"), label=f"default_rate ~ {c}") for c in STATE_FEATURES],
+)
 
 
 def union_findings(parts: Sequence[DataFrame], order: Sequence[str]) -> DataFrame:
@@ -123,12 +164,11 @@ def union_findings(parts: Sequence[DataFrame], order: Sequence[str]) -> DataFram
     return reduce(DataFrame.unionByName, cols).orderBy(rank[F.col("finding")]).select(*FINDING_COLUMNS)
 
 
-def assemble(profile: DataFrame, segments: DataFrame, matrix: DataFrame, **matched: DataFrame) -> DataFrame:
+def assemble(profile: DataFrame, segments: DataFrame, matrix: DataFrame, sources: Mapping[str, DataFrame]) -> DataFrame:
     """The headline facts from the result tables: ``profile`` (dimension,
     label, counts, rate), ``segments`` (segment, key1, key2, ...), the
-    correlation ``matrix``, and tables of which the rows are counted, by fact."""
+    correlation ``matrix``, and the tables that ``FOLDED`` names."""
     picks = [(f, d, "last" if last else "first") for f, d, last in FINDING_PICKS] + [("term_highest", "term", "highest")]
     seg_names = [(f"segment_{s}_top", s) for s in FINDING_SEGMENTS]
-    order = [p[0] for p in picks] + [f for f, _ in seg_names] + [f for f, _, _ in FINDING_LOOKUPS] + list(matched)
-    parts = [profile_picks(profile, picks), segment_tops(segments, seg_names), lookups(matrix, FINDING_LOOKUPS)]
-    return union_findings(parts + [row_count(df, name) for name, df in matched.items()], order)
+    order = [p[0] for p in picks] + [f for f, _ in seg_names] + [f for f, _, _ in FINDING_LOOKUPS] + [f.finding for f in FOLDED]
+    return union_findings([profile_picks(profile, picks), segment_tops(segments, seg_names), lookups(matrix, FINDING_LOOKUPS), fold(sources, FOLDED)], order)

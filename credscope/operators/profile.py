@@ -38,13 +38,14 @@ def _is_missing(df: DataFrame, name: str):
     return c.isNull()
 
 
-def missing_profile(raw: DataFrame, top: int | None = MISSING_TOP) -> DataFrame:
-    """Per-column missing counts (NULL or ``''``) over all rows (A5).
+def missing_ranked(raw: DataFrame, top: int | None = MISSING_TOP) -> DataFrame:
+    """Per-column missing counts (NULL or ``''``) over all rows (A5), with the
+    column's ``rank`` by count desc, then column position (O11).
 
     One wide aggregate computes every column's count in a single pass; the
-    1-row result is turned into ``column, missing_rate, missing_count`` rows.
-    Never-missing columns are absent; order is count desc, then column
-    position; ``top`` keeps the first rows (the published table keeps 40).
+    1-row result is sorted as an array and turned into rows, so nothing is
+    ranked by a window.  Never-missing columns are absent; ``top`` keeps the
+    first rows (the published table keeps 40).
     """
     cols = raw.columns
     sums = [
@@ -53,19 +54,24 @@ def missing_profile(raw: DataFrame, top: int | None = MISSING_TOP) -> DataFrame:
     ]
     wide = raw.agg(F.count(F.lit(1)).alias("all_rows"), *sums)
     entries = F.array(*[
-        F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column"), F.col(f"m{i}").alias("missing_count"))
+        F.struct((-F.col(f"m{i}")).alias("least"), F.lit(i).alias("ordinal"), F.lit(c).alias("column"))
         for i, c in enumerate(cols)
     ])
-    long = wide.select("all_rows", F.inline(entries)).filter(F.col("missing_count") > 0)
-    out = long.select(
-        "column",
-        round_exact(ratio("missing_count", "all_rows"), 4).alias("missing_rate"),
-        "missing_count",
-        "ordinal",
-    ).orderBy(F.desc("missing_count"), "ordinal")
+    ordered = F.array_sort(F.filter(entries, lambda e: e["least"] < 0))
     if top:
-        out = out.limit(top)
-    return out.drop("ordinal")
+        ordered = F.slice(ordered, 1, top)
+    long = wide.select("all_rows", F.posexplode(ordered).alias("pos", "e"))
+    return long.select(
+        (F.col("pos") + 1).cast("bigint").alias("rank"),
+        F.col("e.column").alias("column"),
+        round_exact(ratio(-F.col("e.least"), "all_rows"), 4).alias("missing_rate"),
+        (-F.col("e.least")).alias("missing_count"),
+    )
+
+
+def missing_profile(raw: DataFrame, top: int | None = MISSING_TOP) -> DataFrame:
+    """:func:`missing_ranked` in the published shape: its rows in order."""
+    return missing_ranked(raw, top).drop("rank")
 
 
 def overview(loans: DataFrame, source_name: str, status: str = "loan_status", statuses: DataFrame | None = None) -> DataFrame:

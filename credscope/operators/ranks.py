@@ -34,3 +34,12 @@ def ranked(df: DataFrame, order: Sequence[Column], name: str, store: Callable[[D
     before = F.lit([0, *accumulate(sizes)][: len(sizes)] or [0]).cast("array<bigint>")
     place = F.col("__at") - F.shiftleft(part, ROW_BITS)
     return kept.withColumn(name, F.get(before, part.cast("int")) + place + F.lit(first)).drop("__at")
+
+
+def ranked_within(df: DataFrame, group: str, order: Sequence[Column], name: str, store: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The same within each (non-null) value of ``group``, from 1: positions in
+    the order of group and ``order``, less the group's first.  A group may span
+    any number of partitions."""
+    placed = ranked(df, [F.col(group), *order], "__place", store)
+    first = placed.groupBy(group).agg(F.min("__place").alias("__first"))
+    return placed.join(first, group).withColumn(name, F.col("__place") - F.col("__first") + 1).drop("__place", "__first")

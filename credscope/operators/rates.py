@@ -43,6 +43,7 @@ from ..functions.values import (
     LOAN_AMOUNT,
     BinSpec,
 )
+from .ranks import ranked_within
 
 Order = str | Sequence[str]  # "key" | "rate_desc" | "count_desc" | explicit labels
 
@@ -362,6 +363,28 @@ def published_rates(loans: DataFrame, profile_mins: Mapping[str, int], segment_m
     return shared_rates(finalized(loans), groups, "table", ["key1", "key2"], mins)
 
 
+def published_key(table: Column, key1: Column, key2: Column) -> Column:
+    """Total sort key of a row in its table's published order."""
+    rate, n = -F.col("default_rate"), -F.col("loan_count")
+
+    def key(place=F.lit(0), rate=F.lit(0.0), n=F.lit(0).cast("bigint")) -> Column:
+        return F.struct(place.cast("int").alias("place"), rate.alias("rate"), n.alias("n"), key1.alias("key1"), key2.cast("string").alias("key2"))
+
+    out = F.when(table.startswith("segment:"), key(rate=rate, n=n))
+    for d in PROFILE_DIMENSIONS:
+        if d.order != "key":
+            by = key(rate=rate, n=n) if d.order == "rate_desc" else key(n=n) if d.order == "count_desc" else key(order_rank(key1, d.order))
+            out = out.when(table == d.name, by)
+    return out.otherwise(key())
+
+
+def ranked_rates(published: DataFrame, store: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """:func:`published_rates` with each row's ``rank`` in its table's published
+    order, by ranges (no window over a table); rows without a quarter go."""
+    rows = keep_groups(published, (F.col("table") != "issue_quarter") | F.col("key1").isNotNull())
+    return ranked_within(rows, "table", [published_key(F.col("table"), F.col("key1"), F.col("key2"))], "rank", store)
+
+
 def published_slice(published: DataFrame, name: str) -> DataFrame:
     """One table of :func:`published_rates` in its own shape and order."""
     keys = SEGMENTS[name.split(":")[1]] if name.startswith("segment:") else (name,)

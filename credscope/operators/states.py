@@ -3,10 +3,12 @@ features per state (A8), and the regression "control" analysis (J5, A13,
 A15, J6).
 
 Long to wide with "last row in file order wins": both long files are
-unioned (tagged with their file rank) and reduced by ONE (sort) aggregate of
-``max_by(value, (file, pos))`` per attribute.  That replaces two pivots plus
-a full outer join with a single shuffle; ``max_by`` is partially aggregated
-map-side, so a state holding a third of the rows costs nothing extra.
+unioned (tagged with their file rank) and reduced by one hash aggregate of
+``max_by(value, pos)`` per attribute, as values and positions are numbers.
+State names are text, so only the position of the last row is aggregated and
+the name fetched by a join on it.  That replaces two pivots plus a full outer
+join; all of it is partially aggregated map-side, so a state holding a third of
+the rows costs nothing extra.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from ..functions.parsing import is_state_fips, percent_float, thousands_float, u
 from ..functions.values import (
     DEFAULT_MIN_LOANS,
     GRADES,
+    OPTIONAL_UNEMPLOYMENT_ATTRIBUTES,
     POVERTY_ATTRIBUTES,
     UNEMPLOYMENT_ATTRIBUTES,
 )
@@ -36,13 +39,29 @@ def _state_rows(long: DataFrame, state_col: str, file_rank: int, fips: str, pos:
         F.col("Area_Name").alias("area"),
         F.col("Attribute").alias("attribute"),
         thousands_float("Value").alias("value"),
-        F.struct(F.lit(file_rank).alias("file"), F.col(pos).alias("pos")).alias("ord"),
+        F.lit(file_rank).alias("file"),
+        F.col(pos).alias("pos"),
     )
 
 
 def _last_value(attribute: str, file_rank: int) -> Column:
-    hit = (F.col("attribute") == F.lit(attribute)) & (F.col("ord.file") == F.lit(file_rank))
-    return F.max_by(F.when(hit, F.col("value")), F.when(hit, F.col("ord")))
+    hit = (F.col("attribute") == F.lit(attribute)) & (F.col("file") == F.lit(file_rank))
+    return F.max_by(F.when(hit, F.col("value")), F.when(hit, F.col("pos")))
+
+
+def attributes_present(
+    unemployment: DataFrame,
+    fixed: Sequence[tuple[str, str]] = UNEMPLOYMENT_ATTRIBUTES,
+    optional: Sequence[tuple[str, str]] = OPTIONAL_UNEMPLOYMENT_ATTRIBUTES,
+    fips: str = "FIPS_Code",
+) -> tuple[tuple[str, str], ...]:
+    """The attributes that become columns: the fixed ones, and those of
+    the ``optional`` ones that a state-level row has.  At most as many names as
+    there are optional attributes reach the driver."""
+    names = [a for a, _ in optional]
+    found = unemployment.filter(is_state_fips(fips) & F.col("Attribute").isin(names)).select("Attribute").distinct().collect()
+    seen = {r["Attribute"] for r in found}
+    return (*fixed, *[(a, out) for a, out in optional if a in seen])
 
 
 def state_economics(
@@ -60,20 +79,26 @@ def state_economics(
     * each attribute takes the value of its last row (file order ``pos``),
       even when that value does not parse;
     * ``state_name`` is the last area name, the poverty file winning;
-    * attributes never seen stay NULL (the output schema is fixed by config).
+    * attributes never seen stay NULL; :func:`attributes_present` tells which
+      optional ones to pass.
 
-    ``pos`` is the line order of the source file (see ``sources.csv``).
+    ``pos`` numbers the lines of a source file in order (see
+    ``sources.files.with_file_order``).
     """
     rows = _state_rows(unemployment, "State", 0, fips, pos).unionByName(
         _state_rows(poverty, "Stabr", 1, fips, pos)
     )
-    aggs = [_last_value(a, 0).alias(out) for a, out in unemployment_attributes]
-    aggs += [_last_value(a, 1).alias(out) for a, out in poverty_attributes]
-    return (
-        rows.groupBy("state")
-        .agg(F.max_by("area", "ord").alias("state_name"), *aggs)
-        .orderBy("state")
-    )
+    values = {out: _last_value(a, 0) for a, out in unemployment_attributes}
+    values |= {out: _last_value(a, 1) for a, out in poverty_attributes}
+    wide = rows.groupBy("state").agg(
+        F.max("file").alias("file"),
+        F.max(F.when(F.col("file") == 0, F.col("pos"))).alias("last_0"),
+        F.max(F.when(F.col("file") == 1, F.col("pos"))).alias("last_1"),
+        *[c.alias(out) for out, c in values.items()],
+    ).withColumn("pos", F.coalesce("last_1", "last_0"))
+    named = rows.select("state", "file", "pos", F.col("area").alias("state_name"))
+    same = [wide[c].eqNullSafe(named[c]) for c in ("state", "file", "pos")]
+    return wide.join(named, same).select(wide.state, "state_name", *values).orderBy("state")
 
 
 def grade_share_columns(grades: Sequence[str] = GRADES) -> list[str]:

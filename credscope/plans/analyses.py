@@ -16,7 +16,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import values as V
@@ -72,23 +72,65 @@ def risk_segments(published: DataFrame) -> dict[str, DataFrame]:
     return {f"lc_segment_{name}": rates.published_slice(published, f"segment:{name}") for name in rates.SEGMENTS}
 
 
-def loan_charts(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def bars(published: DataFrame) -> DataFrame:
+    """The bars of six whole tables and of the first rows of two (O8), keyed
+    by ``chart`` (the dimension); ``rank`` is the published order."""
+    long = published.select(F.col("table").alias("chart"), F.col("key1").alias("label"), F.col("default_rate").alias("value"),
+                            rates.published_key(F.col("table"), F.col("key1"), F.col("key2")).alias("key"))
+    tops = charts.top_charts(long.filter(F.col("chart").isin(*TOP_BARS)), [F.col("key")], TOP_BARS)
+    whole = long.filter(F.col("chart").isin(*BARS)).withColumn("rank", F.row_number().over(Window.partitionBy("chart").orderBy("key")).cast("bigint"))
+    return charts.bar_datasets(whole.unionByName(tops))
+
+
+def segment_tops(published: DataFrame) -> DataFrame:
+    """The riskiest segments (O9) of four segment tables, keyed by ``chart``."""
+    long = published.filter(F.col("table").isin(*[f"segment:{s}" for s in SEGMENT_BARS]))
+    return charts.segment_bar_datasets(long.select(F.substring_index("table", ":", -1).alias("chart"), "key1", "key2", "default_rate", "loan_count"))
+
+
+def year_line(published: DataFrame) -> DataFrame:
+    known = rates.keep_groups(published.filter(F.col("table") == "issue_year"), F.col("key1") != V.UNKNOWN)
+    return charts.line_datasets(known.select(F.col("table").alias("chart"), F.col("key1").alias("label"), F.col("default_rate").alias("value")))
+
+
+def loan_charts(published: DataFrame, keep: Keep) -> dict[str, DataFrame]:
     """Bars, the year line and the segment bars of the loan tables."""
-    out = {f"chart_{d}_bar": charts.bar_dataset(tables[RATE_TABLES[d]], d) for d in BARS}
-    for d, n in TOP_BARS.items():
-        order = rates.rate_ordering([d], "rate_desc")
-        out[f"chart_top_{d}"] = charts.bar_dataset(charts.top_rows(tables[RATE_TABLES[d]], order, n), d)
-    out["chart_year_line"] = charts.line_dataset(tables["lc_default_by_year"], "issue_year")
-    for s in SEGMENT_BARS:
-        out[f"chart_segment_{s}"] = charts.segment_bars(tables[f"lc_segment_{s}"], rates.SEGMENTS[s])
+    of_bars, of_segments = keep(bars(published), "chart_bars"), keep(segment_tops(published), "chart_segments")
+    out = {f"chart_{d}_bar": charts.one_chart(of_bars, d).orderBy("rank").drop("rank") for d in BARS}
+    out |= {f"chart_top_{d}": charts.one_chart(of_bars, d).orderBy("rank") for d in TOP_BARS}
+    out["chart_year_line"] = charts.one_chart(year_line(published), "issue_year").orderBy("position")
+    out |= {f"chart_segment_{s}": charts.one_chart(of_segments, s).orderBy("rank") for s in SEGMENT_BARS}
     return out
 
 
-def macro_fusion(year_rates: DataFrame, quarter_rates: DataFrame, monthly: DataFrame) -> dict[str, DataFrame]:
+def overlays(by_year: DataFrame, by_quarter: DataFrame) -> DataFrame:
+    """Both period overlays (C3), keyed by ``chart``."""
+    return charts.overlay_datasets(charts.long_charts({"macro": charts.overlay_rows(by_year, "issue_year"), "quarterly": charts.overlay_rows(by_quarter, "issue_quarter")}))
+
+
+#: Scatter charts: x and y columns.
+STATE_SCATTERS = {f"state_vs_{n}": (c, "default_rate") for n, c in zip(("unemployment", "income", "poverty"), V.STATE_FEATURES)}
+CONTROL_SCATTERS = {
+    "rate_vs_interest": ("avg_interest_rate", "default_rate"),
+    "rate_vs_fico": ("avg_fico", "default_rate"),
+    "residual_interest_vs_poverty": ("ers_poverty_rate_2023", "default_residual_after_avg_interest"),
+    "residual_fico_vs_poverty": ("ers_poverty_rate_2023", "default_residual_after_avg_fico"),
+}
+
+
+def scatters(merged: DataFrame, control: DataFrame) -> DataFrame:
+    """The seven scatter charts (C4), keyed by ``chart``: ties are labelled in
+    those of the state table (W3), positions count in the others (W2)."""
+    parts = {c: charts.scatter_rows(merged, x, y, ties=True) for c, (x, y) in STATE_SCATTERS.items()}
+    parts |= {c: charts.scatter_rows(control, x, y) for c, (x, y) in CONTROL_SCATTERS.items()}
+    return charts.scatter_datasets(charts.long_charts(parts))
+
+
+def macro_fusion(year_rates: DataFrame, quarter_rates: DataFrame, monthly: DataFrame, keep: Keep) -> dict[str, DataFrame]:
     annual = macro.annual_macro(monthly)
     quarterly = macro.quarterly_macro(monthly)
-    by_year = fusion.rate_with_period_macro(year_rates, annual, "issue_year")
-    by_quarter = fusion.rate_with_period_macro(quarter_rates, quarterly, "issue_quarter")
+    by_year = keep(fusion.rate_with_period_macro(year_rates, annual, "issue_year"), "years_macro").orderBy("issue_year")
+    by_quarter = keep(fusion.rate_with_period_macro(quarter_rates, quarterly, "issue_quarter"), "quarters_macro").orderBy("issue_quarter")
     return {
         "fred_macro_annual": annual,
         "fred_macro_quarterly": quarterly,
@@ -99,20 +141,16 @@ def macro_fusion(year_rates: DataFrame, quarter_rates: DataFrame, monthly: DataF
             by_year, V.ANNUAL_MACRO_FEATURES, "default_rate", "macro_variable", "correlation_with_default_rate"),
         "lc_fred_quarterly_correlations": fusion.correlation_table(
             by_quarter, V.QUARTERLY_MACRO_FEATURES, "default_rate", "macro_variable", "correlation_with_quarterly_default_rate"),
-        "chart_macro_overlay": charts.overlay_dataset(by_year, "issue_year"),
-        "chart_quarterly_overlay": charts.overlay_dataset(by_quarter, "issue_quarter"),
     }
 
 
-def state_analysis(state_rates: DataFrame, economics: DataFrame) -> dict[str, DataFrame]:
-    merged = fusion.attach(state_rates, economics, "state")
+def state_analysis(state_rates: DataFrame, economics: DataFrame, keep: Keep) -> dict[str, DataFrame]:
+    merged = keep(fusion.attach(state_rates, economics, "state"), "states_economics").orderBy(F.desc("default_rate"), F.desc("loan_count"), "state")
     return {
         "ers_state_economic_features": economics,
         "lc_default_by_state_with_ers_features": merged,
         "lc_ers_state_correlations": fusion.correlation_table(
             merged, V.STATE_FEATURES, "default_rate", "state_feature", "correlation_with_state_default_rate"),
-        **{f"chart_state_vs_{name}": charts.scatter_dataset(merged, column, "default_rate", ties=True)
-           for name, column in zip(("unemployment", "income", "poverty"), V.STATE_FEATURES)},
     }
 
 
@@ -122,12 +160,6 @@ def control_analysis(loans: DataFrame, economics: DataFrame, t: Thresholds, keep
     return {
         "lc_state_control_features": control,
         "lc_state_control_correlations": fusion.correlation_matrix(control, V.CONTROL_TARGETS, V.CONTROL_FEATURES),
-        "chart_rate_vs_interest": charts.scatter_dataset(control, "avg_interest_rate", "default_rate"),
-        "chart_rate_vs_fico": charts.scatter_dataset(control, "avg_fico", "default_rate"),
-        "chart_residual_interest_vs_poverty": charts.scatter_dataset(
-            control, "ers_poverty_rate_2023", "default_residual_after_avg_interest"),
-        "chart_residual_fico_vs_poverty": charts.scatter_dataset(
-            control, "ers_poverty_rate_2023", "default_residual_after_avg_fico"),
     }
 
 
@@ -140,20 +172,25 @@ def all_tables(loans: DataFrame, monthly: DataFrame, unemployment: DataFrame, po
     published = keep(rates.published_rates(loans, {"state": t.state, "purpose": t.purpose}, t.segments), "rates")
     out = loan_profile(loans, published, source_name, keep)
     out.update(risk_segments(published))
-    out.update(loan_charts(out))
-    out.update(macro_fusion(out["lc_default_by_year"], rates.published_slice(published, "issue_quarter"), monthly))
-    economics = keep(states.state_economics(unemployment, poverty), "state_economics").orderBy("state")
-    out.update(state_analysis(out["lc_default_by_state_min1000"], economics))
+    out.update(loan_charts(published, keep))
+    out.update(macro_fusion(out["lc_default_by_year"], rates.published_slice(published, "issue_quarter"), monthly, keep))
+    economics = states.state_economics(unemployment, poverty, states.attributes_present(unemployment))
+    economics = keep(economics, "state_economics").orderBy("state")
+    out.update(state_analysis(out["lc_default_by_state_min1000"], economics, keep))
     out.update(control_analysis(loans, economics, t, keep))
+    merged, control = out["lc_default_by_state_with_ers_features"], out["lc_state_control_features"]
+    points = keep(scatters(merged, control), "chart_scatters")
+    out |= {f"chart_{c}": charts.one_chart(points, c).orderBy("label") for c in (*STATE_SCATTERS, *CONTROL_SCATTERS)}
+    by_year, by_quarter = out["lc_default_by_year_with_fred_macro"], out["lc_default_by_quarter_with_fred_macro"]
+    lines = keep(overlays(by_year, by_quarter), "chart_overlays")
+    out |= {f"chart_{c}_overlay": charts.one_chart(lines, c).orderBy("position", "series") for c in ("macro", "quarterly")}
     counts = [F.col(c) for c in rates.RATE_COLUMNS]
     out["findings"] = findings.assemble(
         published.filter(F.col("table").isin(*rates.DIMENSIONS)).select(F.col("table").alias("dimension"), F.col("key1").alias("label"), *counts),
         published.filter(F.col("table").startswith("segment:")).select(F.substring_index("table", ":", -1).alias("segment"), "key1", "key2", *counts),
         out["lc_state_control_correlations"],
-        matched_years=out["lc_default_by_year_with_fred_macro"],
-        matched_quarters=out["lc_default_by_quarter_with_fred_macro"],
-        matched_states=out["lc_default_by_state_with_ers_features"],
-        control_states=out["lc_state_control_features"],
+        {"statuses": findings.outcome_totals(out["lc_status_distribution"]), "quarters": out["lc_default_by_quarter"], "years_macro": by_year,
+         "quarters_macro": by_quarter, "states_economics": merged, "control": control},
     )
     return out
 

@@ -8,6 +8,7 @@ is the equivalent DuckDB SQL over the same tables.  Column names match.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from .. import oracle as O
 from ..functions import values as V
 from ..operators import rates
-from ..sources import fixtures
+from ..session import ensure_checkpoint_dir
+from ..sources import files, fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -639,41 +641,51 @@ from ..operators import findings as FD  # noqa: E402
 from ..operators.findings import FINDING_LOOKUPS, FINDING_PICKS, FINDING_SEGMENTS  # noqa: E402
 
 
+def _keeper(spark: SparkSession, name: str):
+    """Stores what several results of a query read, in a fresh shared folder."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return lambda df, table="kept": files.land_parquet(df, f"{base}/{table}-{uuid.uuid4().hex}")
+
+
+def published_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rates.published_rates(fixtures.loans(spark, sf_dir), PROFILE_MIN_LOANS, SEGMENT_MIN_LOANS)
+
+
 @register("findings", None)
 def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Headline facts.  All loan rate tables it needs (14 profile tables,
-    quarters, 4 segments) come from ONE shared scan of the loans."""
-    loans = fixtures.loans(spark, sf_dir)
-    groups = {n: (n,) for n in rates.DIMENSIONS}
-    groups["issue_quarter"] = ("issue_quarter",)
-    groups.update({f"segment:{s}": rates.SEGMENTS[s] for s in FINDING_SEGMENTS})
-    mins = dict(PROFILE_MIN_LOANS)
-    mins.update({f"segment:{s}": SEGMENT_MIN_LOANS[s] for s in FINDING_SEGMENTS})
-    tables = rates.shared_rates(rates.finalized(loans), groups, "table", ["key1", "key2"], mins)
+    """Headline facts.  All loan rate tables (14 profile tables, quarters, 5
+    segments) come from one scan of the loans and are stored; statuses and
+    state features scan the loans once each."""
+    keep = _keeper(spark, "findings")
+    loans, monthly = fixtures.loans(spark, sf_dir), fixtures.macro_monthly(spark, sf_dir)
+    published = keep(published_df(spark, sf_dir))
+    econ = keep(economics_df(spark, sf_dir))
+    control = keep(states.state_control(loans, econ, CONTROL_MIN_LOANS))
     counts = [F.col(c) for c in rates.RATE_COLUMNS]
-    profile = tables.filter(F.col("table").isin(*rates.DIMENSIONS)).select(
+    profile_rows = published.filter(F.col("table").isin(*rates.DIMENSIONS)).select(
         F.col("table").alias("dimension"), F.col("key1").alias("label"), *counts)
-    segs = tables.filter(F.col("table").startswith("segment:")).select(
+    segs = published.filter(F.col("table").startswith("segment:")).select(
         F.substring_index("table", ":", -1).alias("segment"), "key1", "key2", *counts)
-    quarters = tables.filter((F.col("table") == "issue_quarter") & F.col("key1").isNotNull()).select(
-        F.col("key1").alias("issue_quarter"), *counts)
-    years = profile.filter(F.col("dimension") == "issue_year").select(F.col("label").alias("issue_year"), *counts)
-    states_ = profile.filter(F.col("dimension") == "state").select(F.col("label").alias("state"), *counts)
-
-    monthly = fixtures.macro_monthly(spark, sf_dir)
-    econ = economics_df(spark, sf_dir)
-    control = states.state_control(loans, econ, CONTROL_MIN_LOANS)
-    matrix = fusion.correlation_matrix(control, V.CONTROL_TARGETS, V.CONTROL_FEATURES)
-    return FD.assemble(
-        profile, segs, matrix,
-        matched_years=fusion.rate_with_period_macro(years, macro.annual_macro(monthly), "issue_year"),
-        matched_quarters=fusion.rate_with_period_macro(quarters, macro.quarterly_macro(monthly), "issue_quarter"),
-        matched_states=fusion.attach(states_, econ, "state"),
-        # Rows of the control table = states with enough loans that have
-        # economics; counted from the shared scan instead of re-running it.
-        control_states=fusion.attach(rates.keep_groups(states_, F.col("loan_count") >= CONTROL_MIN_LOANS),
-                                     econ.select("state"), "state"),
-    )
+    quarters = rates.published_slice(published, "issue_quarter")
+    return FD.assemble(profile_rows, segs, fusion.correlation_matrix(control, V.CONTROL_TARGETS, V.CONTROL_FEATURES), {
+        "statuses": FD.outcome_totals(profile.status_distribution(loans)),
+        "quarters": quarters,
+        "years_macro": fusion.rate_with_period_macro(rates.published_slice(published, "issue_year"), macro.annual_macro(monthly), "issue_year"),
+        "quarters_macro": fusion.rate_with_period_macro(quarters, macro.quarterly_macro(monthly), "issue_quarter"),
+        "states_economics": fusion.attach(rates.published_slice(published, "state"), econ, "state"),
+        "control": control,
+    })
+
+
+def _order_sql(dim: str, last: bool = False) -> str:
+    """Published order of a profile table's rows (label, default_rate, loan_count)."""
+    d = rates.DIMENSIONS[dim]
+    asc, desc = ("DESC", "ASC") if last else ("ASC", "DESC")
+    if d.order == "key":
+        return f"ORDER BY label {asc}"
+    if d.order == "rate_desc":
+        return f"ORDER BY default_rate {desc}, loan_count {desc}, label {asc}"
+    return f"ORDER BY {O.order_rank('label', d.order)} {asc}, label {asc}"
 
 
 def _findings_sql() -> str:
@@ -697,18 +709,9 @@ def _findings_sql() -> str:
         return (f"SELECT {O.q(finding)} AS finding, CAST({label} AS VARCHAR) AS label, CAST({value} AS DOUBLE) AS value, "
                 f"CAST({n} AS BIGINT) AS n FROM {src} {where} {order}")
 
-    def order_sql(dim, last):
-        d = rates.DIMENSIONS[dim]
-        asc, desc = ("DESC", "ASC") if last else ("ASC", "DESC")
-        if d.order == "key":
-            return f"ORDER BY label {asc}"
-        if d.order == "rate_desc":
-            return f"ORDER BY default_rate {desc}, loan_count {desc}, label {asc}"
-        return f"ORDER BY {O.order_rank('label', d.order)} {asc}, label {asc}"
-
     parts = []
     for f, d, last in FINDING_PICKS:
-        parts.append(sel(f, "label", "default_rate", "loan_count", "profile", order_sql(d, last) + " LIMIT 1",
+        parts.append(sel(f, "label", "default_rate", "loan_count", "profile", _order_sql(d, last) + " LIMIT 1",
                          f"WHERE dimension = {O.q(d)}"))
     parts.append(sel("term_highest", "label", "default_rate", "loan_count", "profile",
                      "ORDER BY default_rate DESC, label ASC LIMIT 1", "WHERE dimension = 'term'"))
@@ -718,9 +721,18 @@ def _findings_sql() -> str:
     for f, t, x in FINDING_LOOKUPS:
         parts.append(sel(f, "target || ' ~ ' || feature", "correlation", "NULL", "matrix", "",
                          f"WHERE target = {O.q(t)} AND feature = {O.q(x)}"))
-    for f, src in (("matched_years", "year_merged"), ("matched_quarters", "quarter_merged"),
+    flag = O.outcome_flag("loan_status")
+    for f, n in (("all_rows", "count(*)"), ("usable_rows", f"count({flag})"), ("skipped_rows", f"count(*) - count({flag})"),
+                 ("segment_input_rows", "count(*)"), ("segment_usable_rows", f"count({flag})")):
+        parts.append(sel(f, "NULL", "NULL", n, "loans"))
+    parts.append(sel("overall_default_rate", "NULL", O.r4(O.ratio(f"sum({flag})", f"count({flag})")), f"count({flag})", "loans"))
+    for f, src in (("loan_quarters", f"({QUARTER_RATES_SQL}) q"), ("matched_years", "year_merged"), ("matched_quarters", "quarter_merged"),
                    ("matched_states", "state_merged"), ("control_states", "control")):
         parts.append(sel(f, "NULL", "NULL", "count(*)", src))
+    for f, src, features in (("year", "year_merged", V.ANNUAL_MACRO_FEATURES), ("quarter", "quarter_merged", V.QUARTERLY_MACRO_FEATURES),
+                             ("state", "state_merged", V.STATE_FEATURES)):
+        for x in features:
+            parts.append(sel(f"corr_{f}_{x}", O.q(f"default_rate ~ {x}"), O.r4(O.pearson(x, "default_rate")), "NULL", src))
     body = " UNION ALL ".join(f"({p})" for p in parts)
     return O.with_views(body, "loans", "macro_monthly", "state_unemployment", "state_poverty", extra=ctes)
 
@@ -750,3 +762,147 @@ def chart_top_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = rates.rate_by(fixtures.loans(spark, sf_dir), "state", STATE_MIN_LOANS)
     order = rates.rate_ordering(["state"], "rate_desc")
     return charts.bar_dataset(charts.top_rows(table, order, V.TOP_STATES), "state")
+
+
+# ------------------------------------------------------------- O1-O6, O11: published orders as ranks
+
+def _published_parts() -> list[tuple[str, str, str]]:
+    """Table, body with label(s), published order of the 20 rate tables."""
+    parts = [(d, rates_sql({"label": _key_sql(d)}, PROFILE_MIN_LOANS.get(d, 0)), _order_sql(d)) for d in rates.DIMENSIONS]
+    return parts + [("issue_quarter", QUARTER_RATES_SQL.replace("issue_quarter", "label"), "ORDER BY label")]
+
+
+def _rank_published_sql() -> str:
+    rank = "CAST(row_number() OVER ({order}) AS BIGINT) AS rank"
+    counts = "loan_count, default_count, default_rate"
+    parts = [f"SELECT {O.q(t)} AS \"table\", label AS key1, CAST(NULL AS VARCHAR) AS key2, {counts}, {rank.format(order=order)} FROM ({body}) t"
+             for t, body, order in _published_parts()]
+    for s, (k1, k2) in rates.SEGMENTS.items():
+        body = rates_sql({"key1": _key_sql(k1), "key2": _key_sql(k2)}, SEGMENT_MIN_LOANS[s])
+        parts.append(f"SELECT {O.q('segment:' + s)}, key1, key2, {counts}, {rank.format(order='ORDER BY default_rate DESC, loan_count DESC, key1, key2')} FROM ({body}) t")
+    return O.with_views(" UNION ALL ".join(f"({p})" for p in parts), "loans", extra=[("final_loans", FINAL_LOANS_SQL)])
+
+
+@register("rank_published", _rank_published_sql())
+def rank_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the 20 rate tables with its place in the table's published order."""
+    return rates.ranked_rates(published_df(spark, sf_dir), _keeper(spark, "ranks"))
+
+
+@register("rank_statuses", O.with_views(
+    "SELECT COALESCE(loan_status, '') AS loan_status, CAST(count(*) AS BIGINT) AS count, "
+    "CAST(row_number() OVER (ORDER BY count(*) DESC, COALESCE(loan_status, '')) AS BIGINT) AS rank FROM loans GROUP BY 1", "loans"))
+def rank_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statuses with their place by count."""
+    return ranks.ranked(profile.status_distribution(fixtures.loans(spark, sf_dir)), [F.desc("count"), F.col("loan_status")], "rank", _keeper(spark, "ranks"))
+
+
+@register("rank_missing", _missing_sql().replace('SELECT "column"', 'SELECT CAST(row_number() OVER (ORDER BY missing_count DESC, ordinal) AS BIGINT) AS rank, "column"'))
+def rank_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns with missing values and their place."""
+    return profile.missing_ranked(fixtures.loans(spark, sf_dir), V.MISSING_TOP)
+
+
+# ------------------------------------------------------------- all charts, keyed by chart
+
+from ..operators import ranks  # noqa: E402
+from . import analyses  # noqa: E402
+
+
+def _bars_sql() -> str:
+    of = {t: (body, order) for t, body, order in _published_parts()}
+    parts = []
+    for d in (*analyses.BARS, *analyses.TOP_BARS):
+        body, order = of[d]
+        limit = f"WHERE rank <= {analyses.TOP_BARS[d]}" if d in analyses.TOP_BARS else ""
+        parts.append(f"SELECT {O.q(d)} AS chart, * FROM (SELECT CAST(row_number() OVER ({order}) AS BIGINT) AS rank, label, default_rate AS value FROM ({body}) t) r {limit}")
+    body = f"""
+SELECT chart, rank, label, substr(label, 1, {V.BAR_LABEL_WIDTH}) AS label_text, value,
+       {O.r4('CASE WHEN vmax <> 0 THEN value / vmax ELSE 0.0 END')} AS scaled, {_value_text_sql('value')} AS value_label
+FROM (SELECT *, max(value) OVER (PARTITION BY chart) AS vmax FROM long) s"""
+    return O.with_views(body, "loans", extra=[("final_loans", FINAL_LOANS_SQL), ("long", " UNION ALL ".join(f"({p})" for p in parts))])
+
+
+@register("chart_bars_all", _bars_sql())
+def chart_bars_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six whole tables, the top states and the top purposes."""
+    return analyses.bars(published_df(spark, sf_dir))
+
+
+def _segment_tops_sql() -> str:
+    parts = []
+    for s in analyses.SEGMENT_BARS:
+        k1, k2 = rates.SEGMENTS[s]
+        body = rates_sql({"key1": _key_sql(k1), "key2": _key_sql(k2)}, SEGMENT_MIN_LOANS[s])
+        parts.append(f"SELECT {O.q(s)} AS chart, *, CAST(row_number() OVER (ORDER BY default_rate DESC, loan_count DESC, key1, key2) AS BIGINT) AS rank FROM ({body}) t")
+    body = f"""
+SELECT chart, rank, substr(key1 || ' / ' || key2, 1, {V.SEGMENT_LABEL_WIDTH}) AS label, default_rate, loan_count,
+       {O.r4('CASE WHEN vmax <> 0 THEN default_rate / vmax ELSE 0.0 END')} AS scaled,
+       {_pct_sql('default_rate')} || ' (' || CAST(loan_count AS VARCHAR) || ')' AS value_label
+FROM (SELECT *, max(default_rate) OVER (PARTITION BY chart) AS vmax FROM long WHERE rank <= {V.TOP_SEGMENTS}) s"""
+    return O.with_views(body, "loans", extra=[("final_loans", FINAL_LOANS_SQL), ("long", " UNION ALL ".join(f"({p})" for p in parts))])
+
+
+@register("chart_segments_all", _segment_tops_sql())
+def chart_segments_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The riskiest segments of four tables."""
+    return analyses.segment_tops(published_df(spark, sf_dir))
+
+
+def _scatters_sql() -> str:
+    parts = [f"SELECT {O.q(c)} AS chart, * FROM ({_scatter_sql('merged', x, y, True)}) p" for c, (x, y) in analyses.STATE_SCATTERS.items()]
+    parts += [f"SELECT {O.q(c)} AS chart, * FROM ({_scatter_sql('control', x, y, False)}) p" for c, (x, y) in analyses.CONTROL_SCATTERS.items()]
+    ctes = CONTROL_CTES + [("lc_state", STATE_RATES_SQL), ("merged", "SELECT * FROM lc_state JOIN econ USING (state)")]
+    return O.with_views(" UNION ALL ".join(parts), *STATE_VIEWS, extra=ctes)
+
+
+@register("chart_scatters_all", _scatters_sql())
+def chart_scatters_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three state charts and the four of the control table."""
+    keep = _keeper(spark, "scatters")
+    econ = keep(economics_df(spark, sf_dir))
+    control = keep(states.state_control(fixtures.loans(spark, sf_dir), econ, CONTROL_MIN_LOANS))
+    merged = keep(fusion.attach(rates.rate_by(fixtures.loans(spark, sf_dir), "state", STATE_MIN_LOANS), econ, "state"))
+    return analyses.scatters(merged, control)
+
+
+def _overlays_sql() -> str:
+    parts, ctes = [], [("final_loans", FINAL_LOANS_SQL)]
+    for chart, kind, k, lc, pm in (("macro", "year", "issue_year", YEAR_RATES_SQL, ANNUAL_MACRO_SQL), ("quarterly", "quarter", "issue_quarter", QUARTER_RATES_SQL, QUARTERLY_MACRO_SQL)):
+        ctes.append((f"m_{kind}", f"SELECT * FROM ({lc}) r JOIN ({pm}) p USING ({k}) WHERE {k} <> 'Unknown'"))
+        parts += [f"SELECT {O.q(chart)} AS chart, {k} AS label, {O.q(name)} AS series, {O.dbl(c)} * {m} AS value FROM m_{kind}" for name, c, m in charts.OVERLAY_SERIES]
+    body = f"""
+SELECT chart, position, label, series, {O.r4('value')} AS value, {_scaled_sql('value', 'lo', 'hi')} AS scaled, {_tick_sql('position', 'n')} AS tick
+FROM (SELECT *, count(DISTINCT label) OVER (PARTITION BY chart) AS n FROM (
+  SELECT *, CAST(dense_rank() OVER (PARTITION BY chart ORDER BY label) - 1 AS BIGINT) AS position,
+         min(value) OVER (PARTITION BY chart) AS lo, max(value) OVER (PARTITION BY chart) AS hi FROM long) a) s"""
+    return O.with_views(body, "loans", "macro_monthly", extra=[*ctes, ("long", " UNION ALL ".join(parts))])
+
+
+@register("chart_overlays_all", _overlays_sql())
+def chart_overlays_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Default rate and macro series by year and by quarter."""
+    return analyses.overlays(year_macro_df(spark, sf_dir), quarter_macro_df(spark, sf_dir))
+
+
+# ------------------------------------------------------------- P16: optional attributes
+
+_INCOME_2023 = V.OPTIONAL_UNEMPLOYMENT_ATTRIBUTES[0]
+#: A file that has the optional attribute: the fixture's third one under its name.
+_RENAMED = ("Civilian_labor_force_2023", _INCOME_2023[0])
+
+
+def _economics_found_sql() -> str:
+    renamed = O.VIEW_SQL["state_unemployment"].replace(O.q(_RENAMED[0]), O.q(_RENAMED[1]))
+    u = ", ".join(f"{_last_sql(a)} AS {o}" for a, o in (*V.UNEMPLOYMENT_ATTRIBUTES, _INCOME_2023))
+    sql = ECON_SQL.replace(", ".join(f"{_last_sql(a)} AS {o}" for a, o in V.UNEMPLOYMENT_ATTRIBUTES), u)
+    outs = ", ".join(f"ua.{o}" for _, o in V.UNEMPLOYMENT_ATTRIBUTES)
+    sql = sql.replace(outs, f"{outs}, ua.{_INCOME_2023[1]}")
+    return O.with_views(sql, "state_poverty", extra=[("state_unemployment", renamed)])
+
+
+@register("state_economics_found", _economics_found_sql())
+def state_economics_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State economics whose columns follow from the attributes in the file."""
+    unemployment = fixtures.state_unemployment(spark, sf_dir).replace({_RENAMED[0]: _RENAMED[1]}, subset=["Attribute"])
+    return states.state_economics(unemployment, fixtures.state_poverty(spark, sf_dir), states.attributes_present(unemployment))

@@ -103,26 +103,35 @@ def read_macro_csv(spark: SparkSession, path: str) -> DataFrame:
     return read_csv_strings(spark, path, MACRO_COLUMNS)
 
 
-def with_file_order(df: DataFrame) -> DataFrame:
-    """Add ``pos``: a sortable key that follows file line order.
+def with_file_order(df: DataFrame, files: Sequence[str]) -> DataFrame:
+    """Add ``pos``: one number that follows file line order.
 
-    (file path, split start, row id within the split): row ids are increasing
-    within a task, and splits of one file are ordered by their start offset.
+    It packs the file's place among ``files`` (paths in order), the start of
+    the split (below 2**47) and the row id within the task (below 2**33): row
+    ids are increasing within a task, and splits of one file are ordered by
+    their start.  A number, unlike a struct, can be kept by a hash aggregate.
     """
-    return df.withColumn(
-        "pos",
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
-    )
+    place = F.array_position(F.lit([_plain_uri(f) for f in files]).cast("array<string>"), F.regexp_replace("_metadata.file_path", "^([a-z0-9]+):/+", "$1:/"))
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    number = lambda c: c.cast("decimal(38,0)")
+    packed = (number(place) * F.lit(1 << 47) + number(F.col("_metadata.file_block_start"))).cast("decimal(28,0)") * F.lit(1 << 33).cast("decimal(10,0)") + row.cast("decimal(19,0)")
+    return df.withColumn("pos", packed.cast("decimal(38,0)"))
+
+
+def _plain_uri(path: str) -> str:
+    scheme, colon, rest = path.partition(":/")
+    return f"{scheme}:/{rest.lstrip('/')}" if colon else path
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """The files under ``path`` in order; a listing, no content is read."""
+    return sorted(r["path"] for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").collect())
 
 
 def read_state_long(spark: SparkSession, path: str, state_column: str = "State") -> DataFrame:
     """S4 (``State``) / S5 (``Stabr``): long state/county file with ``pos``."""
     columns = UNEMPLOYMENT_COLUMNS if state_column == "State" else POVERTY_COLUMNS
-    return with_file_order(read_csv_strings(spark, path, columns))
+    return with_file_order(read_csv_strings(spark, path, columns), list_files(spark, path))
 
 
 def land_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
