@@ -76,8 +76,8 @@ def _refine(docs: DataFrame, state: DataFrame, level: int) -> DataFrame:
 
 
 def _hash(seed: str) -> Column:
-    """The document's number below 2 ** HASH_BITS, by doc_id."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    """The document's number below 2 ** HASH_BITS, by doc_id and text."""
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text_of().cast("binary"))).cast("binary"))
     return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
@@ -104,9 +104,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RE
     is copies times size.  A source's taken words differ from its target by at
     most half the words of the documents that share the last hash value.
 
-    Null text has size 0.  Null is a source of its own.  Null doc_ids share a
-    hash, as do rows that repeat a doc_id: they are taken together.  Other
-    columns are ignored; an empty table gives no rows.
+    Null text has size 0.  Null is a source of its own.  The hash is that of
+    doc_id and text, so rows without a doc_id or with the same one are told
+    apart by their texts; rows equal in both are taken together.  Other columns
+    are ignored; an empty table gives no rows.
     """
     ws = Workspace(docs.sparkSession, "mixing")
     slim = _slim(ws, docs, seed)
@@ -133,7 +134,7 @@ def query(spark, sf_dir):
 ORACLE = f"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
-         ('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT AS hash
+         ('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS hash
   FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,

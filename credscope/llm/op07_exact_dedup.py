@@ -119,8 +119,9 @@ def query(spark, sf_dir):
 
 ORACLE = """
 WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, coalesce(text, '') AS t FROM documents),
+-- rows equal in doc_id and text are one document stored several times
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
-SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_sha256,
+SELECT DISTINCT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, d.text_sha256,
        count(*) OVER (PARTITION BY d.doc_id, d.text_sha256) AS copies
 FROM d JOIN g USING (t)
 """

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from credscope.llm import op03_toxicity, op10_quality
+from credscope.llm import op03_toxicity, op10_quality, training
 
 SF = "/root/testdata/sf0.01"
 
@@ -31,3 +31,12 @@ def test_label_model_outvotes_wrong_labels():
     given = np.where(rng.random(3000) < 0.05, ~truth, truth).astype(float)
     posterior, _ = op03_toxicity.label_model(votes, given)
     assert ((posterior > 0.5) == truth).mean() > (given == truth).mean()
+
+
+def test_sample_is_bounded_where_ids_repeat(spark, make_docs):
+    docs = make_docs([(i % 50, f"text {i}") for i in range(2000)] + [(3, None)])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(50)], "doc_id long, quality int, toxic int")
+    got = training.labelled_sample(docs, labels, "quality", 10).collect()
+    assert len(got) == len({r.doc_id for r in got}) == 10
+    again = training.labelled_sample(docs.repartition(9), labels, "quality", 10).collect()
+    assert sorted(got) == sorted(again)

@@ -61,3 +61,12 @@ def test_empty_and_wordless(make_docs):
     assert op.mix(make_docs([])).collect() == []
     got = op.mix(make_docs([(1, None, "a"), (2, " ", "b")])).collect()
     assert [(r.target, r.taken) for r in got] == [(0.0, 0), (0.0, 0)]
+
+
+def test_rows_without_ids_are_told_apart(make_docs):
+    texts = invented(600, seed=7)
+    for doc_id in (None, 7):
+        rows = [(doc_id, t, "abc"[i % 3]) for i, t in enumerate(texts)]
+        want, taken = check(op.mix(make_docs(rows)).collect(), rows)
+        for s in want:
+            assert abs(taken[s] - want[s]) <= 110
