@@ -240,6 +240,7 @@ def _settle(ws: Workspace, entries: DataFrame, nodes: DataFrame, sets: DataFrame
     of ``entries`` (bucket, node, comp).  ``nodes``: node, sig.  ``sets``: node,
     elements."""
     labels = late = None
+    families = True  # of band buckets; later ones are apart by their common elements
     agreeing = _agreeing(least_agreement(threshold / 100))
     while not entries.isEmpty():
         large = entries.groupBy("bucket").count().where(F.col("count") > SMALL).select("bucket")
@@ -263,7 +264,8 @@ def _settle(ws: Workspace, entries: DataFrame, nodes: DataFrame, sets: DataFrame
         fresh = tested.where(_linked(threshold)).select(F.col("b").alias("u"), F.col("a").alias("v"))
         known = [e for e in (labels, late) if e is not None]
         labels = components(ws, reduce(DataFrame.union, [fresh, *known]))
-        entries, late = _rest(ws, star, labels, sets, threshold)
+        entries, late = _rest(ws, star, tested, labels, sets, threshold, families)
+        families = False
         ws.drop(flagged, pivots, star, tested, *known)
     return labels if late is None or late.isEmpty() else components(ws, labels.union(late))
 
@@ -281,28 +283,35 @@ def _linked(threshold: int) -> Column:
     return F.col("both") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("both")) * threshold
 
 
-def _rest(ws: Workspace, star: DataFrame, labels: DataFrame, sets: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
-    """bucket, node, comp: the buckets still to be settled after the stars; and
-    links (u, v) found on the way.
+def _rest(ws: Workspace, star: DataFrame, tested: DataFrame, labels: DataFrame, sets: DataFrame, threshold: int, families: bool) -> tuple[DataFrame, DataFrame]:
+    """bucket, node, comp: the buckets still to be settled after the stars
+    (with ``families``, buckets with pivots of one component as one); and links
+    (u, v) found on the way.
 
     In the sums below, a link of x and y takes at least (need(x) + need(y)) /
     unit common differences from the pivot."""
     unit = 2 * (100 + threshold)
     comp = lambda df, name, out: df.join(labels.select(F.col("u").alias(name), F.col("v").alias(out)), name, "left").withColumn(out, F.coalesce(out, name))
-    home = comp(star.select("bucket", "pivot").distinct(), "pivot", "home")
-    rows = star.join(_salted(home.select("bucket", "home")), ["bucket", "salt"]).select(F.col("home").alias("bucket"), "salt", "node", "pivot")
-    pivot = rows.groupBy("bucket", "pivot").count().groupBy("bucket").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
-    merged = ws.store(comp(rows.select("bucket", "salt", "node").distinct(), "node", "comp"), "merged")
-    pivot = pivot.join(merged.where("comp != bucket").select("bucket").distinct(), "bucket", "left_semi")
-    outsides = ws.store(merged.join(_salted(pivot), ["bucket", "salt"]).where("node != pivot").withColumn("a", F.least("node", "pivot")).withColumn("b", F.greatest("node", "pivot")), "outsides")
-    tested = _tested(ws, outsides.select("a", "b"), sets)
+    home = ws.store(comp(star.select("bucket", "pivot").distinct(), "pivot", "home"), "homes")
+    if families:
+        rows = star.join(_salted(home.select("bucket", "home")), ["bucket", "salt"]).select(F.col("home").alias("bucket"), "salt", "node").distinct()
+        size = star.groupBy("bucket").count().join(home, "bucket").groupBy("home", "pivot").agg(F.sum("count").alias("n"))
+        home = size.groupBy(F.col("home").alias("bucket")).agg(F.max_by("pivot", F.struct("n", "pivot")).alias("pivot")).withColumn("home", F.col("bucket"))
+    else:
+        rows = star.select("bucket", "salt", "node")
+    rows = comp(rows, "node", "comp").join(_salted(home), ["bucket", "salt"])
+    merged = ws.store(rows.where("node != pivot").withColumn("a", F.least("node", "pivot")).withColumn("b", F.greatest("node", "pivot")), "merged")
+    outsides = merged.join(_salted(merged.where("comp != home").select("bucket").distinct()), ["bucket", "salt"], "left_semi")
+    if families:
+        outsides = ws.store(outsides, "outsides")
+        tested = _tested(ws, outsides.select("a", "b"), sets)
 
     size = F.when(F.col("node") == F.col("a"), F.col("size_a")).otherwise(F.col("size_b"))
     gap = F.col("size_a") + F.col("size_b") - 2 * F.col("both")
-    rows = outsides.join(tested, ["a", "b"]).withColumn("now", (F.col("comp") != F.col("bucket")) & _linked(threshold))
-    rows = ws.store(rows.select("bucket", "salt", "node", "pivot", F.when(F.col("now"), F.col("bucket")).otherwise(F.col("comp")).alias("comp"), "now", size.alias("size"), gap.alias("gap"), ((100 + threshold) * gap - (100 - threshold) * size).alias("need")), "rows")
+    rows = outsides.join(tested, ["a", "b"]).withColumn("now", (F.col("comp") != F.col("home")) & _linked(threshold))
+    rows = ws.store(rows.select("bucket", "salt", "node", "pivot", "home", F.when(F.col("now"), F.col("home")).otherwise(F.col("comp")).alias("comp"), "now", size.alias("size"), gap.alias("gap"), ((100 + threshold) * gap - (100 - threshold) * size).alias("need")), "rows")
     late = ws.store(rows.where("now").select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")), "late")
-    inside = F.col("comp") == F.col("bucket")
+    inside = F.col("comp") == F.col("home")
     # buckets with nodes outside the pivot's component, the least need of these, and whether they are of several components
     outer = rows.where(~inside).groupBy("bucket").agg(F.min("need").alias("outer"), (F.min("comp") != F.max("comp")).alias("several"))
     # elements of the sorted differences among which a common one lies, if there is a link
@@ -328,7 +337,7 @@ def _rest(ws: Workspace, star: DataFrame, labels: DataFrame, sets: DataFrame, th
     new = ranked.select("bucket", "element", "node", "comp", F.explode(kinds).alias("kind")).where("kind IS NOT NULL")
     new = ws.store(new.select(F.xxhash64("bucket", "element", "kind").alias("bucket"), "node", "comp"), "met")
     entries = ws.store(_mixed(new), "entries")
-    ws.drop(merged, outsides, rows, left, tested, held, new)
+    ws.drop(merged, outsides, rows, left, held, new, *([tested] if families else []))
     return entries, late
 
 
