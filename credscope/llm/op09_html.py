@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,6 +30,12 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)(?P<attr2>[^>]*+)(?:>|\Z)",
     re.S,
 )
+#: The same without quotes: an open quote would be looked for to the page's end at every tag.
+_LOOSE = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attr>[^>]*+)(?:>|\Z)",
+    re.S,
+)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "xmp", "noembed", "math"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -46,10 +53,12 @@ _ROLES = {"navigation", "banner", "complementary", "contentinfo", "search", "dia
 
 
 class Node:
-    __slots__ = ("tag", "up", "out", "link", "points", "chars", "linked", "inside", "soft", "plain", "articles", "stays")
+    __slots__ = ("tag", "up", "depth", "block", "out", "link", "points", "chars", "linked", "inside", "soft", "plain", "articles", "stays")
 
     def __init__(self, tag: str, up: Node | None, out: bool, soft: bool = False):
         self.tag, self.up, self.out = tag, up, out or (up is not None and up.out)
+        self.depth = 0 if up is None else up.depth + 1
+        self.block = up.block if tag in _INLINE else self  # the nearest node that isn't inline; the root isn't
         self.link = tag == "a" or (up is not None and up.link)
         self.inside = tag in ("article", "main") or (up is not None and up.inside)
         self.soft = self if soft else up.soft if up is not None else None  # the nearest node left out unless it is a wrapper
@@ -111,15 +120,20 @@ def _blocks(page: str) -> list[tuple[Node, str, int]]:
     top, blocks, parts, linked = root, [], [], 0
     soft, articles = [], []
     low = None
+    token, open_tags = _TOKEN, Counter()  # of the path from the root to ``top``
+
+    def leave(node: Node) -> None:
+        """``node``, around ``top``, becomes the top."""
+        nonlocal top
+        while top is not node:
+            open_tags[top.tag] -= 1
+            top = top.up
 
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text and not top.out:
-            node = top
-            while node.tag in _INLINE:
-                node = node.up
-            blocks.append((node, text, min(linked, len(text))))
+            blocks.append((top.block, text, min(linked, len(text))))
         parts.clear()
         linked = 0
 
@@ -127,7 +141,7 @@ def _blocks(page: str) -> list[tuple[Node, str, int]]:
     while at < len(page):
         cut = page.find("<", at)
         m = None
-        while cut >= 0 and (m := _TOKEN.match(page, cut)) is None:
+        while cut >= 0 and (m := token.match(page, cut)) is None:
             cut = page.find("<", cut + 1)
         end = len(page) if cut < 0 else cut
         if end > at and not top.out:
@@ -138,13 +152,14 @@ def _blocks(page: str) -> list[tuple[Node, str, int]]:
         if m is None:
             break
         at = m.end()
-        name = m["tag"] or m["tag2"]
+        loose = token is _TOKEN and m["tag2"]
+        name, attrs, closing = (m["tag2"], m["attr2"], bool(m["end2"])) if loose else (m["tag"], m["attr"], bool(m["end"]))
+        token = _LOOSE if loose else token
         if not name:
             if m[0].startswith("<![CDATA[") and not top.out:
                 parts.append(re.sub(r"\]\]>$", "", m[0][9:]))
             continue
-        tag, closing = name.lower(), bool(m["end"] or m["end2"])
-        attrs = (m["attr"] if m["tag"] else m["attr2"]) or ""
+        tag = name.lower()
         if tag in _RAW and not closing:
             if not attrs.endswith("/"):
                 low = page.lower() if low is None else low
@@ -158,30 +173,30 @@ def _blocks(page: str) -> list[tuple[Node, str, int]]:
                 flush()
             continue
         if closing:
-            node = top
-            while node is not root and node.tag != tag:
-                node = node.up
-            if node is root:
+            if not open_tags[tag]:
                 if tag == "p":
                     flush()
                 continue
+            node = top
+            while node.tag != tag:
+                node = node.up
             if tag not in _INLINE or node.up.soft is not top.soft:
                 flush()
-            top = node.up
+            leave(node.up)
             continue
         if tag not in _INLINE:
             flush()
             shut, scope = _CLOSES.get(tag, set()), _SCOPE.get(tag, set())
-            node, last = top, None
-            while node is not root and node.tag not in scope and (node.tag in shut or node.tag == "p" or node.tag in _INLINE or node.tag in _HEADING and tag in _HEADING):
-                if node.tag not in _INLINE:
-                    last = node
-                node = node.up
+            node, last = top.block, None
+            while node is not root and node.tag not in scope and (node.tag in shut or node.tag == "p" or node.tag in _HEADING and tag in _HEADING):
+                last = node
+                node = node.up.block
             if last is not None:
-                top = last.up
-            elif tag not in ("span",):
-                while top.tag == "a" and top.up is not None and tag in ("article", "main", "section", "body"):
-                    top = top.up
+                leave(last.up)
+            else:
+                while top.tag == "a" and tag in ("article", "main", "section", "body"):
+                    leave(top.up)
+        open_tags[tag] += 1
         top = Node(tag, top, *_left_out(tag, attrs, top))
         if not top.out:
             if top.soft is top:
@@ -193,26 +208,47 @@ def _blocks(page: str) -> list[tuple[Node, str, int]]:
     return [b for b in blocks if b[0].soft is None or b[0].soft.stays]
 
 
-def _around(node: Node) -> Iterator[Node]:
-    while node.up is not None:
-        node = node.up
-        yield node
+def _scored(blocks: list[tuple[Node, str, int]]) -> list[Node]:
+    """The nodes around blocks, with their points and characters, in the order
+    the blocks reach them.  Points go four levels up, characters to the root."""
+    seen, known = [], set()
+    for node, text, linked in blocks:
+        points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text))
+        holder = up = node if node.tag in ("", "html", "body", "div", "article", "main", "section", "td") else node.up
+        holder.chars += len(text)
+        holder.linked += linked
+        for part in (1, 2, 6, 9):
+            if up is not None:
+                up.points += points / part
+                up = up.up
+        up = holder
+        while up is not None and id(up) not in known:
+            known.add(id(up))
+            seen.append(up)
+            up = up.up
+    for n in sorted(seen, key=lambda n: -n.depth):
+        if n.up is not None:
+            n.up.chars += n.chars
+            n.up.linked += n.linked
+    return seen
+
+
+def _branch(node: Node, beside: Node, known: dict[int, Node | None]) -> Node | None:
+    """The node on the way from ``node`` to the root that is ``beside`` or has
+    the same parent; ``known`` keeps the answers, so that no way is gone twice."""
+    way, up = [], node
+    while up is not None and id(up) not in known and up.up is not beside.up:
+        way.append(up)
+        up = up.up
+    found = None if up is None else known.get(id(up), up)
+    known.update((id(n), found) for n in way)
+    return found
 
 
 def main_text(page: str) -> str:
     """Blocks of the article in page order, joined by line feeds."""
     blocks = _blocks(page)
-    seen: list[Node] = []
-    for node, text, linked in blocks:
-        points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text))
-        holder = node if node.tag in ("", "html", "body", "div", "article", "main", "section", "td") else node.up
-        chain = [holder, *_around(holder)]
-        for level, up in enumerate(chain):
-            if not up.points and not up.chars:
-                seen.append(up)
-            up.points += points / (1, 2, 6, 9)[min(level, 3)] if level < 4 else 0
-            up.chars += len(text)
-            up.linked += linked
+    seen = _scored(blocks)
     if not seen:
         return ""
 
@@ -222,17 +258,16 @@ def main_text(page: str) -> str:
     best = max(seen, key=value)
     while best.up is not None and not best.up.out and best.tag in ("ul", "ol", "dl", "table", "tbody", "tr", "blockquote", "p", "li", "dd"):
         best = best.up
-    for up in _around(best):  # an article around the best container holds it all
-        if up.tag in ("article", "main"):
-            best = up
-            break
+    up = best.up
+    while up is not None and up.tag not in ("article", "main"):  # an article around the best container holds it all
+        up = up.up
+    best = best if up is None else up
     enough = max(1.0, 0.2 * value(best))
-    out = []
+    out, known = [], {}
     for node, text, linked in blocks:
-        chain = [node, *_around(node)]
-        if best not in chain:
-            beside = next((n for n in chain if n.up is best.up and n.up is not None), None)
-            if beside is None or not (value_of(beside, value) >= enough or beside.tag in _HEADING or (beside.tag == "p" and linked < 0.25 * len(text) and len(text) > 80)):
+        branch = _branch(node, best, known)
+        if branch is not best:
+            if branch is None or not (value_of(branch, value) >= enough or branch.tag in _HEADING or (branch.tag == "p" and linked < 0.25 * len(text) and len(text) > 80)):
                 continue
         out.append(text)
     return "\n".join(out)
@@ -247,8 +282,9 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Null html is empty; a page without text gives an empty text.  Pages are
     independent, so repeated rows and null ids and urls stay as they are; pages
-    of any length are read whole, in time linear in their length at a given
-    depth of nesting.  Other columns are ignored; an empty table gives no rows.
+    of any length and depth are read whole, in linear time but for a sort of the
+    nodes by depth.  From a tag whose quote is never closed, a page is read as
+    if quotes meant nothing.  Other columns are ignored; an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

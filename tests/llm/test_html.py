@@ -1,3 +1,8 @@
+import random
+import time
+
+import pytest
+
 from credscope.llm import op09_html as op
 
 PAGE = """<!DOCTYPE html><html><head><title>T, t, t, t</title><style>p{}</style><script>var t="</p><p>no";</script></head>
@@ -44,6 +49,82 @@ def test_odd_pages():
     assert len(op.main_text("<article><p>" + "word, " * 200_000 + "</p></article>")) == 200_000 * 6 - 1
 
 
+N = 100_000
+
+
+@pytest.mark.parametrize("page", [
+    "<div>word, word " * N, "<div>" * N + "</p></span>" * N + "x", "<b>" * N + "<li>a, b" * N, "<div>a, " * N + "</div>b" * N,
+    "<b>" * N + "<p>x" * N, '<a ">"' * N + "'", "<a><section>" * N + "x",
+], ids=["open", "unmatched", "items in inline", "nested", "paragraphs in inline", "open quote", "links around"])
+def test_deep_pages_take_linear_time(page):
+    began = time.process_time()
+    assert op.main_text(page)
+    assert time.process_time() - began < 5 * 3  # about 2 s; slow machines are allowed for, quadratic time is not
+
+
+def _tree(rng, depth=0):
+    """(tag, children): blocks hold (text, whether linked) parts, containers hold nodes."""
+    if depth > 5 or rng.random() < 0.35:
+        parts = [(" ".join(rng.choice(["one,", "two", "three,", "four" * 9]) for _ in range(rng.randint(1, 25))), rng.random() < 0.2) for _ in range(rng.randint(1, 3))]
+        return rng.choice(["p", "li", "h2"]), parts
+    return rng.choice(["div", "section", "article", "blockquote", "div"]), [_tree(rng, depth + 1) for _ in range(rng.randint(1, 4))]
+
+
+def _written(node):
+    tag, inner = node
+    if tag in ("p", "li", "h2"):
+        return f"<{tag}>" + " ".join(f"<a href=x>{t}</a>" if link else t for t, link in inner) + f"</{tag}>"
+    return f"<{tag}>" + "".join(map(_written, inner)) + f"</{tag}>"
+
+
+def _by_definition(top):
+    """The article of a tree without boilerplate, every score by walks to the root."""
+    blocks, up, tags = [], {}, {}
+
+    def visit(node, path):
+        me = (*path, len(up))
+        up[me], tags[me] = path, node[0]
+        if node[0] in ("p", "li", "h2"):
+            blocks.append((me, " ".join(t for t, _ in node[1]), sum(len(t) for t, link in node[1] if link)))
+        else:
+            for child in node[1]:
+                visit(child, me)
+
+    tags[()] = ""
+    visit(top, ())
+    chain = lambda n: [n[:i] for i in range(len(n), -1, -1)]
+    points, chars, linked = {}, {}, {}
+    for me, text, of_links in blocks:
+        for level, n in enumerate(chain(me)[1:]):
+            points[n] = points.get(n, 0.0) + ((1 + text.count(",") + min(len(text) / 100, 3)) * (1 - of_links / len(text)) / (1, 2, 6, 9)[level] if level < 4 else 0)
+            chars[n], linked[n] = chars.get(n, 0) + len(text), linked.get(n, 0) + of_links
+    value = lambda n: points[n] * (1 - linked[n] / chars[n]) * (1.5 if tags[n] == "article" else 1) if n in chars else 0.0
+    best = max(points, key=value)  # the first that a block reaches, as dicts keep their order
+    while tags[best] == "blockquote":
+        best = best[:-1]
+    best = next((n for n in chain(best)[1:] if tags[n] == "article"), best)
+    out = []
+    for me, text, of_links in blocks:
+        beside = next((n for n in chain(me) if best and n and n[:-1] == best[:-1]), None)
+        kept = best in chain(me)
+        if not kept and beside is not None:
+            kept = value(beside) >= max(1.0, 0.2 * value(best)) or tags[beside] == "h2" or (tags[beside] == "p" and of_links < 0.25 * len(text) and len(text) > 80)
+        if kept:
+            out.append(text)
+    return "\n".join(out)
+
+
+def test_scores_by_definition():
+    rng = random.Random(9)
+    partly = 0
+    for _ in range(600):
+        top = ("body", [_tree(rng) for _ in range(rng.randint(1, 5))])
+        want = _by_definition(top)
+        assert op.main_text(_written(top)) == want
+        partly += 0 < want.count("\n") + 1 < _written(top).count("<p>") + _written(top).count("<li>") + _written(top).count("<h2>")
+    assert partly > 100
+
+
 def test_table(spark):
     schema = "page_id long, url string, html string, text string"
     rows = [(1, "u", PAGE % "<article><p>é \U0001f600</p></article>", "q"), (2, None, None, "q"), (None, "v", "", None), (3, "u", "<p>a</p>", ""), (3, "u", "<p>a</p>", "")]
