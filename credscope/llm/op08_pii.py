@@ -21,13 +21,16 @@ no value leaves its format:
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import table, text_of
 
 ROUNDS = 8
-KEY = "credscope"
+#: Session setting that holds the key of the query.
+KEY_SETTING = "spark.credscope.pii.key"
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9-])"
@@ -295,16 +298,17 @@ def _new(pieces: Column) -> Column:
     return F.array_join(F.transform(pieces, lambda p: p["new"]), "")
 
 
-def pseudonym(m: Column, key: str = KEY, back: bool = False) -> Column:
+def pseudonym(m: Column, key: str, back: bool = False) -> Column:
     """The pseudonym of a match of ``PATTERN``; an invalid value stays as it is."""
     return _new(_replaced(m, key, back))
 
 
-def pseudonymize(docs: DataFrame, key: str = KEY, back: bool = False) -> DataFrame:
+def pseudonymize(docs: DataFrame, key: str, back: bool = False) -> DataFrame:
     """doc_id, text (values replaced), n_replaced, found, pseudonyms: one row per row.
 
     ``found`` and ``pseudonyms`` list the replaced values and what stands for
-    them, in text order.  ``back=True`` with the same key restores the values
+    them, in text order.  ``key`` must be secret: whoever has it, or a plan or
+    an event log, which hold it as a literal, can turn the values back.  ``back=True`` with the same key restores the values
     (e-mail local parts in lower case).
 
     Null text counts as empty.  Rows are independent, so repeated rows, ties
@@ -327,5 +331,15 @@ def pseudonymize(docs: DataFrame, key: str = KEY, back: bool = False) -> DataFra
     )
 
 
+def session_key(spark) -> str:
+    """The key in ``KEY_SETTING``; unset, a random one for this session, whose
+    pseudonyms agree within the session and can't be turned back after it."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
+
+
 def query(spark, sf_dir):
-    return pseudonymize(table(spark, sf_dir, "documents"))
+    return pseudonymize(table(spark, sf_dir, "documents"), session_key(spark))
