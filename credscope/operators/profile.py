@@ -8,13 +8,16 @@ final merge, no data-sized shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.labels import outcome_flag
 from ..functions.numeric import ratio, round_exact
 from ..functions.values import MISSING_TOP
+from ..sources.files import FIELD_COUNT
 
 
 def status_distribution(loans: DataFrame, status: str = "loan_status") -> DataFrame:
@@ -31,11 +34,33 @@ def status_distribution(loans: DataFrame, status: str = "loan_status") -> DataFr
     )
 
 
-def _is_missing(df: DataFrame, name: str):
+def _is_missing(df: DataFrame, name: str, position: int) -> Column:
     c = F.col(f"`{name}`")
-    if isinstance(df.schema[name].dataType, StringType):
-        return c.isNull() | (c == F.lit(""))
-    return c.isNull()
+    missing = c.isNull() | (c == F.lit("")) if isinstance(df.schema[name].dataType, StringType) else c.isNull()
+    if FIELD_COUNT not in df.columns:
+        return missing
+    return missing & (F.col(FIELD_COUNT).isNull() | (F.col(FIELD_COUNT) > position))
+
+
+def profiled_columns(raw: DataFrame) -> list[str]:
+    return [c for c in raw.columns if c != FIELD_COUNT]
+
+
+def missing_metrics(raw: DataFrame) -> list[Column]:
+    """Aggregates: ``all_rows``, and ``m<i>`` missing values of column i."""
+    sums = [
+        F.sum(F.when(_is_missing(raw, c, i), 1).otherwise(0)).cast("bigint").alias(f"m{i}")
+        for i, c in enumerate(profiled_columns(raw))
+    ]
+    return [F.count(F.lit(1)).alias("all_rows"), *sums]
+
+
+def observed_missing(spark: SparkSession, cols: Sequence[str], seen: Mapping[str, int | None], top: int | None = MISSING_TOP) -> DataFrame:
+    """:func:`missing_profile` from ``missing_metrics`` that were observed while
+    the rows were landed: one number a column, no scan."""
+    names = ["all_rows", *[f"m{i}" for i in range(len(cols))]]
+    wide = spark.range(1).select(*[F.lit(seen[n] or 0).cast("bigint").alias(n) for n in names])
+    return _ranked(wide, cols, top).drop("rank")
 
 
 def missing_ranked(raw: DataFrame, top: int | None = MISSING_TOP) -> DataFrame:
@@ -45,14 +70,13 @@ def missing_ranked(raw: DataFrame, top: int | None = MISSING_TOP) -> DataFrame:
     One wide aggregate computes every column's count in a single pass; the
     1-row result is sorted as an array and turned into rows, so nothing is
     ranked by a window.  Never-missing columns are absent; ``top`` keeps the
-    first rows (the published table keeps 40).
+    first rows (the published table keeps 40).  Where ``FIELD_COUNT`` is a
+    column of ``raw``, the fields that a short row lacks aren't counted.
     """
-    cols = raw.columns
-    sums = [
-        F.sum(F.when(_is_missing(raw, c), 1).otherwise(0)).cast("bigint").alias(f"m{i}")
-        for i, c in enumerate(cols)
-    ]
-    wide = raw.agg(F.count(F.lit(1)).alias("all_rows"), *sums)
+    return _ranked(raw.agg(*missing_metrics(raw)), profiled_columns(raw), top)
+
+
+def _ranked(wide: DataFrame, cols: Sequence[str], top: int | None) -> DataFrame:
     entries = F.array(*[
         F.struct((-F.col(f"m{i}")).alias("least"), F.lit(i).alias("ordinal"), F.lit(c).alias("column"))
         for i, c in enumerate(cols)

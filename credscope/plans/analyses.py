@@ -54,13 +54,13 @@ SEGMENT_BARS = ("grade_term", "grade_purpose", "interest_fico", "state_grade")
 Keep = Callable[[DataFrame, str], DataFrame]
 
 
-def loan_profile(loans: DataFrame, published: DataFrame, source_name: str, keep: Keep) -> dict[str, DataFrame]:
+def loan_profile(loans: DataFrame, published: DataFrame, source_name: str, keep: Keep, missing: DataFrame | None = None) -> dict[str, DataFrame]:
     """Overview, status distribution, missing profile and the 14 rate tables."""
     statuses = keep(profile.status_distribution(loans), "statuses")
     out = {
         "lc_overview": profile.overview(loans, source_name, statuses=statuses),
         "lc_status_distribution": statuses.orderBy(F.desc("count"), "loan_status"),
-        "lc_missing_top40": profile.missing_profile(loans, V.MISSING_TOP),
+        "lc_missing_top40": profile.missing_profile(loans, V.MISSING_TOP) if missing is None else missing,
     }
     for dim, table in RATE_TABLES.items():
         out[table] = rates.published_slice(published, dim)
@@ -164,13 +164,14 @@ def control_analysis(loans: DataFrame, economics: DataFrame, t: Thresholds, keep
 
 
 def all_tables(loans: DataFrame, monthly: DataFrame, unemployment: DataFrame, poverty: DataFrame,
-               source_name: str, t: Thresholds = Thresholds(), keep: Keep = lambda df, name: df) -> dict[str, DataFrame]:
+               source_name: str, t: Thresholds = Thresholds(), keep: Keep = lambda df, name: df, missing: DataFrame | None = None) -> dict[str, DataFrame]:
     """Every published table, chart dataset and the findings as one lazy DAG.
 
-    ``keep`` stores what several tables read; with it the loans are read four
-    times: rate tables, statuses, missing values, state features."""
+    ``keep`` stores what several tables read; with it the loans are read three
+    times: rate tables, statuses, state features.  A fourth reading counts
+    missing values unless ``missing`` gives their profile."""
     published = keep(rates.published_rates(loans, {"state": t.state, "purpose": t.purpose}, t.segments), "rates")
-    out = loan_profile(loans, published, source_name, keep)
+    out = loan_profile(loans, published, source_name, keep, missing)
     out.update(risk_segments(published))
     out.update(loan_charts(published, keep))
     out.update(macro_fusion(out["lc_default_by_year"], rates.published_slice(published, "issue_quarter"), monthly, keep))
@@ -199,12 +200,16 @@ def run_all(spark: SparkSession, loans_csv: str, macro_csv: str, unemployment_cs
             poverty_csv: str, out_dir: str, t: Thresholds = Thresholds(), multiline: bool = True) -> dict[str, bool]:
     """Land the raw CSVs once (Parquet in a fresh folder of the shared
     checkpoint folder), run every analysis, write each result table as one CSV.
-    Returns which tables have rows."""
+    Missing values are counted by the tasks that land the loans.  Returns which
+    tables have rows."""
     base = os.path.join(ensure_checkpoint_dir(spark), f"run-{uuid.uuid4().hex}")
-    loans = files.land_parquet(files.read_loans_csv(spark, loans_csv, multiline), f"{base}/loans")
+    raw = files.read_loans_csv(spark, loans_csv, multiline, field_count=True)
+    landed, seen = files.land_observed(raw, f"{base}/loans", profile.missing_metrics(raw))
+    loans = landed.drop(files.FIELD_COUNT)
+    missing = profile.observed_missing(spark, loans.columns, seen, V.MISSING_TOP)
     monthly = files.land_parquet(files.read_macro_csv(spark, macro_csv), f"{base}/macro_monthly")
     unemployment = files.land_parquet(files.read_state_long(spark, unemployment_csv, "State"), f"{base}/unemployment")
     poverty = files.land_parquet(files.read_state_long(spark, poverty_csv, "Stabr"), f"{base}/poverty")
     tables = all_tables(loans, monthly, unemployment, poverty, os.path.basename(loans_csv), t,
-                        lambda df, name: files.land_parquet(df, f"{base}/{name}"))
+                        lambda df, name: files.land_parquet(df, f"{base}/{name}"), missing)
     return {name: files.write_table(df, f"{out_dir}/{name}", single_file=True) for name, df in tables.items()}

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -52,24 +52,47 @@ def read_csv_strings(spark: SparkSession, path: str, columns: Sequence[str] | No
     return reader.csv(path)
 
 
-def read_loans_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+#: Fields that a record has, where that differs from the header; else null.
+FIELD_COUNT = "__field_count"
+
+
+def read_loans_csv(spark: SparkSession, path: str, multiline: bool = True, field_count: bool = False) -> DataFrame:
     """Raw loan file, header-defined columns, all strings.
 
     ``multiline=False`` is for files without line breaks inside quotes: Spark
-    then splits one file over many tasks; otherwise a file is one task."""
-    return read_csv_strings(spark, path, multiline=multiline)
+    then splits one file over many tasks; otherwise a file is one task.
+    ``field_count`` adds ``FIELD_COUNT``, which tells the fields that a short
+    row lacks from empty ones."""
+    if not field_count:
+        return read_csv_strings(spark, path, multiline=multiline)
+    df = _with_record(spark, path, multiline)
+    return df.withColumn(FIELD_COUNT, fields_in(F.col(_RECORD))).drop(_RECORD)
+
+
+_RECORD = "_corrupt_record"
+
+
+def _with_record(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
+    """The parsed columns, and the raw record where its field count isn't the header's."""
+    header = read_csv_strings(spark, path, multiline=multiline).columns
+    schema = string_schema(header).add(_RECORD, StringType(), True)
+    return csv_reader(spark, multiline).schema(schema).option("columnNameOfCorruptRecord", _RECORD).csv(path)
+
+
+def fields_in(record: Column) -> Column:
+    """Number of fields of a raw CSV record: one more than the commas outside
+    quoted fields (a quote inside an unquoted field is text)."""
+    plain = F.regexp_replace(record, r'(^|,)"(?:[^"]|"")*+"?', "$1")
+    return (F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit(""))) + 1).cast("int")
 
 
 def ragged_rows(spark: SparkSession, path: str) -> DataFrame:
     """Audit of rows whose field count differs from the header (too short or
     too long): the parsed columns plus the raw line as ``record``.  Spark
-    fills a short row with NULLs (counted as missing by the profile) and
-    drops extra fields.  (Spark refuses scans that read only the corrupt-record
-    column, hence the parsed columns are returned too.)"""
-    header = read_csv_strings(spark, path).columns
-    schema = string_schema(header).add("_corrupt_record", StringType(), True)
-    df = csv_reader(spark).schema(schema).option("columnNameOfCorruptRecord", "_corrupt_record").csv(path)
-    return df.filter(F.col("_corrupt_record").isNotNull()).withColumnRenamed("_corrupt_record", "record")
+    fills a short row with NULLs and drops extra fields.  (Spark refuses scans
+    that read only the corrupt-record column, hence the parsed columns are
+    returned too.)"""
+    return _with_record(spark, path, True).filter(F.col(_RECORD).isNotNull()).withColumnRenamed(_RECORD, "record")
 
 
 def find_source(spark: SparkSession, root: str, exact_name: str, contains: str | None = None) -> str:
@@ -146,6 +169,14 @@ def land_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     return df.sparkSession.read.parquet(path)
 
 
+def land_observed(df: DataFrame, path: str, metrics: Sequence[Column]) -> tuple[DataFrame, dict]:
+    """:func:`land_parquet`, and aggregates of the rows by name, gathered by
+    the tasks that write them, so that no scan of their own is needed.  A task
+    that runs again counts once, as only the result of a partition is taken."""
+    seen = Observation()
+    return land_parquet(df.observe(seen, *metrics), path), seen.get
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "csv", single_file: bool = False) -> bool:
     """Write a result table; returns False if it turned out to be empty.
 

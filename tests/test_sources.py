@@ -1,11 +1,14 @@
 """CSV dialect, discovery, sink, and the end-to-end runner on CSV inputs."""
 
+import csv
 import os
+import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
-from credscope.operators import rates, states
+from credscope.operators import profile, rates, states
 from credscope.plans import analyses
 from credscope.sources import files, fixtures
 
@@ -91,6 +94,70 @@ def test_ragged_rows(spark, tmp_path):
     assert sorted(r["record"] for r in files.ragged_rows(spark, str(p)).collect()) == ["4,5", "6,7,8,9"]
 
 
+def _missing_by_reader(path, top=40):
+    """Missing counts as Python's csv reader sees them: a field that a row lacks isn't an empty one."""
+    counts, n = Counter(), 0
+    with open(path, newline="", encoding="utf-8", errors="replace") as f:
+        reader = csv.DictReader(f)
+        for row in reader:
+            n += 1
+            counts.update(c for c in reader.fieldnames if row.get(c, "") == "")
+    return [(c, round(k / n, 4), k) for c, k in sorted(counts.items(), key=lambda x: (-x[1], reader.fieldnames.index(x[0])))][:top]
+
+
+RAGGED = (
+    'a,b,c,d\n1,2,3,4\n4,5\n6,7,8,9,10\n\n,,\n"x, y",\n"say ""a,b""",1,"",\nab"c,d"e\n"two\nlines, here",,\n,,,\n,,,,\n"open, quote"\n"",1\n'
+)
+
+
+def test_missing_counts_of_ragged_rows(spark, tmp_path):
+    p = tmp_path / "ragged.csv"
+    p.write_text(RAGGED)
+    raw = files.read_loans_csv(spark, str(p), field_count=True)
+    want = _missing_by_reader(p)
+    assert want and rows(profile.missing_profile(raw)) == want
+    landed, seen = files.land_observed(raw, str(tmp_path / "landed"), profile.missing_metrics(raw))
+    assert rows(profile.observed_missing(spark, profile.profiled_columns(raw), seen)) == want
+    assert rows(profile.missing_profile(landed)) == want and profile.profiled_columns(landed) == ["a", "b", "c", "d"]
+    assert rows(profile.observed_missing(spark, ["a", "b", "c", "d"], seen, 2)) == want[:2]
+    one_line = tmp_path / "lines.csv"
+    one_line.write_text(RAGGED.replace('"two\nlines, here"', "two lines"))
+    assert rows(profile.missing_profile(files.read_loans_csv(spark, str(one_line), False, True))) == _missing_by_reader(one_line)
+    p.write_text("a,b\n")
+    none = files.read_loans_csv(spark, str(p), field_count=True)
+    _, seen = files.land_observed(none, str(tmp_path / "none"), profile.missing_metrics(none))
+    assert rows(profile.observed_missing(spark, ["a", "b"], seen)) == []
+
+
+def test_random_ragged_rows(spark, tmp_path):
+    rng = random.Random(4)
+    fields = ["", "x", '"p, q"', '""', '"a ""b"", c"', 'u"v', "7"]
+    lines = [",".join(rng.choice(fields) for _ in range(rng.randint(1, 6))) for _ in range(400)]
+    p = tmp_path / "random.csv"
+    p.write_text("\n".join(["c1,c2,c3,c4", *lines]) + "\n")
+    assert rows(profile.missing_profile(files.read_loans_csv(spark, str(p), field_count=True))) == _missing_by_reader(p)
+
+
+def test_loans_are_read_three_times_once_landed(spark, tmp_path):
+    """Only three stored results, and no table, read the landed loans."""
+    loans = files.land_parquet(fixtures.loans(spark, SF_SMALL), str(tmp_path / "loans"))
+    _, seen = files.land_observed(loans, str(tmp_path / "again"), profile.missing_metrics(loans))
+    reads = {}
+
+    def keep(df, name):
+        reads[name] = str(tmp_path / "loans") in "".join(df.inputFiles())
+        return files.land_parquet(df, str(tmp_path / "kept" / name))
+
+    monthly = files.land_parquet(fixtures.macro_monthly(spark, SF_SMALL), str(tmp_path / "monthly"))
+    unemp = files.land_parquet(fixtures.state_unemployment(spark, SF_SMALL), str(tmp_path / "unemp"))
+    pov = files.land_parquet(fixtures.state_poverty(spark, SF_SMALL), str(tmp_path / "pov"))
+    missing = profile.observed_missing(spark, loans.columns, seen)
+    out = analyses.all_tables(loans, monthly, unemp, pov, "x", analyses.Thresholds(1, 1, {s: 1 for s in rates.SEGMENTS}, 1), keep, missing)
+    assert {n for n, does in reads.items() if does} == {"rates", "statuses", "state_features"}
+    assert not [n for n, df in out.items() if str(tmp_path / "loans") in "".join(df.inputFiles())]
+    assert rows(out["lc_missing_top40"]) == rows(profile.missing_profile(loans))
+
+
 def test_command_line(spark, tmp_path):
     from credscope.__main__ import main
     loans = fixtures.loans(spark, SF_SMALL)
