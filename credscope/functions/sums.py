@@ -73,8 +73,8 @@ def gathered(name: str, where: Column | None = None) -> list[Column]:
     return [F.collect_list(F.when(here, parts)).alias(f"{name}_parts"), F.sum(special).alias(f"{name}_special")]
 
 
-def total(name: str) -> Column:
-    """The sum of a gathered group as a double; 0 without values."""
+def gathered_pieces(parts: Column) -> Column:
+    """Gathered slices as an array of doubles whose exact sum is theirs."""
     def pieces(s: Column) -> Column:
         out = []
         for limb, bits in LIMBS:
@@ -82,7 +82,12 @@ def total(name: str) -> Column:
             out += [_scaled((s[limb] - low).cast("double"), s["slice"], -bits), _scaled(low.cast("double"), s["slice"], -bits)]
         return F.array(*out)
 
-    return F.coalesce(F.col(f"{name}_special"), rounded_sum(F.flatten(F.transform(f"{name}_parts", pieces))))
+    return F.flatten(F.transform(parts, pieces))
+
+
+def total(name: str) -> Column:
+    """The sum of a gathered group as a double; 0 without values."""
+    return F.coalesce(F.col(f"{name}_special"), rounded_sum(gathered_pieces(F.col(f"{name}_parts"))))
 
 
 def rounded_sum(numbers: Column) -> Column:

@@ -15,7 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import pearson, round_exact
+from ..functions.moments import associations
+from ..functions.numeric import round_exact
 from ..functions.values import UNKNOWN
 from . import rates
 
@@ -49,27 +50,19 @@ def correlation_table(
 ) -> DataFrame:
     """One row per feature: Pearson r of feature vs target, 4 dp.
 
-    All correlations come from one aggregate pass over ``df``.
+    All correlations come from one pass over ``df``, with exact sums.
     """
-    stats = df.agg(*[pearson(f, target).alias(f"r{i}") for i, f in enumerate(features)])
-    rows = F.array(*[
-        F.struct(F.lit(i).alias("ord"), F.lit(f).alias(label_col), F.col(f"r{i}").alias(value_col))
-        for i, f in enumerate(features)
-    ])
-    return stats.select(F.inline(rows)).select(
-        label_col, round_exact(value_col, 4).alias(value_col), "ord"
-    ).orderBy("ord").drop("ord")
+    stats = associations(df, [(f, target) for f in features])
+    return stats.orderBy("ord").select(_nth(features).alias(label_col), round_exact("r", 4).alias(value_col))
+
+
+def _nth(names: Sequence[str]):
+    return F.get(F.array(*map(F.lit, names)), F.col("ord"))
 
 
 def correlation_matrix(df: DataFrame, targets: Sequence[str], features: Sequence[str]) -> DataFrame:
     """Long ``target, feature, correlation`` table, target-major."""
     pairs = [(t, f) for t in targets for f in features]
-    stats = df.agg(*[pearson(f, t).alias(f"r{i}") for i, (t, f) in enumerate(pairs)])
-    rows = F.array(*[
-        F.struct(F.lit(i).alias("ord"), F.lit(t).alias("target"), F.lit(f).alias("feature"),
-                 F.col(f"r{i}").alias("correlation"))
-        for i, (t, f) in enumerate(pairs)
-    ])
-    return stats.select(F.inline(rows)).select(
-        "target", "feature", round_exact("correlation", 4).alias("correlation"), "ord"
-    ).orderBy("ord").drop("ord")
+    stats = associations(df, [(f, t) for t, f in pairs])
+    return stats.orderBy("ord").select(_nth([t for t, _ in pairs]).alias("target"), _nth([f for _, f in pairs]).alias("feature"),
+                                       round_exact("r", 4).alias("correlation"))
