@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from .common import Workspace, table
 
 SAMPLE = 50_000
+#: Bytes of doubles at most that the sample may hold on the driver.
+SAMPLE_BYTES = 256 << 20
 TREES = 10
 LEAF = 256
 LEAVES = 240
@@ -105,13 +107,17 @@ def grow(sample: np.ndarray, trees: int = TREES, leaf: int = LEAF, seed: int = 0
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), dtype=float) if len(column) else np.zeros((0, 1))
+    """Vectors of one dimension without nulls, as doubles."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """vec_id, v (doubles): rows with an id and a finite vector that isn't zero.
+    """vec_id, v: rows with an id and a finite vector that isn't zero.  Floats
+    stay floats, half the bytes to shuffle; all else is cast to doubles.
     Of several dimensions the most frequent one counts (ties: the larger)."""
-    v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
+    v = F.col(vector_col)
+    if vectors.select(v).schema[0].dataType.simpleString() != "array<float>":
+        v = F.transform(v, lambda x: x.cast("double"))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).where("vec_id IS NOT NULL AND v IS NOT NULL")
     ok = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.where(F.coalesce(ok, F.lit(False)))
@@ -168,17 +174,20 @@ def search(vectors: DataFrame, every: int = 100, k: int = NEAREST, id_col: str =
     distance of the nearest copies.  Other columns are ignored; an empty table
     gives no rows.
 
-    The forest is grown on the ``sample`` rows with the smallest hashes of id
-    (bounded, and so is the broadcast forest).  A leaf's members are dealt into
+    The forest is grown on the ``sample`` rows with the smallest hashes of id,
+    fewer where these would hold more than ``SAMPLE_BYTES`` (bounded, and so is
+    the broadcast forest).  A leaf's members are dealt into
     blocks of about ``block`` rows, so a leaf of very many equal vectors is
     spread over tasks.
     """
     ws = Workspace(vectors.sparkSession, "ann")
     rows = ws.store(usable(vectors, id_col, vector_col), "vectors")
+    size = rows.select(F.size("v").alias("n")).first()
+    sample = min(sample, max(2, SAMPLE_BYTES // (8 * size["n"]))) if size else sample
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(sample).select("v").toArrow()
     if not picked.num_rows:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    forest = vectors.sparkSession.sparkContext.broadcast(grow(_matrix(picked.column("v")), trees))
+    forest = vectors.sparkSession.sparkContext.broadcast(grow(_matrix(picked.column("v").combine_chunks()), trees))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,7 +201,7 @@ def search(vectors: DataFrame, every: int = 100, k: int = NEAREST, id_col: str =
             at = np.repeat(np.arange(len(batch)), [len(f) for f in found]) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array([c for f in found for c in f], pa.int64()), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at))], names=["cell", "vec_id", "v"])
 
-    shape = "cell long, vec_id long, v array<double>"
+    shape = f"cell long, vec_id long, v {rows.schema['v'].dataType.simpleString()}"
     members, visits = rows.mapInArrow(index, shape), rows.where(F.pmod("vec_id", F.lit(every)) == 0).mapInArrow(visit, shape)
     sizes = ws.store(members.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias("salts")), "sizes")
     dealt = members.join(sizes, "cell").select("cell", F.pmod(F.xxhash64("vec_id"), F.col("salts")).alias("salt"), F.lit(0).alias("kind"), "vec_id", "v")
