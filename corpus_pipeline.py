@@ -15,28 +15,44 @@ from credscope.llm.common import Workspace, table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores under its cut go.  It is trained
-    on labelled rows of ``documents`` as given, whatever ``docs`` holds."""
+    on labelled rows of ``documents`` as given, whatever ``docs`` holds.
+
+    Every row is judged by its own text, null as empty, so repeated rows go or
+    stay together; an empty ``docs`` gives no rows."""
     trees = op10_quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return op10_quality.keep_good(docs, trees)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id stays."""
+    """Of equal texts the row with the largest doc_id stays.
+
+    Null counts as empty, and all empty texts are one group; a null doc_id is
+    smaller than any; of rows equal in doc_id and text one stays."""
     return op07_exact_dedup.keep_one(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by similarity the one with the smallest doc_id stays."""
+    """Of documents linked by similarity the one with the smallest doc_id stays.
+
+    Texts without words (null, empty, white) are linked with nothing and stay;
+    a null doc_id is larger than any; rows that repeat the doc_id and text of
+    one that stays do too."""
     return op02_minhash.keep_one(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each source by its target: documents are left out or repeated."""
+    """Each source by its target: documents are left out or repeated.
+
+    Rows without source are a source of their own; texts without words weigh
+    nothing; rows equal in doc_id and text are taken together."""
     return op01_mixing.take(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences; a repeated document gives its pieces again."""
+    """Pieces of training sequences; a repeated document gives its pieces again.
+
+    Null or empty text is the end id alone; very long texts are cut over as
+    many sequences as they need."""
     return op04_packing.pack(docs, op04_packing.default_ranks())
 
 
