@@ -22,8 +22,12 @@ copies, is settled without all its pairs, and without losing one of its links:
   D(y) share a certain number of elements, which follows from the sizes.  It is
   at least one where x isn't linked to the pivot.
 * Sets that share so many elements share one among the rarest of each (the
-  prefix principle).  Nodes whose rarest differences meet make new buckets, one
-  for an element, and are settled likewise.
+  prefix principle).  Of the two the one that has to share less leads: the other
+  needs as much, so few of its differences have to be looked up, most of them
+  its own.  Nodes whose rarest differences meet make new buckets, one for an
+  element and a range of what the following node has to share.  Where few nodes
+  lead or few follow, the pairs that come early enough in both orders are
+  compared; other buckets are settled likewise.
 
 What near copies have in common, with the pivot or with each other, doesn't
 bring them together: edits of their own are rare differences.
@@ -51,11 +55,14 @@ BINS = 96
 #: with a probability of 1.3e-5 at a similarity of 0.85 and 4e-4 at 0.8
 #: (4 million simulated pairs).  Nothing else is lost.
 BANDS, ROWS = 40, 6
-#: Buckets up to this size are compared pair by pair.
-SMALL = 8
+#: Buckets up to this size are compared pair by pair; those of an element and a
+#: range, where nearly all pairs come early enough in both orders, up to ``FEW``.
+SMALL, FEW = 8, 64
 #: Nodes of a larger bucket among which its pivot is found, and the parts into
 #: which its rows are dealt.
 SAMPLE, SALTS = 16, 16
+#: Ranges of what a node needs, for nodes of a bucket that share an element.
+LEVELS = 16
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOW = np.uint64((1 << 48) - 1)
@@ -230,43 +237,67 @@ def _salted(info: DataFrame) -> DataFrame:
 
 
 def _mixed(entries: DataFrame) -> DataFrame:
-    """The buckets that hold nodes of two components."""
-    mixed = entries.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("bucket")
+    """The buckets that hold nodes of two components, leading and following ones."""
+    mixed = entries.groupBy("bucket").agg((F.min("comp") != F.max("comp")).alias("x"), F.max("leads").alias("y"), F.max("follows").alias("z"))
+    mixed = mixed.where("x AND y AND z").select("bucket")
     return entries.join(mixed, "bucket", "left_semi")
 
 
+def _unit(threshold: int) -> int:
+    """A link of x and y takes at least (need(x) + need(y)) / unit common differences from a pivot."""
+    return 2 * (100 + threshold)
+
+
+def _pairs(few: DataFrame, threshold: int) -> DataFrame:
+    """a, b: of each bucket the pairs of a leading and a following node of two
+    components, the leading one of less need, whose common element comes early
+    enough in both orders: what comes after it can hold what a link takes."""
+    other = few.where("follows").select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("node", "comp", "need", "gap", "place")])
+    need = F.col("need") + F.col("need_b")
+    early = ((F.col("gap") + 1 - F.col("place")) * _unit(threshold) >= need) & ((F.col("gap_b") + 1 - F.col("place_b")) * _unit(threshold) >= need)
+    before = (F.col("need") < F.col("need_b")) | ((F.col("need") == F.col("need_b")) & (F.col("node") < F.col("node_b")))
+    met = few.where("leads").join(other, "bucket").where(before & early & (F.col("comp") != F.col("comp_b")))
+    return met.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
+
+
 def _settle(ws: Workspace, entries: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: int) -> DataFrame | None:
     """u, v: links' components (see ``components``) of the nodes in the buckets
-    of ``entries`` (bucket, node, comp).  ``nodes``: node, sig.  ``sets``: node,
-    elements."""
+    of ``entries`` (bucket, node, comp, and as in ``_rest`` need, gap, place,
+    leads, follows).  ``nodes``: node, sig.  ``sets``: node, elements."""
     labels = late = None
     families = True  # of band buckets; later ones are apart by their common elements
     agreeing = _agreeing(least_agreement(threshold / 100))
     while not entries.isEmpty():
-        large = entries.groupBy("bucket").count().where(F.col("count") > SMALL).select("bucket")
+        size = F.least(F.count_if("leads"), F.count_if("follows"))
+        large = ws.store(entries.groupBy("bucket").agg(size.alias("size")).where(F.col("size") > (SMALL if families else FEW)).select("bucket"), "large")
+        settled = large.isEmpty()
         entries = entries.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
-        flagged = ws.store(entries.join(_salted(large).withColumn("large", F.lit(True)), ["bucket", "salt"], "left"), "flagged")
-        few, many = flagged.where("large IS NULL"), flagged.where("large")
+        flagged = entries if settled else ws.store(entries.join(_salted(large).withColumn("large", F.lit(True)), ["bucket", "salt"], "left"), "flagged")
 
-        # small buckets: pairs whose sketches leave a link any chance
-        other = few.select("bucket", F.col("node").alias("b"), F.col("comp").alias("comp_b"))
-        pairs = few.join(other, "bucket").where("node < b AND comp != comp_b").select(F.col("node").alias("a"), "b").distinct()
+        # buckets with few leading or few following nodes: pairs whose sketches leave a link any chance
+        pairs = _pairs(flagged if settled else flagged.where("large IS NULL"), threshold)
         pairs = pairs.join(_side(nodes, "a", "sig"), "a").join(_side(nodes, "b", "sig"), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(agreeing, "a long, b long")
 
         # large buckets: every node with the bucket's pivot
-        sample = many.groupBy("bucket", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(SAMPLE)).alias("part")).agg(F.min_by("node", F.xxhash64("node", F.lit(2))).alias("node"))
-        sample = sample.join(nodes, "node").groupBy("bucket").agg(F.collect_list(F.struct("node", "sig")).alias("sample"))
-        pivots = ws.store(sample.mapInArrow(_medoids, "bucket long, pivot long"), "pivots")
-        star = many.join(_salted(pivots), ["bucket", "salt"]).select("bucket", "salt", "node", "pivot", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-        star = ws.store(star, "stars")
-
-        tested = _tested(ws, pairs.union(star.where("a != b").select("a", "b")), sets)
+        if not settled:
+            many = flagged.where("large")
+            sample = many.groupBy("bucket", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(SAMPLE)).alias("part")).agg(F.min_by("node", F.xxhash64("node", F.lit(2))).alias("node"))
+            sample = sample.join(nodes, "node").groupBy("bucket").agg(F.collect_list(F.struct("node", "sig")).alias("sample"))
+            pivots = ws.store(sample.mapInArrow(_medoids, "bucket long, pivot long"), "pivots")
+            star = many.join(_salted(pivots), ["bucket", "salt"]).select("bucket", "salt", "node", "pivot", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+            star = ws.store(star, "stars")
+            pairs = pairs.union(star.where("a != b").select("a", "b"))
+
+        tested = _tested(ws, pairs, sets)
         fresh = tested.where(_linked(threshold)).select(F.col("b").alias("u"), F.col("a").alias("v"))
         known = [e for e in (labels, late) if e is not None]
         labels = components(ws, reduce(DataFrame.union, [fresh, *known]))
+        if settled:
+            ws.drop(large, tested, *known)
+            return labels
         entries, late = _rest(ws, star, tested, labels, sets, threshold, families)
         families = False
-        ws.drop(flagged, pivots, star, tested, *known)
+        ws.drop(large, flagged, pivots, star, tested, *known)
     return labels if late is None or late.isEmpty() else components(ws, labels.union(late))
 
 
@@ -284,13 +315,19 @@ def _linked(threshold: int) -> Column:
 
 
 def _rest(ws: Workspace, star: DataFrame, tested: DataFrame, labels: DataFrame, sets: DataFrame, threshold: int, families: bool) -> tuple[DataFrame, DataFrame]:
-    """bucket, node, comp: the buckets still to be settled after the stars
-    (with ``families``, buckets with pivots of one component as one); and links
-    (u, v) found on the way.
-
-    In the sums below, a link of x and y takes at least (need(x) + need(y)) /
-    unit common differences from the pivot."""
-    unit = 2 * (100 + threshold)
+    """The buckets still to be settled after the stars (with ``families``,
+    buckets with pivots of one component as one); and links (u, v) found on the
+    way.
+
+    Of the buckets: bucket, node, comp, need, gap (number of differences from
+    the pivot), place of the bucket's element among these in the order of
+    rarity, leads, follows.  A link of x and y takes at least (need(x) +
+    need(y)) / unit common differences from the pivot.  The one of less need
+    leads: it can only be linked where the first common element comes early,
+    for it needs as much of the other.  The place also bounds the other's need,
+    so an element has a bucket for each of at most ``LEVELS`` + 2 ranges of
+    need, and leading nodes are in those that their partners can be in."""
+    unit = _unit(threshold)
     comp = lambda df, name, out: df.join(labels.select(F.col("u").alias(name), F.col("v").alias(out)), name, "left").withColumn(out, F.coalesce(out, name))
     home = ws.store(comp(star.select("bucket", "pivot").distinct(), "pivot", "home"), "homes")
     if families:
@@ -298,7 +335,7 @@ def _rest(ws: Workspace, star: DataFrame, tested: DataFrame, labels: DataFrame,
         size = star.groupBy("bucket").count().join(home, "bucket").groupBy("home", "pivot").agg(F.sum("count").alias("n"))
         home = size.groupBy(F.col("home").alias("bucket")).agg(F.max_by("pivot", F.struct("n", "pivot")).alias("pivot")).withColumn("home", F.col("bucket"))
     else:
-        rows = star.select("bucket", "salt", "node")
+        rows = star.select("bucket", "salt", "node").distinct()
     rows = comp(rows, "node", "comp").join(_salted(home), ["bucket", "salt"])
     merged = ws.store(rows.where("node != pivot").withColumn("a", F.least("node", "pivot")).withColumn("b", F.greatest("node", "pivot")), "merged")
     outsides = merged.join(_salted(merged.where("comp != home").select("bucket").distinct()), ["bucket", "salt"], "left_semi")
@@ -312,30 +349,36 @@ def _rest(ws: Workspace, star: DataFrame, tested: DataFrame, labels: DataFrame,
     rows = ws.store(rows.select("bucket", "salt", "node", "pivot", "home", F.when(F.col("now"), F.col("home")).otherwise(F.col("comp")).alias("comp"), "now", size.alias("size"), gap.alias("gap"), ((100 + threshold) * gap - (100 - threshold) * size).alias("need")), "rows")
     late = ws.store(rows.where("now").select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")), "late")
     inside = F.col("comp") == F.col("home")
-    # buckets with nodes outside the pivot's component, the least need of these, and whether they are of several components
-    outer = rows.where(~inside).groupBy("bucket").agg(F.min("need").alias("outer"), (F.min("comp") != F.max("comp")).alias("several"))
+    # buckets with nodes outside the pivot's component, the least need of these, whether they are of several components, and the ranges' width
+    outside = [F.when(~inside, F.col(c)) for c in ("need", "comp")]
+    width = F.greatest(F.lit(unit), F.ceil(F.max("size") * 2 * (100 - threshold) / LEVELS)).alias("width")
+    outer = rows.groupBy("bucket").agg(F.min(outside[0]).alias("outer"), (F.min(outside[1]) != F.max(outside[1])).alias("several"), width).where("outer IS NOT NULL")
     # elements of the sorted differences among which a common one lies, if there is a link
     most = F.floor((100 - threshold) * F.col("size") / threshold) + 1  # linked sets differ by fewer than this
-    prefix = lambda other: F.least(most, F.col("gap") - F.ceil((F.col("need") + other) / unit) + 1)
+    prefix = lambda other: F.least(most, F.col("gap") - F.ceil((F.col("need") + other) / unit) + 1).cast("long")
     left = ws.store(rows.join(_salted(outer), ["bucket", "salt"]).withColumn("outward", prefix(F.col("outer"))), "outward")
     inner = left.where(inside & (F.col("outward") > 0)).groupBy("bucket").agg(F.min("need").alias("inner"))
     full = left.join(_salted(inner), ["bucket", "salt"], "left")
-    across = F.when(inside, F.col("outward")).when(F.col("inner").isNotNull(), prefix(F.col("inner"))).otherwise(0)
-    among = F.when(~inside & F.col("several"), F.col("outward")).otherwise(0)
-    full = full.select("bucket", "node", "comp", across.cast("long").alias("across"), among.cast("long").alias("among"), "pivot").where("across > 0 OR among > 0")
+    # the least need of a node's partners
+    least = F.when(inside, F.col("outer")).otherwise(F.least("inner", F.when(F.col("several"), F.col("outer"))))
+    full = full.withColumn("least", least).where("least IS NOT NULL").withColumn("reach", prefix(F.col("least"))).withColumn("lead", prefix(F.greatest("need", "least")))
+    full = full.select("bucket", "node", "comp", "need", "reach", "lead", "least", "width", "pivot").where("reach > 0")
     full = full.join(_side(sets, "node", "elements"), "node").join(_side(sets, "pivot", "elements"), "pivot")
-    full = full.select("bucket", "node", "comp", "across", "among", "elements_node", "elements_pivot")
-    full = full.mapInArrow(_differences, "bucket long, node long, comp long, across long, among long, differs array<long>")
-    held = ws.store(full.select("bucket", "node", "comp", "across", "among", F.size("differs").alias("gap"), F.explode("differs").alias("element")), "differences")
+    full = full.select("bucket", "node", "comp", "need", "reach", "lead", "least", "width", "elements_node", "elements_pivot")
+    full = full.mapInArrow(_differences, "bucket long, node long, comp long, need long, reach long, lead long, least long, width long, differs array<long>")
+    held = ws.store(full.select("bucket", "node", "comp", "need", "reach", "lead", "least", "width", F.size("differs").cast("long").alias("gap"), F.explode("differs").alias("element")), "differences")
 
     shared = held.groupBy("bucket", "element").count().where("count > 1")
     of_node = Window.partitionBy("bucket", "node")
     # differences of one node only come first in the order, and need no rows
     place = F.row_number().over(of_node.orderBy("count", "element")) + F.col("gap") - F.count("*").over(of_node)
-    ranked = held.join(shared, ["bucket", "element"]).withColumn("place", place)
-    kinds = F.array(*[F.when(F.col("place") <= F.col(k), F.lit(k)) for k in ("across", "among")])
-    new = ranked.select("bucket", "element", "node", "comp", F.explode(kinds).alias("kind")).where("kind IS NOT NULL")
-    new = ws.store(new.select(F.xxhash64("bucket", "element", "kind").alias("bucket"), "node", "comp"), "met")
+    ranked = held.join(shared, ["bucket", "element"]).withColumn("place", place).where("place <= reach")
+    level = lambda need: F.floor(need / F.col("width"))
+    partners = F.sequence(level(F.greatest("need", "least")), level((F.col("gap") + 1 - F.col("place")) * unit - F.col("need")))
+    leading = F.transform(F.when(F.col("place") <= F.col("lead"), partners), lambda x: F.struct(x.alias("level"), F.lit(True).alias("leads")))
+    roles = F.concat(F.array(F.struct(level(F.col("need")).alias("level"), F.lit(False).alias("leads"))), F.coalesce(leading, F.array().cast("array<struct<level:bigint,leads:boolean>>")))
+    new = ranked.withColumn("role", F.explode(roles)).select(F.xxhash64("bucket", "element", "role.level").alias("bucket"), "node", "comp", "need", "gap", "place", "role.leads", (~F.col("role.leads")).alias("follows"))
+    new = ws.store(new, "met")
     entries = ws.store(_mixed(new), "entries")
     ws.drop(merged, outsides, rows, left, held, new, *([tested] if families else []))
     return entries, late
@@ -365,7 +408,10 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESH
     # rows stored several times give their node once
     reps = some.join(classes, "class").where(F.col("doc_id").eqNullSafe(F.col("first"))).dropDuplicates(["node"]).select("node", "sig")
     reps = ws.store(reps, "nodes")
-    buckets = ws.store(_mixed(reps.mapInArrow(_bands(bands, rows), "bucket long, node long").withColumn("comp", F.col("node"))), "buckets")
+    # in a band's bucket every node leads and follows, and nothing is known of its differences
+    open_to_all = [F.lit(0).cast("long").alias(c) for c in ("need", "gap", "place")]
+    bands_of = reps.mapInArrow(_bands(bands, rows), "bucket long, node long").select("bucket", "node", F.col("node").alias("comp"), *open_to_all, F.lit(True).alias("leads"), F.lit(True).alias("follows"))
+    buckets = ws.store(_mixed(bands_of), "buckets")
     wanted = ws.store(buckets.select("node").distinct(), "wanted")
     of_class = classes.join(wanted, "node")
     found = picked.join(of_class, picked.doc_id.eqNullSafe(of_class["first"])).select("node", "class", "text")

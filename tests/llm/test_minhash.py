@@ -123,6 +123,40 @@ def test_tested_pairs_are_bounded_by_the_rows(make_docs, monkeypatch):
         assert tested[-1] <= op.BANDS * n, tested
 
 
+@pytest.mark.parametrize(("few", "levels"), [(1, 16), (2, 1), (64, 3)])
+def test_ranges_of_need_like_brute_force(make_docs, monkeypatch, few, levels):
+    """Families of other lengths and with edits in common, settled in all rounds."""
+    for name, value in (("SMALL", 2), ("FEW", few), ("LEVELS", levels)):
+        monkeypatch.setattr(op, name, value)
+    rng = random.Random(few)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(130):
+        w = base[: 120 - rng.randrange(12)] + [f"x{k}" for k in range(rng.randrange(9))]
+        for _ in range(rng.randrange(8)):
+            at = rng.randrange(len(w))
+            w[at] = f"v{at % 7}" if rng.random() < 0.7 else f"new{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    assert sorted((tuple(r)[:4] for r in op.near_groups(make_docs(rows), 3, 85).collect()), key=str) == brute(rows, 3, 85)
+
+
+def test_a_family_is_not_taken_apart_again_for_each_element(make_docs, monkeypatch):
+    """Rows of differences in all rounds follow the rows of the family, and
+    aren't repeated for each element that some of its nodes share."""
+    made = []
+    store = op.Workspace.store
+
+    def counting(self, df, name="t"):
+        kept = store(self, df, name)
+        if name == "differences":
+            made.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(op.Workspace, "store", counting)
+    op.near_groups(make_docs(family(1200, 150, lambda r: r.randrange(16), 5)), 3, 85).count()
+    assert made and sum(made[1:]) <= made[0] / 4, made
+
+
 def test_word_hashes_over_slices(monkeypatch):
     buf = b" ab  c\tab \n" + b"x" * 50 + b" c ab"
     whole = word_hashes(buf)
